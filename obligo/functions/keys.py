@@ -45,6 +45,6 @@ def fingerprint(key: Column, amount: Column, algo: str = "xxhash64") -> list[Col
     h = hash_number(row_text(key, amount), algo)
     return [
         F.count(F.lit(1)).alias("n_rows"),
-        F.sum(h.cast("decimal(38,0)")).alias("hash_sum"),
-        F.bit_xor(h).alias("hash_xor"),
+        F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
+        F.coalesce(F.bit_xor(h), F.lit(0)).alias("hash_xor"),
     ]

@@ -7,11 +7,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obligo.functions.keys import fingerprint, hash_number
+from obligo.functions.keys import bucket, fingerprint
 from obligo.operators.joins import BROADCAST_BYTES, Sized, measure
 
 KEY = "txn_id"
 AMOUNT = "amount"
+# When a key counts as hot: rows in its hash bucket, and how far above the average bucket.
+HOT_BUCKETS = 4096
+HOT_ROWS = 1_000_000
+HOT_FACTOR = 8
 
 
 def _side(side: str, column: Column) -> Column:
@@ -25,24 +29,23 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = KEY,
     Both snapshots are added up per key in one aggregation instead of being joined. Where the
     key is unique the sums are the amounts themselves. Where a key has many rows they meet as
     partial sums, never as pairs, and a key counts as unchanged only if both snapshots hold the
-    same bag of amounts.
+    same bag of amounts: the hashes of the one side then cancel those of the other.
     """
-    h = hash_number(F.coalesce(F.col(amount).cast("string"), F.lit("null"))).cast("decimal(38,0)")
     tagged = old.select(key, amount, F.lit("old").alias("_side")).unionByName(
         new.select(key, amount, F.lit("new").alias("_side"))
     )
+    h = F.xxhash64(amount).cast("decimal(20,0)")
     per_key = tagged.groupBy(key).agg(
         F.sum(_side("old", F.col(amount))).alias("old_amount"),
         F.sum(_side("new", F.col(amount))).alias("new_amount"),
         F.count(_side("old", F.lit(1))).alias("_old_rows"),
         F.count(_side("new", F.lit(1))).alias("_new_rows"),
-        F.sum(_side("old", h)).alias("_old_bag"),
-        F.sum(_side("new", h)).alias("_new_bag"),
+        F.sum(_side("old", h).otherwise(-h)).alias("_bag"),
     )
     same = (
-        F.col("old_amount").eqNullSafe(F.col("new_amount"))
+        (F.col("_bag") == 0)
         & (F.col("_old_rows") == F.col("_new_rows"))
-        & F.col("_old_bag").eqNullSafe(F.col("_new_bag"))
+        & F.col("old_amount").eqNullSafe(F.col("new_amount"))
     )
     status = (
         F.when(F.col("_old_rows") == 0, F.lit("new"))
@@ -56,14 +59,35 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = KEY,
     )
 
 
+def has_hot_key(df: DataFrame, key: str, buckets: int = HOT_BUCKETS, rows: int = HOT_ROWS,
+                factor: int = HOT_FACTOR) -> bool:
+    """Whether some key holds so many rows that one task could not take them all.
+
+    Reads only the key column and counts rows per hash bucket, combined on the map side.
+    """
+    sizes = df.groupBy(bucket(F.col(key), buckets).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return largest is not None and largest > rows and largest > factor * total / buckets
+
+
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    """The keys of a snapshot as the build side of a semi or anti join.
+
+    Adaptive skew handling can split the rows that are filtered but not this side. So repeated
+    keys are combined before the shuffle, at twice the price, where one of them is hot.
+    """
+    keys = df.select(key)
+    return keys.distinct() if has_hot_key(df, key) else keys
+
+
 def new_rows(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
     """Rows of the new snapshot whose key the old one does not have."""
-    return new.join(old.select(key).distinct(), key, "left_anti")
+    return new.join(_keys(old, key), key, "left_anti")
 
 
 def carry_over(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
     """Rows of the new snapshot whose key the old one has."""
-    return new.join(old.select(key).distinct(), key, "left_semi")
+    return new.join(_keys(old, key), key, "left_semi")
 
 
 def append_new(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
@@ -98,6 +122,23 @@ def compare_fingerprints(old: DataFrame, new: DataFrame, by: list[str] | None =
     )
 
 
+def fingerprint_without(whole: DataFrame, part: DataFrame,
+                        by: list[str] | None = None) -> DataFrame:
+    """Fingerprint of a snapshot without some of its rows, from the two fingerprints.
+
+    Counts and hash sums subtract, and XOR undoes itself, so the rows need not be read again.
+    """
+    signed = whole.withColumn("_sign", F.lit(1)).unionByName(part.withColumn("_sign", F.lit(-1)))
+    rest = signed.groupBy(*(by or [])).agg(
+        F.sum(F.col("n_rows") * F.col("_sign")).alias("n_rows"),
+        F.sum(F.when(F.col("_sign") > 0, F.col("hash_sum")).otherwise(-F.col("hash_sum")))
+        .cast("decimal(38,0)")
+        .alias("hash_sum"),
+        F.bit_xor("hash_xor").alias("hash_xor"),
+    )
+    return rest.filter(F.col("n_rows") > 0) if by else rest
+
+
 def compare_snapshots(old: DataFrame, new: DataFrame, by: list[str] | None = None,
                       algo: str = "xxhash64", key: str = KEY, amount: str = AMOUNT) -> DataFrame:
     """Whether the carried-over part of the new snapshot is what the old one holds.

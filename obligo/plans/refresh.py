@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obligo.operators.enrich import Dimensions
-from obligo.operators.snapshots import compare_snapshots, new_rows
+from obligo.operators.snapshots import (
+    compare_fingerprints,
+    fingerprint_without,
+    new_rows,
+    snapshot_fingerprint,
+)
 from obligo.plans.marts import all_marts
 from obligo.sinks.tables import read_snapshots, stored, write_snapshot
 from obligo.sources.transactions import clean_contracts
@@ -19,19 +24,23 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
             dims: Dimensions, by: list[str] | None = None) -> DataFrame:
     """Takes a new dump of projected contracts into the store under ``root``.
 
-    Returns the comparison of the carried-over rows, empty for the first dump. Running the same
-    date again replaces what that run wrote, so the outcome is the same: only snapshots before
-    the date count as the old state.
+    Returns the comparison of the carried-over rows with what the store held. The two snapshots
+    meet in one anti join, which finds the new rows; what was carried over is then known from
+    the fingerprints of the dump and of the new rows. Running the same date again replaces what
+    that run wrote, so the outcome is the same: only snapshots before the date are the old state.
     """
     folder = f"{root}/{TRANSACTIONS}"
     before = _before(spark, folder, snapshot_date, dump)
-    report = stored(spark, compare_snapshots(before, dump, by), "comparison")
     write_snapshot(new_rows(before, dump), folder, snapshot_date)
-    current = (
-        read_snapshots(spark, folder)
-        .filter(F.col("snapshot_date") <= snapshot_date)
-        .drop("snapshot_date")
+    taken = read_snapshots(spark, folder)
+    added = taken.filter(F.col("snapshot_date") == snapshot_date)
+    carried = fingerprint_without(
+        snapshot_fingerprint(dump, by), snapshot_fingerprint(added, by), by
     )
+    report = stored(
+        spark, compare_fingerprints(snapshot_fingerprint(before, by), carried, by), "comparison"
+    )
+    current = taken.filter(F.col("snapshot_date") <= snapshot_date).drop("snapshot_date")
     for name, mart in all_marts(spark, clean_contracts(current), dims).items():
         write_snapshot(mart, f"{root}/{name}", snapshot_date)
     return report
