@@ -45,12 +45,27 @@ class Source:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str) -> DataFrame:
+        """The table, over all cores where its files alone would make fewer tasks than that."""
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
     # -- transactions ---------------------------------------------------------------------
 
     def transactions(self) -> DataFrame:
         return self.once(
             "transactions",
-            lambda: stored(self.spark, derive_transactions(self.table), "transactions"),
+            lambda: stored(
+                self.spark,
+                derive_transactions(
+                    self.spread("lineitem"),
+                    self.table("orders"),
+                    self.table("customer"),
+                    self.table("part"),
+                ),
+                "transactions",
+            ),
         )
 
     def fpds(self) -> DataFrame:
@@ -91,7 +106,7 @@ class Source:
         return legislator_years(current, historical, SEAT_MIN_START)
 
     def roster(self) -> tuple[DataFrame, DataFrame]:
-        return derive_roster(self.table("orders"))
+        return derive_roster(self.spread("orders"))
 
     def dims(self) -> Dimensions:
         return self.once(
@@ -128,17 +143,16 @@ def source(spark: SparkSession, folder: str) -> Source:
     return _sources[key]
 
 
-def derive_transactions(table: Callable[[str], DataFrame]) -> DataFrame:
+def derive_transactions(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
+                        part: DataFrame) -> DataFrame:
     """Line items as obligation actions.
 
     Two date formats and missing dates, returns as negative amounts, districts with and without
     their state in front, unusable and missing districts, two spellings of the country.
     """
-    buyers = table("orders").join(table("customer"), F.expr("o_custkey = c_custkey"))
-    rows = (
-        table("lineitem")
-        .join(buyers, F.expr("l_orderkey = o_orderkey"))
-        .join(table("part"), F.expr("l_partkey = p_partkey"))
+    buyers = orders.join(customer, F.expr("o_custkey = c_custkey"))
+    rows = lineitem.join(buyers, F.expr("l_orderkey = o_orderkey")).join(
+        part, F.expr("l_partkey = p_partkey")
     )
     return rows.selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,"

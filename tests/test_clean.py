@@ -1,0 +1,99 @@
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from obligo.functions import clean
+
+YEARS = [
+    ("2019-01-02", 2019, 2019),
+    ("01/02/2019", 2019, 2019),
+    ("2019-12-31 00:00:00", 2019, 2019),
+    ("2019", 2019, 2019),
+    ("19", 19, 19),
+    ("20190102", 102, 2019),
+    ("20191300", 1300, 1300),
+    ("20191299", 1299, 2019),
+    ("+201", 201, 201),
+    ("ab0102", None, None),
+    ("XX12", None, None),
+    ("19-01-02", None, None),
+    ("2019-x", 2019, 2019),
+    (" 201", 201, 201),
+    ("1.5", None, None),
+    ("", None, None),
+    (None, None, None),
+]
+DISTRICTS = [
+    ("CA36", 36), ("05", 5), ("100", 0), ("36", 36), ("7", 7), (" 7", 7), ("ZZ", None),
+    ("1.5", None), ("-1", -1), ("", None), (None, None),
+]
+
+
+def column(spark, values):
+    return spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, s string")
+
+
+def results(df, expr):
+    return [r[0] for r in df.orderBy("i").select(expr).collect()]
+
+
+@pytest.mark.parametrize("mode,position", [("compat", 1), ("strict", 2)])
+def test_year(spark, mode, position):
+    df = column(spark, [y[0] for y in YEARS])
+    assert results(df, clean.clean_year(F.col("s"), mode)) == [y[position] for y in YEARS]
+
+
+def test_year_mode_must_be_known(spark):
+    with pytest.raises(ValueError):
+        clean.clean_year(F.col("s"), "other")
+
+
+def test_district(spark):
+    df = column(spark, [d[0] for d in DISTRICTS])
+    assert results(df, clean.clean_district(F.col("s"))) == [d[1] for d in DISTRICTS]
+
+
+def test_country(spark):
+    df = column(spark, ["USA", "UNITED STATES", "CAN", "usa", None])
+    assert results(df, clean.clean_country(F.col("s"))) == [
+        "UNITED STATES", "UNITED STATES", "CAN", "usa", None,
+    ]
+
+
+def test_industry_prefix(spark):
+    df = column(spark, ["519130", "5191", "51", "", None])
+    assert results(df, clean.industry_prefix(F.col("s"))) == ["5191", "5191", "51", "", None]
+
+
+def test_calendar_year(spark):
+    df = column(spark, ["2001-01-03", "bad", None])
+    assert results(df, clean.calendar_year(F.col("s"))) == [2001, None, None]
+
+
+def test_whole_number_beyond_bigint_is_null(spark):
+    df = column(spark, ["9" * 30, "12"])
+    assert results(df, clean.whole_number(F.col("s"))) == [None, 12]
+
+
+def test_ratio(spark):
+    df = spark.createDataFrame(
+        [(0, Decimal("10.00"), 3), (1, Decimal("10.00"), 0), (2, Decimal("10.00"), None),
+         (3, None, 3), (4, Decimal("-0.05"), 2), (5, Decimal("0.01"), 2000000)],
+        "i int, a decimal(18,2), b int",
+    )
+    got = results(df, clean.ratio(F.col("a"), F.col("b"), 6))
+    assert got == [Decimal("3.333333"), None, None, None, Decimal("-0.025000"), Decimal("0.000000")]
+    assert results(df, clean.ratio(F.col("a"), F.col("b"), 2))[4] == Decimal("-0.03")
+
+
+def test_sql_functions_agree_with_the_columns(spark):
+    clean.register_sql_functions(spark)
+    df = column(spark, [y[0] for y in YEARS])
+    assert results(df, F.expr("to_year(s)")) == [y[1] for y in YEARS]
+    df = column(spark, [d[0] for d in DISTRICTS])
+    assert results(df, F.expr("to_district(s)")) == [d[1] for d in DISTRICTS]
+    df = column(spark, ["USA", "CAN", None])
+    assert results(df, F.expr("to_country(s)")) == ["UNITED STATES", "CAN", None]
+    df = column(spark, ["519130", None])
+    assert results(df, F.expr("to_industry(s)")) == ["5191", None]

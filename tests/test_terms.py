@@ -1,0 +1,72 @@
+import json
+
+from obligo.operators.terms import expand_years, flatten_terms, legislator_years
+from obligo.schemas import LEGISLATOR, LEGISLATOR_YEAR
+from obligo.sources.legislators import read_legislators
+
+from conftest import rows
+
+
+def term(start, end, state="CA", district=36, kind="rep", party="Democrat"):
+    t = {"type": kind, "start": start, "end": end, "state": state, "party": party}
+    return t if district is None else {**t, "district": district}
+
+
+def person(first, last, *terms):
+    return {"name": {"first": first, "last": last}, "terms": list(terms)}
+
+
+def frame(spark, *people):
+    return spark.createDataFrame(list(people), LEGISLATOR)
+
+
+def test_first_and_last_year_are_included_and_terms_share_the_hand_over_year(spark):
+    df = frame(spark, person("A", "B", term("1999-01-03", "2001-01-03"),
+                             term("2001-01-03", "2003-01-03")))
+    years = legislator_years(df)
+    assert years.columns == LEGISLATOR_YEAR
+    assert sorted(r.year for r in years.collect()) == [1999, 2000, 2001, 2001, 2002, 2003]
+
+
+def test_term_that_ends_before_it_starts_has_no_years(spark):
+    df = frame(spark, person("A", "B", term("2020-01-03", "2018-01-03"),
+                             term("2020-01-03", "2020-12-31")))
+    assert [r.year for r in legislator_years(df).collect()] == [2020]
+
+
+def test_start_year_limit_drops_whole_historical_terms_only(spark):
+    terms = [term("1999-01-03", "2001-01-03"), term("2000-01-03", "2001-01-03")]
+    old = frame(spark, person("O", "P", *terms))
+    assert sorted(r.year for r in expand_years(flatten_terms(old), 2000).collect()) == [2000, 2001]
+    both = legislator_years(frame(spark, person("C", "P", *terms)), old)
+    assert sorted(r.year for r in both.filter("firstname = 'C'").collect()) == [
+        1999, 2000, 2000, 2001, 2001]
+    assert sorted(r.year for r in both.filter("firstname = 'O'").collect()) == [2000, 2001]
+
+
+def test_union_keeps_repeated_rows(spark):
+    df = frame(spark, person("A", "B", term("2001-01-03", "2002-01-03")))
+    assert legislator_years(df, df).count() == 4
+
+
+def test_json_array_over_many_lines(spark, tmp_path):
+    people = [person("A", "B", term("2001-01-03", "2002-01-03")),
+              person("S", "T", term("2001-01-03", "2002-01-03", district=None, kind="sen"))]
+    (tmp_path / "current.json").write_text(json.dumps(people, indent=2))
+    df = read_legislators(spark, str(tmp_path / "current.json"))
+    assert df.schema == LEGISLATOR
+    assert rows(flatten_terms(df)) == [
+        ("A", "B", "rep", "Democrat", "CA", 36, 2001, 2002),
+        ("S", "T", "sen", "Democrat", "CA", None, 2001, 2002),
+    ]
+
+
+def test_json_lines(spark, tmp_path):
+    people = [person("A", "B", term("2001-01-03", "2002-01-03")),
+              person("C", "D", term("2001-01-03", "2002-01-03"))]
+    (tmp_path / "p.json").write_text("\n".join(json.dumps(p) for p in people))
+    assert read_legislators(spark, str(tmp_path / "p.json"), multiline=False).count() == 2
+
+
+def test_person_without_terms(spark):
+    assert legislator_years(frame(spark, person("A", "B"))).count() == 0
