@@ -1,0 +1,74 @@
+import pytest
+
+from obligo.operators.migration import chunk_plan, migration_plan
+from obligo.plans.copy import copy_tables
+
+
+@pytest.fixture(scope="module")
+def catalogue(spark):
+    return {
+        "tables": spark.createDataFrame([("one",), ("two",), ("nokey",), ("tiny",)],
+                                        "table_name string"),
+        "keys": spark.createDataFrame(
+            [("one", "id", "one_pk"), ("two", "b", "two_pk"), ("two", "a", "two_pk"),
+             ("two", "a", "two_fk"), ("tiny", "id", "tiny_pk"), ("view", "id", "view_pk")],
+            "table_name string, column_name string, constraint_name string"),
+        "constraints": spark.createDataFrame(
+            [("one_pk", "PRIMARY KEY"), ("two_pk", "PRIMARY KEY"), ("two_fk", "FOREIGN KEY"),
+             ("tiny_pk", "PRIMARY KEY"), ("view_pk", "PRIMARY KEY")],
+            "constraint_name string, constraint_type string"),
+        "estimates": spark.createDataFrame(
+            [("one", 3_200_000.0), ("two", 10.0), ("nokey", 5.0), ("view", 5.0), ("tiny", 0.0)],
+            "table_name string, approx_cnt float"),
+    }
+
+
+def test_chunk_rule(spark):
+    estimates = spark.createDataFrame(
+        [(e,) for e in (0.0, 10.0, 1_363_636.0, 1_363_637.0, 2_272_728.0, 3_181_820.0,
+                        72_000_000.0)], "approx_cnt double")
+    got = {r.approx_cnt: (r.upper_bound, r.n_chunks, r.save_mode)
+           for r in chunk_plan(estimates).collect()}
+    for estimate, (upper, chunks, mode) in got.items():
+        assert upper == int(estimate * 1.10)
+        assert mode == ("append" if upper > 1.5e6 else "error")
+        assert chunks == (round(upper / 1e6) if upper > 1.5e6 else 1)
+
+
+def test_chunks_are_rounded_half_to_even(spark):
+    estimates = spark.createDataFrame([(2500,), (3500,)], "approx_cnt int")
+    plan = chunk_plan(estimates.selectExpr("approx_cnt / 1.1 AS approx_cnt"), 1000)
+    for r in plan.collect():
+        assert r.n_chunks == round(r.upper_bound / 1000)
+
+
+def test_one_row_per_table_with_a_primary_key(catalogue):
+    got = {r.table_name: r for r in migration_plan(**catalogue).collect()}
+    assert sorted(got) == ["one", "tiny", "two"]
+    assert got["two"].pkey == ["a", "b"]
+    assert (got["one"].n_chunks, got["one"].save_mode) == (4, "append")
+    assert (got["two"].n_chunks, got["two"].save_mode) == (1, "error")
+
+
+def test_copy(spark, catalogue):
+    data = {
+        "one": spark.range(500).withColumnRenamed("id", "id"),
+        "two": spark.range(20).selectExpr("id AS a", "id + 1 AS b"),
+        "tiny": spark.range(0),
+    }
+    written = {}
+
+    def read(name, key, partitions):
+        assert set(key) <= set(data[name].columns) and partitions == 200
+        return data[name]
+
+    def write(df, name, mode):
+        written[name] = (df, mode)
+
+    plan = migration_plan(**catalogue)
+    assert copy_tables(plan, read, write) == ["one", "tiny", "two"]
+    one, mode = written["one"]
+    assert mode == "append" and one.count() == 500
+    assert {r.chunk for r in one.collect()} == {1, 2, 3, 4}
+    assert written["two"][1] == "error" and "chunk" not in written["two"][0].columns
+    assert copy_tables(plan, read, write, only=["two"]) == ["two"]

@@ -1,0 +1,69 @@
+"""Every registered query against its SQL, on the smallest test tables."""
+
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry_points
+
+from conftest import plan
+
+FOLDER = "/root/testdata/sf0.001"
+TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages"
+          " benchmark labels conversations").split()
+QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for t in TABLES:
+        connection.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
+    return connection
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: [(v is not None, str(v)) for v in r])
+
+
+def test_every_statement_has_a_query():
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == {"mart_probe"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_its_sql(spark, duck, name):
+    df = QUERIES[name](spark, FOLDER)
+    columns = sorted(df.columns)
+    result = duck.execute(SQL[name])
+    assert sorted(c[0] for c in result.description) == columns
+    order = [[c[0] for c in result.description].index(c) for c in columns]
+    expected = [tuple(r[i] for i in order) for r in result.fetchall()]
+    assert ordered(tuple(r) for r in df.select(*columns).collect()) == ordered(expected)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_has_no_python_and_no_pairs(spark, name):
+    text = plan(QUERIES[name](spark, FOLDER))
+    for node in ("PythonEval", "ArrowEval", "BatchEval", "MapInPandas", "CartesianProduct",
+                 "BroadcastNestedLoopJoin"):
+        assert node not in text, node
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() > 0
+
+
+def test_probe(spark):
+    assert QUERIES["mart_probe"](spark, FOLDER).count() == 1
+
+
+def test_scan_reads_only_what_the_mart_needs(spark):
+    text = plan(QUERIES["legis_by_year_hr"](spark, FOLDER))
+    fact_scan = next(line for line in text.splitlines() if "ReadSchema: struct<action_date" in line)
+    read = fact_scan.split("ReadSchema: ")[1]
+    assert "txn_id" not in read and "country" not in read and "cfda" not in read
+    assert "IsNotNull(legal_entity_state_code)" in fact_scan.split("PushedFilters:")[1]

@@ -1,0 +1,93 @@
+from decimal import Decimal
+
+import pytest
+
+from obligo.plans import serving
+
+from conftest import plan, rows
+
+
+@pytest.fixture(scope="module")
+def legislator_mart(spark):
+    made = [
+        ("Michael", "Simpson", "rep", "Republican", "2", "Idaho", 1570912, Decimal("43490.00"),
+         Decimal("1255180.57"), "2016", "Animal Food"),
+        ("A", "A", "rep", "Democrat", "1", "Ohio", 0, None, Decimal("9000000.00"), "2015",
+         "Animal Food"),
+        ("B", "B", "rep", "Democrat", "1", "Ohio", 10, None, Decimal("9000000.00"), "2014",
+         "Animal Food"),
+        ("C", "C", "rep", "Democrat", "1", "Ohio", 10, None, None, "2015", "Animal Food"),
+        ("D", "D", "rep", "Democrat", "1", "Ohio", 10, None, Decimal("1.00"), "2015", "None"),
+        ("E", "E", "rep", "Democrat", "1", "Ohio", 10, None, Decimal("1.00"), "2015", None),
+    ] + [("F", f"{i:02}", "rep", "Democrat", "1", "Ohio", 10, None, Decimal("5.00"), "2017",
+          "Zinc") for i in range(20)]
+    return spark.createDataFrame(
+        made, "firstname string, lastname string, typeofrep string, party string,"
+        " district string, state_name string, population int, med_hh_income decimal(12,2),"
+        " amount decimal(28,2), year string, description string")
+
+
+@pytest.fixture(scope="module")
+def industry_mart(spark):
+    return spark.createDataFrame(
+        [("Democrat", "2015", "Zinc", "CA", Decimal("1.00")),
+         ("Democrat", "2015", "Zinc", "NY", Decimal("2.00")),
+         ("Republican", "2016", "Zinc", "NY", Decimal("4.00")),
+         ("Independent", "2017", "Zinc", "NY", Decimal("8.00")),
+         ("Republican", "2015", "Iron", "NY", Decimal("16.00"))],
+        "party string, year string, description string, state string, amount decimal(28,2)")
+
+
+def test_industry_list(legislator_mart):
+    got = [r[0] for r in serving.industry_list(legislator_mart).collect()]
+    assert got == ["Animal Food", "Zinc"]
+
+
+def test_series(industry_mart):
+    got = [tuple(r) for r in serving.industry_party_series(industry_mart, "Zinc").collect()]
+    assert got == [
+        ("2015", "Democrat", "Zinc", Decimal("3.00")),
+        ("2016", "Republican", "Zinc", Decimal("4.00")),
+        ("2017", "Independent", "Zinc", Decimal("8.00")),
+    ]
+    assert serving.industry_party_series(industry_mart).count() == 4
+
+
+def test_pivot_keeps_the_series_aligned(industry_mart):
+    got = [tuple(r) for r in serving.party_pivot(industry_mart, "Zinc").collect()]
+    assert got == [("2015", "Zinc", Decimal("3.00"), None), ("2016", "Zinc", None, Decimal("4.00"))]
+
+
+def test_pivot_and_the_other_parties_add_up(industry_mart):
+    pivot = serving.party_pivot(industry_mart).collect()
+    large = sum((r.democrat or 0) + (r.republican or 0) for r in pivot)
+    others = industry_mart.filter("party not in ('Democrat', 'Republican')").collect()
+    assert large + sum(r.amount for r in others) == sum(r.amount for r in industry_mart.collect())
+
+
+def test_top_legislators(legislator_mart):
+    top = serving.top_legislators(legislator_mart, "Animal Food")
+    got = [tuple(r) for r in top.collect()]
+    assert [r[1] for r in got] == ["A", "Simpson", "C"]
+    assert got[1] == ("Michael", "Simpson", "Animal Food", "Republican", "2", "Idaho", "2016",
+                      Decimal("1.26"), Decimal("0.80"), Decimal("28.86"))
+    assert got[0][7:] == (Decimal("9.00"), None, None)
+    assert "TakeOrderedAndProject" in plan(top)
+
+
+def test_top_is_fifteen_with_a_total_order(legislator_mart):
+    got = [r.lastname for r in serving.top_legislators(legislator_mart, "Zinc").collect()]
+    assert got == [f"{i:02}" for i in range(15)]
+
+
+def test_top_of_every_industry(legislator_mart):
+    ranked = serving.top_legislators_all(legislator_mart)
+    assert "WindowGroupLimit" in plan(ranked)
+    for industry in ("Animal Food", "Zinc"):
+        one = rows(serving.top_legislators(legislator_mart, industry))
+        assert rows(ranked.filter(f"description = '{industry}'").drop("rank")) == one
+    assert ranked.filter("description is null or description = 'None'").isEmpty()
+
+
+def test_probe(legislator_mart):
+    assert serving.probe(legislator_mart).count() == 1

@@ -1,0 +1,104 @@
+import os
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from obligo.operators import snapshots as S
+from obligo.session import scratch_folder
+from obligo.sinks import tables
+
+from conftest import plan, rows
+
+
+@pytest.fixture(scope="module")
+def df(spark):
+    return spark.range(2000).select(F.concat(F.lit("k"), "id").alias("k"), "id")
+
+
+def test_stored_table_is_read_back_from_the_shared_folder(spark, df):
+    back = tables.stored(spark, df, "t")
+    assert rows(back) == rows(df)
+    assert scratch_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_folder(spark) in back.inputFiles()[0]
+    assert tables.stored(spark, df, "t").inputFiles() != back.inputFiles()
+
+
+def test_scratch_folder_must_be_named_on_a_cluster():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:
+            applicationId, master = "app", "spark://somewhere:7077"
+
+    with pytest.raises(RuntimeError):
+        scratch_folder(Cluster)
+    Cluster.sparkContext.master = "local[2]"
+    assert os.path.isdir(scratch_folder(Cluster))
+
+
+def test_chunks_are_disjoint_and_complete(df):
+    chunks = tables.assign_chunks(df, "k", 10)
+    assert rows(chunks.drop("chunk")) == rows(df)
+    assert rows(chunks) == rows(tables.assign_chunks(df.repartition(7), "k", 10))
+    counts = {r.chunk: r.n_rows for r in tables.chunk_row_counts(df, "k", 10).collect()}
+    assert sorted(counts) == list(range(1, 11)) and sum(counts.values()) == 2000
+    assert max(counts.values()) < 1.4 * 200
+
+
+def test_chunks_are_written_in_one_pass(spark, df, tmp_path):
+    tables.write_chunks(df, str(tmp_path / "t"), "k", 4)
+    assert sorted(p.name for p in (tmp_path / "t").glob("chunk=*")) == [
+        f"chunk={i}" for i in range(1, 5)]
+    assert rows(spark.read.parquet(str(tmp_path / "t")).drop("chunk")) == rows(df)
+
+
+def test_write_fails_if_the_table_exists_unless_appending(spark, df, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_files(df, path)
+    with pytest.raises(AnalysisException):
+        tables.write_files(df, path)
+    tables.write_files(df, path, "append")
+    assert spark.read.parquet(path).count() == 4000
+
+
+def test_partition_row_counts(df):
+    counts = tables.partition_row_counts(df.repartition(3)).collect()
+    assert len(counts) == 3 and sum(r.n_rows for r in counts) == 2000
+
+
+def test_snapshots_are_replaced_by_date_and_the_latest_is_read(spark, df, tmp_path):
+    root = str(tmp_path / "mart")
+    tables.write_snapshot(df, root, "2020-01-05")
+    tables.write_snapshot(df.filter("id < 10"), root, "2020-02-05")
+    tables.write_snapshot(df.filter("id < 5"), root, "2020-02-05")
+    every = tables.read_snapshots(spark, root)
+    assert dict(every.dtypes)["snapshot_date"] == "string"
+    assert every.count() == 2005
+    newest = tables.latest_snapshot(every)
+    assert newest.count() == 5 and newest.columns == ["k", "id", "snapshot_date"]
+    pruned = every.filter("snapshot_date = '2020-01-05'")
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan(pruned)
+    tables.write_snapshot(df.limit(0), root, "2020-02-05")
+    assert tables.read_snapshots(spark, root).count() == 2000
+    assert tables.with_snapshot(df, "2020-01-05").filter("snapshot_date = '2020-01-05'").count() == 2000
+
+
+def test_bucketed_snapshots_compare_without_a_shuffle(spark, df, tmp_path):
+    for name, part in (("old", df), ("new", df.union(spark.range(2000, 2100).selectExpr(
+            "'k' || id AS k", "id")))):
+        tables.write_bucketed(part, f"snap_{name}", str(tmp_path / name), "k", 4)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        added = S.new_rows(spark.table("snap_old"), spark.table("snap_new"), "k")
+        assert "Exchange" not in plan(added)
+        assert added.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.sql("DROP TABLE snap_old")
+        spark.sql("DROP TABLE snap_new")
