@@ -89,11 +89,12 @@ def with_senator(transactions: DataFrame, legislators: Sized) -> DataFrame:
 
 def enriched(contracts: DataFrame, dims: Dimensions, chamber: str,
              chamber_key: str = "district", distinct: str = "holders") -> DataFrame:
-    """Contracts of one chamber with all attributes, identical rows once.
+    """Contracts of one chamber with all attributes, without the repeats the join makes.
 
     ``distinct="holders"`` removes duplicates among the legislator-years before the join, which
-    needs no shuffle of the contracts. It equals a DISTINCT of the result because ``txn_id`` is
-    unique. ``distinct="rows"`` is the literal DISTINCT, for transactions that may repeat.
+    needs no shuffle of the contracts. Where every transaction has an id of its own this is the
+    DISTINCT of the result. ``distinct="rows"`` is the literal DISTINCT of whole rows, which also
+    makes one of transactions that are delivered more than once.
     """
     if distinct not in ("holders", "rows"):
         raise ValueError("distinct must be 'holders' or 'rows'")
@@ -113,8 +114,10 @@ def contract_detail(contracts: DataFrame, labels: Sized, legislators: Sized,
     ``contracts`` keep their full code here. By default rows repeat where the legislator-years
     do; ``dedup=True`` removes the repeats.
     """
-    rows = with_legislator(labels_with_contracts(contracts, labels), legislators)
-    return _published(rows, CONTRACT_DETAIL, dedup)
+    rows = with_legislator(
+        labels_with_contracts(contracts, labels), _once(legislators) if dedup else legislators
+    )
+    return _published(rows, CONTRACT_DETAIL)
 
 
 def grant_detail(grants: DataFrame, legislators: Sized, dedup: bool = False) -> DataFrame:
@@ -123,14 +126,18 @@ def grant_detail(grants: DataFrame, legislators: Sized, dedup: bool = False) ->
         "district", whole_number(F.col("district_label"))
     )
     rows = (
-        with_legislator(keyed, legislators)
+        with_legislator(keyed, _once(legislators) if dedup else legislators)
         .drop("district")
         .withColumnRenamed("district_label", "district")
     )
-    return _published(rows, GRANT_DETAIL, dedup)
+    return _published(rows, GRANT_DETAIL)
+
+
+def _once(legislators: Sized) -> Sized:
+    """Identical legislator-years once, so that each transaction meets each of them once."""
+    return Sized(legislators.df.dropDuplicates(), legislators.n_bytes)
 
 
-def _published(rows: DataFrame, columns: list[str], dedup: bool) -> DataFrame:
+def _published(rows: DataFrame, columns: list[str]) -> DataFrame:
     texts = {"year": F.col("year").cast("string"), "district": F.col("district").cast("string")}
-    published = rows.withColumns(texts).select(*columns)
-    return published.dropDuplicates() if dedup else published
+    return rows.withColumns(texts).select(*columns)

@@ -104,8 +104,8 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
     """Rows of the most recent snapshot. The date is found first and then prunes the scan."""
-    newest = snapshots.agg(F.max("snapshot_date").alias("d"))
-    return snapshots.join(F.broadcast(newest), F.col("snapshot_date") == F.col("d")).drop("d")
+    newest = snapshots.select(F.max("snapshot_date"))
+    return snapshots.filter(F.col("snapshot_date") == newest.scalar())
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:

@@ -1,6 +1,8 @@
 """DuckDB SQL for every registered query, written from the semantics, not from the Spark plans.
 
 Attribution is spelled out literally here: join first, SELECT DISTINCT of whole rows, aggregate.
+Every transaction has a row number of its own, so DISTINCT removes what the join repeats and
+never a transaction that happens to equal another.
 """
 
 from __future__ import annotations
@@ -169,15 +171,16 @@ _COUNTRY = "CASE WHEN country_code = 'USA' THEN 'UNITED STATES' ELSE country_cod
 
 def _clean_cte(code: str, raw: str) -> str:
     return f"""
-  SELECT txn_id, {year('year')} AS year, amount, state, {district('district')} AS district,
-         {code} AS code, {_COUNTRY} AS country_code FROM {raw}"""
+  SELECT row_number() OVER () AS rno, txn_id, {year('year')} AS year, amount, state,
+         {district('district')} AS district, {code} AS code, {_COUNTRY} AS country_code
+    FROM {raw}"""
 
 
 cte("contracts", "contracts_raw", _clean_cte("substr(code, 1, 4)", "contracts_raw"))
 cte("contracts_full", "contracts_raw", _clean_cte("code", "contracts_raw"))
 cte("grants", "grants_raw", f"""
-  SELECT txn_id, {year('year')} AS year, amount, state, district, industry, country_code
-    FROM grants_raw""")
+  SELECT row_number() OVER () AS rno, txn_id, {year('year')} AS year, amount, state, district,
+         industry, country_code FROM grants_raw""")
 
 cte("combined", "contracts labels_4 states legislators", """
   SELECT c.*, description, state_name, population, median_household_income,
@@ -256,12 +259,17 @@ cte("snap_new", "contracts_raw", """
     FROM contracts_raw WHERE txn_id LIKE '%3-4-%'""")
 cte("snap_kept", "snap_new snap_old",
     "SELECT * FROM snap_new WHERE txn_id IN (SELECT txn_id FROM snap_old)")
-cte("snap_diff", "snap_old snap_new", """
+_PER_KEY = (
+    "SELECT txn_id, sum(amount) AS amount,"
+    " list_sort(list(coalesce(CAST(amount AS VARCHAR), 'null'))) AS bag FROM {} GROUP BY txn_id"
+)
+cte("snap_diff", "snap_old snap_new", f"""
   SELECT coalesce(o.txn_id, n.txn_id) AS txn_id, o.amount AS old_amount, n.amount AS new_amount,
          CASE WHEN o.txn_id IS NULL THEN 'new' WHEN n.txn_id IS NULL THEN 'missing'
               ELSE 'changed' END AS status
-    FROM snap_old o FULL OUTER JOIN snap_new n ON o.txn_id = n.txn_id
-   WHERE o.txn_id IS NULL OR n.txn_id IS NULL OR o.amount IS DISTINCT FROM n.amount""")
+    FROM ({_PER_KEY.format('snap_old')}) o
+    FULL OUTER JOIN ({_PER_KEY.format('snap_new')}) n ON o.txn_id = n.txn_id
+   WHERE o.txn_id IS NULL OR n.txn_id IS NULL OR o.bag <> n.bag""")
 cte("snap_appended", "snap_old snap_new", """
   SELECT * FROM snap_old
   UNION ALL SELECT * FROM snap_new WHERE txn_id NOT IN (SELECT txn_id FROM snap_old)""")
@@ -451,14 +459,15 @@ def statements() -> dict[str, str]:
         ),
         "govgrant_data_dedup": q(
             "grants legislators",
-            f"SELECT DISTINCT {_bare('c', 'industry')}, {_PERSON}"
-            " FROM grants c LEFT JOIN legislators l ON "
-            + _SEAT.format(d=f"({number('c.district')})"),
+            f"SELECT * EXCLUDE (rno) FROM (SELECT DISTINCT rno, {_bare('c', 'industry')},"
+            f" {_PERSON} FROM grants c LEFT JOIN legislators l ON "
+            + _SEAT.format(d=f"({number('c.district')})")
+            + ")",
         ),
         "enriched_distinct": q(
             "combined",
-            f"SELECT DISTINCT {_CLEAN}, description, {_DEMO}, {_PERSON} FROM combined"
-            " WHERE typeofrep = 'rep'",
+            f"SELECT {_CLEAN}, description, {_DEMO}, {_PERSON} FROM"
+            " (SELECT DISTINCT * FROM combined WHERE typeofrep = 'rep')",
         ),
         "legis_by_year_hr": mart("legis", "rep"),
         "legis_by_year_sen": mart("legis", "sen"),

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from uuid import uuid4
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from obligo.functions import clean
-from obligo.functions.keys import bucket, hash_number
+from obligo.functions.keys import hash_number
 from obligo.operators import enrich, migration, snapshots, terms, totals
 from obligo.plans import marts, serving
 from obligo.plans.refresh import refresh
@@ -28,7 +29,6 @@ AFTER = "1998"
 CHUNKS = 100
 ROWS_PER_CHUNK = 1000
 JANUARY, FEBRUARY = "2020-01-05", "2020-02-05"
-DOCUMENTS_PER_FILE = 50_000
 
 # What the catalogue of the test tables would say: key columns and constraint type per table.
 # The supplier table has no key, the key of events is no primary key, recent_orders is a view.
@@ -70,20 +70,22 @@ def prints(df: DataFrame) -> DataFrame:
 
 
 def json_scan(s: Source) -> DataFrame:
-    """Writes the roster as files that each hold one JSON array, and reads them back."""
+    """Writes the roster as files that each hold one JSON array, and reads them back.
+
+    An Arrow batch bounds how many documents make one file, whatever they contain.
+    """
+
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield pd.DataFrame({"value": ["[" + ",".join(batch["document"]) + "]"]})
+
     current, historical = s.roster()
-    documents = current.unionByName(historical)
-    files = -(-documents.count() // DOCUMENTS_PER_FILE)
     path = f"{scratch_folder(s.spark)}/roster-{uuid4().hex}"
-    text = F.concat(F.lit("["), F.concat_ws(",", F.collect_list("document")), F.lit("]"))
     (
-        documents.select(
-            bucket(F.col("name.last"), max(files, 1)).alias("file"),
-            F.to_json(F.struct("name", "terms")).alias("document"),
-        )
-        .groupBy("file")
-        .agg(text.alias("value"))
-        .select("value")
+        current.unionByName(historical)
+        .select(F.to_json(F.struct("name", "terms")).alias("document"))
+        .mapInPandas(arrays, "value string")
         .write.option("maxRecordsPerFile", 1)
         .text(path)
     )

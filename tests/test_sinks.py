@@ -80,6 +80,7 @@ def test_snapshots_are_replaced_by_date_and_the_latest_is_read(spark, df, tmp_pa
     assert dict(every.dtypes)["snapshot_date"] == "string"
     assert every.count() == 2005
     newest = tables.latest_snapshot(every)
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan(newest)
     assert newest.count() == 5 and newest.columns == ["k", "id", "snapshot_date"]
     pruned = every.filter("snapshot_date = '2020-01-05'")
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan(pruned)
