@@ -38,7 +38,8 @@ def migration_plan(tables: DataFrame, keys: DataFrame, constraints: DataFrame,
                    estimates: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
     """One row per stored table with a primary key: its key columns, size and chunks.
 
-    The columns of a composite key are one array, so such a table is listed once.
+    The columns of a composite key are one array, so such a table is listed once. A database
+    bounds the columns of a key, so the array is short.
     """
     primary = constraints.filter(F.col("constraint_type") == "PRIMARY KEY").select(
         "constraint_name"

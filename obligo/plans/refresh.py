@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +15,8 @@ from obligo.operators.snapshots import (
     new_rows,
     snapshot_fingerprint,
 )
-from obligo.plans.marts import all_marts
-from obligo.sinks.tables import read_snapshots, stored, write_snapshot
+from obligo.plans.marts import MARTS, all_marts
+from obligo.sinks.tables import latest_snapshot, read_snapshots, stored, write_snapshot
 from obligo.sources.transactions import clean_contracts
 
 TRANSACTIONS = "transactions"
@@ -41,11 +43,24 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
         spark, compare_fingerprints(snapshot_fingerprint(before, by), carried, by), "comparison"
     )
     current = taken.filter(F.col("snapshot_date") <= snapshot_date).drop("snapshot_date")
-    for name, mart in all_marts(spark, clean_contracts(current), dims).items():
-        write_snapshot(mart, f"{root}/{name}", snapshot_date)
+    publish_marts(all_marts(spark, clean_contracts(current), dims), root, snapshot_date)
     return report
 
 
+def publish_marts(marts: dict[str, DataFrame], root: str, snapshot_date: str) -> None:
+    """Writes the dated marts side by side: each alone would leave most of a cluster idle."""
+    with ThreadPoolExecutor(len(marts)) as pool:
+        list(pool.map(
+            lambda name: write_snapshot(marts[name], f"{root}/{name}", snapshot_date), marts
+        ))
+
+
+def register_views(spark: SparkSession, root: str) -> None:
+    """Makes the latest marts of a store queryable in SQL under their published names."""
+    for name in MARTS:
+        latest_snapshot(read_snapshots(spark, f"{root}/{name}")).createOrReplaceTempView(name)
+
+
 def _before(spark: SparkSession, folder: str, snapshot_date: str, dump: DataFrame) -> DataFrame:
     """What the store held before the date; nothing where there is no store yet."""
     try:

@@ -16,6 +16,10 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# Bytes one shuffle task should get, and the number of partitions Spark uses by default.
+SHUFFLE_TASK_BYTES = 512 * 1024**2
+DEFAULT_PARTITIONS = 200
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -29,6 +33,17 @@ def build_session(app: str = "obligo", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
+    """Sets the number of shuffle partitions for jobs that shuffle about so many bytes.
+
+    Adaptive execution merges partitions that turn out small but cannot make more of them, so
+    snapshot jobs over large tables have to start with enough for a partition to fit in memory.
+    """
+    partitions = max(DEFAULT_PARTITIONS, -(-shuffled_bytes // SHUFFLE_TASK_BYTES))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: what the cluster names in spark.checkpoint.dir.
 

@@ -70,13 +70,21 @@ def partition_row_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def write_chunks(df: DataFrame, path: str, key: str, chunks: int, mode: str = "append") -> None:
+def write_chunks(df: DataFrame, path: str, key: str, chunks: int = MART_CHUNKS,
+                 mode: str = "append") -> None:
     """Writes a table in chunks, one folder per chunk, without reading it once per chunk.
 
-    A chunk is a hash range of the key, so chunks are even; each chunk is written by several
-    tasks where it is large.
+    A chunk is a hash range of the key, so chunks are even. Rows are rebalanced by chunk before
+    they are written: a small chunk is one file, a large or skewed one several, and there is no
+    file per chunk and task.
     """
-    assign_chunks(df, key, chunks).write.mode(mode).partitionBy("chunk").parquet(path)
+    (
+        assign_chunks(df, key, chunks)
+        .hint("rebalance", "chunk")
+        .write.mode(mode)
+        .partitionBy("chunk")
+        .parquet(path)
+    )
 
 
 def with_snapshot(df: DataFrame, snapshot_date: str) -> DataFrame:
