@@ -16,6 +16,8 @@ AMOUNT = "amount"
 HOT_BUCKETS = 4096
 HOT_ROWS = 1_000_000
 HOT_FACTOR = 8
+# Share of rows in differing groups above which a localized diff has nothing to save.
+FULL_DIFF_SHARE = 0.5
 
 
 def _side(side: str, column: Column) -> Column:
@@ -159,20 +161,22 @@ def localized_diff(old: DataFrame, new: DataFrame, by: list[str], algo: str = "x
     """The same rows as ``snapshot_diff``, comparing row by row only the groups that differ.
 
     A fingerprint per group is one map-side aggregate, so unchanged groups are never shuffled.
-    The groups that differ are measured; a list within ``limit`` bytes is broadcast to filter
-    the scans, a longer one leaves nothing to save and both snapshots are compared in full.
+    The comparison is measured: where it fits into ``limit`` bytes and the groups that differ
+    hold at most half of the rows, their list is broadcast to filter the scans. Otherwise there
+    is little to save and both snapshots are compared in full.
     """
-    groups = compare_fingerprints(
+    compared = measure({"groups": compare_fingerprints(
         snapshot_fingerprint(old, by, algo, key, amount),
         snapshot_fingerprint(new, by, algo, key, amount),
         by,
-    ).filter(F.col("status") == "changed").select(*by)
-    differing = measure({"groups": groups})["groups"]
-    if not differing.fits(limit):
+    )})["groups"]
+    rows = F.coalesce("old_n_rows", F.lit(0)) + F.coalesce("new_n_rows", F.lit(0))
+    differs = F.col("status") == "changed"
+    total, differing = compared.df.agg(F.sum(rows), F.sum(F.when(differs, rows))).first()
+    if not compared.fits(limit) or (differing or 0) > FULL_DIFF_SHARE * (total or 0):
         return snapshot_diff(old, new, key, amount)
-    return snapshot_diff(
-        _in_groups(old, differing, by), _in_groups(new, differing, by), key, amount
-    )
+    groups = Sized(compared.df.filter(differs).select(*by), compared.n_bytes)
+    return snapshot_diff(_in_groups(old, groups, by), _in_groups(new, groups, by), key, amount)
 
 
 def _in_groups(df: DataFrame, groups: Sized, by: list[str]) -> DataFrame:

@@ -106,7 +106,16 @@ class Source:
         return legislator_years(current, historical, SEAT_MIN_START)
 
     def roster(self) -> tuple[DataFrame, DataFrame]:
-        return derive_roster(self.spread("orders"))
+        """Current and historical documents, as delivered files."""
+
+        def make() -> tuple[DataFrame, DataFrame]:
+            current, historical = derive_roster(self.spread("orders"))
+            return (
+                stored(self.spark, current, "roster-current"),
+                stored(self.spark, historical, "roster-historical"),
+            )
+
+        return self.once("roster", make)
 
     def dims(self) -> Dimensions:
         return self.once(

@@ -1,3 +1,4 @@
+import random
 from decimal import Decimal
 
 import pytest
@@ -97,3 +98,27 @@ def test_sql_functions_agree_with_the_columns(spark):
     assert results(df, F.expr("to_country(s)")) == ["UNITED STATES", "CAN", None]
     df = column(spark, ["519130", None])
     assert results(df, F.expr("to_industry(s)")) == ["5191", None]
+
+
+def as_number(text):
+    """What a text is worth as a whole number, in plain Python."""
+    try:
+        return int(text)
+    except ValueError:
+        return None
+
+
+def test_random_texts(spark):
+    """Against the rules in words: last four, else first four; early years need a numeric start."""
+    r = random.Random(7)
+    texts = ["".join(r.choices("00112299+-/ .aZ", k=r.randint(0, 11))) for _ in range(4000)]
+    df = column(spark, texts)
+    years = results(df, clean.clean_year(F.col("s")))
+    strict = results(df, clean.clean_year(F.col("s"), "strict"))
+    districts = results(df, clean.clean_district(F.col("s")))
+    for text, year, strict_year, district in zip(texts, years, strict, districts):
+        last, first = as_number(text[-4:]), as_number(text[:4])
+        early = last is not None and last < 1300
+        assert year == (first if last is None else None if early and first is None else last), text
+        assert strict_year == (first if last is None or early else last), text
+        assert district == as_number(text[-2:] if len(text) > 2 else text), text

@@ -130,6 +130,16 @@ def test_localized_diff_equals_the_full_diff(old, new, limit):
         S.snapshot_diff(old, new))
 
 
+def test_localized_diff_filters_only_where_few_rows_differ(spark, old):
+    few = old.withColumn("amount", F.when(F.col("state") == "S1", F.col("amount") + 1)
+                         .otherwise(F.col("amount")).cast("decimal(18,2)"))
+    most = old.withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
+    for changed, filtered in ((few, True), (most, False)):
+        got = S.localized_diff(old, changed, ["state"])
+        assert rows(got) == rows(S.snapshot_diff(old, changed)) != []
+        assert ("BroadcastHashJoin" in plan(got)) == filtered
+
+
 def test_row_that_moves_to_another_group_is_not_a_change(spark):
     old = frame(spark, ("a", "1.00", "S1"), ("b", "1.00", "S2"))
     new = frame(spark, ("a", "1.00", None), ("b", "1.00", "S2"))
