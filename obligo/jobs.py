@@ -9,7 +9,8 @@
 IN holds the source tables as parquet folders (transaction_fpds, transaction_fabs, naics,
 state_data) and legislators-current.json and legislators-historical.json. With ``--from PREFIX``
 the tables are read over JDBC instead, from the database named by PREFIX_URL, PREFIX_DRIVER,
-PREFIX_USER and PREFIX_PASSWORD in the environment, split by ``--key``.
+PREFIX_USER and PREFIX_PASSWORD in the environment. The transactions are then split by ranges of
+an indexed number (``--range id 0 72000000``) or, without one, by a hash of their key (``--key``).
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from obligo.sinks.tables import DETAIL_CHUNKS, write_chunks, write_files
 from obligo.sources import catalogue
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
 from obligo.sources.legislators import read_legislators
-from obligo.sources.relational import Connection, read_by_key, read_relation
+from obligo.sources.relational import Connection, read_by_key, read_by_range, read_relation
 from obligo.sources.transactions import (
     clean_contracts,
     clean_grants,
@@ -47,6 +48,10 @@ def table(spark: SparkSession, options: argparse.Namespace, name: str) -> DataFr
     if not options.source:
         return spark.read.parquet(f"{options.input}/{name}")
     database = Connection.from_environment(options.source)
+    if name in FACTS and options.range:
+        column, lower, upper = options.range
+        return read_by_range(spark, database, name, column, int(lower), int(upper),
+                             READ_PARTITIONS)
     if name in FACTS:
         return read_by_key(spark, database, name, options.key, READ_PARTITIONS)
     return read_relation(spark, database, name)
@@ -129,6 +134,8 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--date", help="snapshot date of marts and refresh")
     parser.add_argument("--from", dest="source", help="prefix of the database's settings")
     parser.add_argument("--key", nargs="+", default=["txn_id"], help="key columns of the facts")
+    parser.add_argument("--range", nargs=3, metavar=("COLUMN", "LOWER", "UPPER"),
+                        help="indexed number to split the facts by")
     parser.add_argument("--only", nargs="+", help="tables to copy")
     parser.add_argument("--shuffle-bytes", type=int, help="bytes the largest shuffle will move")
     options = parser.parse_args(arguments)

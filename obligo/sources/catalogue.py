@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 Read = Callable[[str], DataFrame]
 
+# Where the source database keeps its row estimates (fixed value).
 ROW_ESTIMATES = "(SELECT reltuples AS approx_cnt, relname AS table_name FROM pg_class) estimates"
 
 

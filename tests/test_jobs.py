@@ -1,4 +1,5 @@
 import json
+from argparse import Namespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,3 +95,25 @@ def test_shuffles_are_sized(spark):
         assert size_shuffles(spark, 100 * 10**12) == 186265
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_facts_are_split_where_they_come_from_a_database(monkeypatch):
+    monkeypatch.setenv("SRC_URL", "jdbc:x")
+    calls = []
+
+    class Reader:
+        def jdbc(self, url, relation, **options):
+            calls.append((relation, options))
+
+    class Session:
+        read = Reader()
+
+    options = Namespace(source="SRC", range=["id", "0", "72000000"], key=["txn_id"])
+    jobs.table(Session, options, "transaction_fpds")
+    jobs.table(Session, options, "naics")
+    options.range = None
+    jobs.table(Session, options, "transaction_fabs")
+    (_, ranged), (name, plain), (_, hashed) = calls
+    assert ranged["column"] == "id" and ranged["upperBound"] == 72_000_000
+    assert name == "naics" and set(plain) == {"properties"}
+    assert len(hashed["predicates"]) == ranged["numPartitions"] == 200

@@ -62,7 +62,7 @@ def test_what_is_asked_of_the_database():
     read_by_key(reader, SOURCE, "transaction_fpds", "txn_id", 200)
     (_, table, options), (_, _, ranged), (_, _, keyed) = reader.calls
     assert table == "(SELECT code FROM naics) n"
-    assert options["properties"] == SOURCE.options
+    assert options["properties"] == {"fetchsize": "10000", **SOURCE.options}
     assert (ranged["column"], ranged["lowerBound"], ranged["upperBound"],
             ranged["numPartitions"]) == ("id", 0, 72_000_000, 200)
     assert len(keyed["predicates"]) == 200
