@@ -95,9 +95,10 @@ def write_snapshot(df: DataFrame, root: str, snapshot_date: str) -> None:
     """Appends one dated snapshot to a table; writing the same date again replaces it.
 
     The partition folder is the unit of replacement, so a repeated run that has fewer rows, or
-    none, leaves nothing of the earlier run behind.
+    none, leaves nothing of the earlier run behind. Rows are rebalanced into files of even size:
+    the join or aggregation before may have left a hot key in one partition and little in others.
     """
-    df.write.mode("overwrite").parquet(f"{root}/snapshot_date={snapshot_date}")
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/snapshot_date={snapshot_date}")
 
 
 def read_snapshots(spark: SparkSession, root: str) -> DataFrame:

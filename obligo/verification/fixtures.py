@@ -51,13 +51,24 @@ class Source:
         cores = self.spark.sparkContext.defaultParallelism
         return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
+    def stored_evenly(self, df: DataFrame, name: str) -> DataFrame:
+        """Stores a source table in files of equally many rows.
+
+        The joins that derive it may leave all rows of a hot key, or all copies of a row, in one
+        file. Copies take next to no bytes, so no reader would split that file again.
+        """
+        files = max(
+            self.spark.sparkContext.defaultParallelism,
+            int(self.spark.conf.get("spark.sql.shuffle.partitions")),
+        )
+        return stored(self.spark, df.repartition(files), name)
+
     # -- transactions ---------------------------------------------------------------------
 
     def transactions(self) -> DataFrame:
         return self.once(
             "transactions",
-            lambda: stored(
-                self.spark,
+            lambda: self.stored_evenly(
                 derive_transactions(
                     self.spread("lineitem"),
                     self.table("orders"),
