@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obligo.llm import exact_dedup
+from obligo.llm import exact_dedup, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_dedup": simhash.query,
     "op8_exact_dedup": exact_dedup.query,
 }
 
