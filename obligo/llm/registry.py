@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obligo.llm import exact_dedup, simhash
+from obligo.llm import exact_dedup, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.query,
+    "op4_toxicity": toxicity.query,
     "op8_exact_dedup": exact_dedup.query,
 }
 
