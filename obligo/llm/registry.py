@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obligo.llm import exact_dedup, simhash, toxicity
+from obligo.llm import exact_dedup, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.query,
     "op4_toxicity": toxicity.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op10_packing": packing.query,
 }
 
 SQL: dict[str, str] = {
