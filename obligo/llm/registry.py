@@ -6,15 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obligo.llm import exact_dedup, packing, simhash, toxicity
+import corpus_pipeline
+from obligo.llm import exact_dedup, mixing, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.query,
     "op4_toxicity": toxicity.query,
+    "op6_mix_sources": mixing.query,
     "op8_exact_dedup": exact_dedup.query,
     "op10_packing": packing.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
     "op8_exact_dedup": exact_dedup.SQL,
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
