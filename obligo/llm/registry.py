@@ -7,10 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from obligo.llm import exact_dedup, mixing, packing, simhash, toxicity
+from obligo.llm import exact_dedup, line_dedup, mixing, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.query,
+    "op3_line_dedup": line_dedup.query,
     "op4_toxicity": toxicity.query,
     "op6_mix_sources": mixing.query,
     "op8_exact_dedup": exact_dedup.query,
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op3_line_dedup": line_dedup.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
