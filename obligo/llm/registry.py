@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from obligo.llm import exact_dedup, line_dedup, mixing, packing, simhash, toxicity
+from obligo.llm import exact_dedup, fingerprints, line_dedup, mixing, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": simhash.query,
     "op3_line_dedup": line_dedup.query,
     "op4_toxicity": toxicity.query,
+    "op5_fingerprints": fingerprints.query,
     "op6_mix_sources": mixing.query,
     "op8_exact_dedup": exact_dedup.query,
     "op10_packing": packing.query,
