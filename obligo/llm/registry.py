@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from obligo.llm import exact_dedup, fingerprints, line_dedup, mixing, packing, simhash, toxicity
+from obligo.llm import exact_dedup, fingerprints, line_dedup, mixing, packing, secret_scan, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": secret_scan.query,
     "op2_simhash_dedup": simhash.query,
     "op3_line_dedup": line_dedup.query,
     "op4_toxicity": toxicity.query,
