@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from obligo.llm import exact_dedup, fingerprints, line_dedup, mixing, packing, secret_scan, simhash, toxicity
+from obligo.llm import (
+    exact_dedup,
+    fingerprints,
+    line_dedup,
+    lm_score,
+    mixing,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": secret_scan.query,
@@ -16,7 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": toxicity.query,
     "op5_fingerprints": fingerprints.query,
     "op6_mix_sources": mixing.query,
+    "op7_lm_score": lm_score.query,
     "op8_exact_dedup": exact_dedup.query,
+    "op9_quality": quality.query,
     "op10_packing": packing.query,
     "pipeline": corpus_pipeline.run,
 }
