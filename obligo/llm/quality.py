@@ -57,7 +57,8 @@ STRETCH = 200  # words among which repeats make a text monotonous
 START_SHARE, START_HIGH, START_OWN, START_OTHER = 0.02, 0.01, 0.9, 0.15
 # What the first may rise to and the second fall to, so that the kinds keep their meaning.
 MOST_HIGH, LEAST_OWN = 0.05, 0.6
-PSEUDO = 1.0  # votes of either kind added to those counted
+# Documents, and votes of each labeller per class, that the start counts for.
+PSEUDO_DOCUMENTS, PSEUDO_VOTES = 100.0, 5.0
 STEPS = 500
 
 FEATURE_BITS = 16
@@ -65,6 +66,7 @@ ROUNDS, SHARES = 3, 8
 RATES = (1.0, 0.5, 0.25)
 THRESHOLD = 0.5
 BLOCK_ROWS = 4096
+ONE = crc32(b"one") & ((1 << FEATURE_BITS) - 1)  # the feature that every document has
 
 SHAPE = bytes.maketrans(
     bytes(range(256)),
@@ -127,7 +129,7 @@ class Read:
         # Every rate falls into one of nine steps, each a feature of its own.
         steps = [crc32(b"rate %d %d" % (i, int(np.ceil(min(max(r, -0.125), 1.0) * 8))))
                  for i, r in enumerate(rates)]
-        self.ids = np.r_[ids, np.array([*steps, crc32(b"one")]) & ((1 << FEATURE_BITS) - 1)]
+        self.ids = np.r_[ids, np.array(steps) & ((1 << FEATURE_BITS) - 1), ONE]
         self.values = np.r_[values, np.ones(len(steps) + 1)]
 
 
@@ -149,6 +151,7 @@ def posterior_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     rates = np.full((n + 1, n), START_OTHER)
     rates[0], rates[np.arange(n) + 1, np.arange(n)] = START_HIGH, START_OWN
     shares = np.r_[1 - n * START_SHARE, np.full(n, START_SHARE)]
+    first_rates, first_shares = rates, shares
     for _ in range(STEPS):
         joint = low @ np.log(rates).T + (voted - low) @ np.log(1 - rates).T + np.log(shares)
         joint -= joint.max(1, keepdims=True)
@@ -157,8 +160,9 @@ def posterior_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
         mass = posterior * counts[:, None]
         if not counts.any():
             break
-        shares = (mass.sum(0) + PSEUDO) / (mass.sum() + PSEUDO * (n + 1))
-        new = (mass.T @ low + PSEUDO * START_OTHER) / (mass.T @ voted + PSEUDO)
+        shares = (mass.sum(0) + PSEUDO_DOCUMENTS * first_shares) / (
+            mass.sum() + PSEUDO_DOCUMENTS)
+        new = (mass.T @ low + PSEUDO_VOTES * first_rates) / (mass.T @ voted + PSEUDO_VOTES)
         new = np.clip(new, 1e-6, 1 - 1e-6)
         new[0] = np.minimum(new[0], MOST_HIGH)
         own = (np.arange(n) + 1, np.arange(n))
@@ -188,9 +192,11 @@ def pattern_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
-def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray) -> np.ndarray:
-    """Weights of the linear scorer after all rounds."""
+def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray,
+                    share_high: float) -> np.ndarray:
+    """Weights of the linear scorer after all rounds; it starts from the share of high quality."""
     weights = np.zeros(1 << FEATURE_BITS, np.float32)
+    weights[ONE] = np.log(share_high / (1 - share_high))
     tasks = max(2, 2 * spark.sparkContext.defaultParallelism)
     for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast((weights, posterior))
@@ -224,8 +230,8 @@ def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray)
 
 def quality(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, score, whether the document is kept, and the posterior of its votes."""
-    posterior, _, _ = posterior_of(pattern_counts(docs))
-    weights = trained_weights(spark, docs, posterior)
+    posterior, _, shares = posterior_of(pattern_counts(docs))
+    weights = trained_weights(spark, docs, posterior, float(np.clip(shares[0], 0.01, 0.99)))
     shared = spark.sparkContext.broadcast((weights.astype(np.float64), posterior))
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
