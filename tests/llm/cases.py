@@ -1,0 +1,61 @@
+"""Tables the operator tests share: awkward rows and the given documents."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+HAVE_TABLES = Path(SMALL).exists()
+LINE = "this is a shared line of text"
+LONG = "word " * 200_000
+
+# Columns beside those of documents have names that the operators use inside.
+SCHEMA = (
+    "doc_id long, text string, lang string, source string, n_chars long, hash int, key string, "
+    "digest string, fp long, keep_id long, kept boolean, id long, root long, item long, pass int, "
+    "row int"
+)
+EXTRA = (9, "k", "d", 7, 8, True, 1, 2, 3, 4, 5)
+ROWS = [
+    (1, None, None, None, None),
+    (1, None, None, None, None),
+    (None, "", "en", "a", 0),
+    (None, f"Hello there my friend\n{LINE}\n", "en", "a", 5),
+    (2, LINE, "en", "b", 3),
+    (3, LINE, "en", "b", 3),
+    (4, "THIS is a Shared line of text ", "en", None, 3),
+    (5, LONG, "en", "b", None),
+    (5, LONG, "en", "b", None),
+    (-7, "token = 'abcdefghijklmnop' \U0001f600 İ", "xx", "c", 1),
+    (6, "   \n\t ", "en", "c", 1),
+]
+
+
+def awkward(spark):
+    return spark.createDataFrame([r + EXTRA for r in ROWS], SCHEMA)
+
+
+def documents(spark, texts):
+    """doc_id, text and source of a list of texts, or of pairs of id and text."""
+    rows = [x if isinstance(x, tuple) else (i, x) for i, x in enumerate(texts)]
+    return spark.createDataFrame([(i, t, "s") for i, t in rows],
+                                 "doc_id long, text string, source string")
+
+
+def labels(spark):
+    return spark.createDataFrame(
+        [(1, 1, 0), (2, 1, 1), (None, 0, 1), (5, None, None), (5, 1, 0), (99, 0, 1)],
+        "doc_id long, quality int, toxic int",
+    )
+
+
+def given(folder):
+    """Ids and texts of a given table, in the order of the ids."""
+    import pyarrow.parquet as pq
+
+    table = pq.read_table(f"{folder}/documents.parquet").to_pydict()
+    return sorted(zip(table["doc_id"], table["text"]))
+
+
+def lower(value):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in value)
