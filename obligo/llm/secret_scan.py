@@ -1,7 +1,8 @@
 """Secret scan: fixed patterns, and strings that look random to character Markov models.
 
 Two first-order Markov models over characters are counted on labelled strings of all documents:
-what the fixed patterns find counts as random, other long strings as ordinary identifiers. A
+what the fixed patterns find counts as random, long strings made of words, numbers and signs
+between them as ordinary identifiers; other strings have no label and train neither model. A
 string that no pattern covers is reported where the logarithm of its likelihood ratio exceeds the
 logarithm of the prior odds against it, taken from the numbers of labelled strings, and of the
 cost of a false report. The counts of the models are added up in Spark; what reaches the driver
@@ -43,6 +44,9 @@ LEAST_ASSIGN, LEAST_ACCESS = 12, 18
 
 # Strings the models judge.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# Those of them that are ordinary by their form: words in one case or camel case, and numbers.
+ORDINARY = re.compile(
+    r"(?:(?:(?:[A-Z]?[a-z]{2,}+)++[0-9]{0,2}|[A-Z]++|[0-9]++|[A-Za-z])(?:[+/_=-]++|$))++")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 EDGE = len(ALPHABET)  # before the first and after the last character
 STATES = EDGE + 1
@@ -106,7 +110,8 @@ def pair_counts(docs: DataFrame) -> DataFrame:
             for value in batch.column(0).to_pylist():
                 spans = base_spans(value)
                 random += [value[s:e] for _, _, e, s in spans]
-                ordinary += [value[s:e] for s, e in candidates(value, spans)]
+                ordinary += [x for s, e in candidates(value, spans)
+                             if ORDINARY.fullmatch(x := value[s:e])]
             for label, found in enumerate((ordinary, random)):
                 if found:
                     pairs, _ = transitions(found)

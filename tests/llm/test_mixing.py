@@ -1,0 +1,93 @@
+import math
+
+import cases
+import pytest
+
+from obligo.llm import mixing
+
+
+def shares(totals):
+    return {k: v / sum(totals.values()) for k, v in totals.items()}
+
+
+def best_exponent(p, entropy, most):
+    """The largest exponent that reaches the entropy, raised until the limit holds."""
+
+    def weights(a):
+        w = {k: v**a for k, v in p.items()}
+        return {k: v / sum(w.values()) for k, v in w.items()}
+
+    def fits(a):
+        w = weights(a)
+        high = -sum(x * math.log(x) for x in w.values()) >= entropy * math.log(len(w))
+        return high or max(w[k] / p[k] for k in p) > most
+
+    if fits(1.0):
+        return 1.0
+    low, high = 0.0, 1.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        low, high = (middle, high) if fits(middle) else (low, middle)
+    return low
+
+
+def skewed(spark, sizes):
+    rows = []
+    for source, n in sizes.items():
+        rows += [(len(rows) + i, " ".join(["w"] * (3 + (len(rows) + i) % 50)), source)
+                 for i in range(n)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize("entropy,most", [(0.95, 4.0), (0.999, 4.0), (0.999, 1.5), (0.2, 4.0)])
+def test_weights_budgets_and_passes(spark, entropy, most):
+    rows, docs = skewed(spark, {"big": 3000, "mid": 800, "small": 200, None: 100})
+    tokens = {}
+    for _, t, s in rows:
+        tokens[s] = tokens.get(s, 0) + len(t.split()) + 1
+    p, total = shares(tokens), sum(tokens.values())
+    a = best_exponent(p, entropy, most)
+    taken = mixing.mixed(spark, docs, target_entropy=entropy, most_passes=most).toPandas()
+    assert taken.exponent.iloc[0] == pytest.approx(a, abs=2e-5)
+    scale = sum(x**a for x in p.values())
+    got = taken.groupby("source", dropna=False).n_tokens.sum()
+    for source, x in p.items():
+        at = got.index.isna() if source is None else got.index == source
+        assert abs(got[at].iloc[0] - x**a / scale * total) <= 60
+        assert x**a / scale / x <= most * 1.001
+    # Within a source nothing is taken twice more than anything else.
+    often = taken.groupby("doc_id").size().reindex([r[0] for r in rows], fill_value=0)
+    for source in tokens:
+        of = [often[i] for i, _, s in rows if s == source]
+        assert max(of) - min(of) <= 1
+    # A pass takes whole blocks in the order of its permutation but for the last one.
+    assert taken.groupby(["source", "pass", "block"]).block_order.nunique().max() == 1
+
+
+def test_equal_rows_and_every_column(spark):
+    docs = cases.awkward(spark)
+    kept = mixing.mixed_rows(spark, docs)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} <= {r[0] for r in cases.ROWS}
+    often = {}
+    for r in mixing.mixed(spark, docs).collect():
+        often[r.doc_id, r.n_tokens] = often.get((r.doc_id, r.n_tokens), 0) + 1
+    assert often[1, 1] % 2 == 0  # two equal rows are taken together
+
+
+def test_empty_table(spark):
+    docs = cases.awkward(spark).limit(0)
+    assert mixing.mixed(spark, docs).count() == 0
+    assert mixing.mixed_rows(spark, docs).count() == 0
+
+
+def test_one_source_is_taken_once(spark):
+    docs = cases.documents(spark, [f"text {i}" for i in range(50)])
+    assert sorted(r.doc_id for r in mixing.mixed_rows(spark, docs).collect()) == list(range(50))
+
+
+@pytest.mark.skipif(not cases.HAVE_TABLES, reason="no test tables")
+def test_query_reads_the_whole_table(spark):
+    taken = mixing.query(spark, cases.SMALL).toPandas()
+    # The sources are even here, so every document is taken once.
+    assert sorted(taken.doc_id) == [i for i, _ in cases.given(cases.SMALL)]

@@ -1,0 +1,122 @@
+import zlib
+
+import cases
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from obligo.llm import packing
+from obligo.llm.packing import Encoder, sum_of_squares, tokenizer_path
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return Encoder(tokenizer_path())
+
+
+def brute_pieces(encoder, pairs, length=4096):
+    out = []
+    for i, t in pairs:
+        ids = [*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        for k, s in enumerate(range(0, len(ids), length)):
+            part = np.array(ids[s:s + length], "<u4").tobytes()
+            out.append((i, k, s, len(ids[s:s + length]), zlib.crc32(part)))
+    return sorted(out, key=str)
+
+
+def verified(df, length=4096):
+    """Pieces of a packing whose sequences are gapless and within the length."""
+    rows = df.toPandas().sort_values(["sequence_id", "offset"])
+    before = rows.groupby("sequence_id").length.cumsum() - rows.length
+    assert (before == rows.offset).all()
+    assert not len(rows) or rows.groupby("sequence_id").length.sum().max() <= length
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    return rows, sorted(
+        ((None if i != i else int(i), *map(int, r)) for i, *r in
+         rows[columns].itertuples(index=False, name=None)), key=str)
+
+
+def test_awkward_rows(spark, encoder):
+    _, got = verified(packing.packed(spark, cases.awkward(spark)))
+    assert got == brute_pieces(encoder, [(r[0], r[1]) for r in cases.ROWS])
+
+
+def test_empty_table(spark):
+    assert packing.packed(spark, cases.awkward(spark).limit(0)).count() == 0
+
+
+def test_rounds_of_groups_pack_nearly_as_well_as_one(spark):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(["word"] * int(n)) for n in rng.integers(1, 60, 3000)]
+    docs = cases.documents(spark, texts)
+    lower = -(-sum(len(t.split()) + 1 for t in texts) // 64)
+    for group, most in ((5000, 1.03), (100, 1.08)):
+        rows, _ = verified(packing.packed(spark, docs, length=64, group_pieces=group), 64)
+        assert len(rows) == 3000
+        assert rows.sequence_id.nunique() <= lower * most
+
+
+def test_long_pieces_that_share_nothing(spark):
+    docs = cases.documents(spark, [" ".join(["word"] * 40)] * 500)
+    rows, _ = verified(packing.packed(spark, docs, length=64, group_pieces=50), 64)
+    assert rows.sequence_id.nunique() == 500
+
+
+def brute_sum_of_squares(sizes, capacity):
+    """Every choice tried and the whole sum taken."""
+    level, sequence = [], []
+    for s in sizes:
+        best = None
+        for number in [*range(len(level)), len(level)]:
+            trial = [*level] + [0] * (number == len(level))
+            if trial[number] + s > capacity:
+                continue
+            trial[number] += s
+            gaps = {}
+            for x in trial:
+                if x < capacity:
+                    gaps[capacity - x] = gaps.get(capacity - x, 0) + 1
+            own = (sum(n * n for n in gaps.values()), number == len(level),
+                   capacity - trial[number])
+            if best is None or own < best[0]:
+                best = own, trial, number
+        level = best[1]
+        sequence.append(level[best[2]])
+    return sorted(level)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(1, 16), max_size=40))
+def test_placement_is_that_of_the_smallest_sum(sizes):
+    sequence, offset = sum_of_squares(np.array(sizes, np.int64), 16)
+    filled = {}
+    for s, size, at in zip(sequence.tolist(), sizes, offset.tolist()):
+        assert filled.get(s, 0) == at
+        filled[s] = at + size
+    assert sorted(filled.values()) == brute_sum_of_squares(sizes, 16)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet=st.one_of(
+    st.sampled_from(" \t\n\x0b\x0c\r\x1c\x85  .,!|'sdmtllrevİıΣςK1²<>_-"),
+    st.characters(codec="utf-8")), max_size=30))
+def test_ids_are_those_of_the_tokenizer(value):
+    encoder = Encoder.of_worker(tokenizer_path())
+    ids = encoder.tokenizer.encode(value, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(value.encode()), "<u4").tolist() == ids
+
+
+def test_memory_may_be_forgotten(encoder, monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
+    monkeypatch.setattr(packing, "REMEMBERED_PARTS", 3)
+    for value in ("a b c d, e! f", "g h a b, c", "d e f g. h i", "a,"):
+        ids = encoder.tokenizer.encode(value, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(value.encode()), "<u4").tolist() == ids
+
+
+@pytest.mark.skipif(not cases.HAVE_TABLES, reason="no test tables")
+def test_query_equals_brute_force(spark, encoder):
+    rows, got = verified(packing.query(spark, cases.SMALL))
+    assert got == brute_pieces(encoder, cases.given(cases.SMALL))
+    assert rows.sequence_id.nunique() <= -(-rows.length.sum() // 4096) + 1
