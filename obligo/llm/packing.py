@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
+from unicodedata import normalize
 
 import numpy as np
 import pandas as pd
@@ -36,8 +38,8 @@ END_ID = 1
 GROUP_PIECES = 20_000
 # A sequence with at most this share of free tokens is not opened again in later rounds.
 FILLED_SHARE = 0.002
-# Words whose ids a task remembers, about.
-REMEMBERED_WORDS = 400_000
+# Words, and parts of words, whose ids a worker remembers, about.
+REMEMBERED_WORDS, REMEMBERED_PARTS = 400_000, 1_200_000
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -52,7 +54,7 @@ class Encoder:
 
     The tokenizer drops white space and never joins what white space separates, so the ids of a
     text are those of its words one after the other. Of a plain word its closing punctuation is
-    looked up apart, and case makes no difference.
+    looked up apart, and its case makes no difference.
     """
 
     def __init__(self, path: str):
@@ -61,30 +63,48 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memory: dict[bytes, bytes] = {}
+        self.words: dict[bytes, bytes] = {}  # as they stand in texts
+        self.parts: dict[bytes, bytes] = {}  # what words are made of, costly to find out
+
+    @classmethod
+    def of_worker(cls, path: str) -> Encoder:
+        """The encoder of this Python worker, which outlives its tasks."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
 
     def _learn(self, words: set[bytes]) -> None:
-        memory, plain = self.memory, {}
+        made_of = {}
         for word in words:
             stem = word.rstrip(b".,!|")
             if stem.isalpha():
-                plain[word] = (stem.lower(), word[len(stem):])
-        new = {x for parts in plain.values() for x in parts if x and x not in memory}
-        new = sorted(new | (words - plain.keys()))
+                made_of[word] = (stem.lower(), word[len(stem):])
+            elif not stem.isascii() and normalize("NFC", stem.decode()).lower().isalpha():
+                made_of[word] = (stem, word[len(stem):])
+            else:
+                made_of[word] = (word, b"")
+        if len(self.parts) > REMEMBERED_PARTS:
+            self.parts.clear()
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
+        new = sorted({x for parts in made_of.values() for x in parts if x and x not in self.parts})
         found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        memory.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(new, found))
-        for word, (stem, tail) in plain.items():
-            memory[word] = memory[stem] + memory[tail] if tail else memory[stem]
+        self.parts.update((w, array("I", x.ids).tobytes()) for w, x in zip(new, found))
+        for word, (stem, tail) in made_of.items():
+            self.words[word] = self.parts[stem] + self.parts[tail] if tail else self.parts[stem]
 
     def encode(self, data: bytes) -> bytes:
         words = data.split()
         try:
-            return b"".join([self.memory[w] for w in words])
+            return b"".join([self.words[w] for w in words])
         except KeyError:
-            if len(self.memory) > REMEMBERED_WORDS:
-                self.memory.clear()
-            self._learn({w for w in words if w not in self.memory})
-            return b"".join([self.memory[w] for w in words])
+            known = self.words
+            unknown = {w for w in words if w not in known}
+            self._learn(unknown if len(known) <= REMEMBERED_WORDS else set(words))
+            return b"".join([self.words[w] for w in words])
+
+
+_ENCODERS: dict[str, Encoder] = {}
 
 
 def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> DataFrame:
@@ -93,7 +113,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Da
     end = np.array([END_ID], "<u4").tobytes()
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = Encoder.of_worker(path)
         for batch in batches:
             at, number, start, size, checksum = [], [], [], [], []
             for row, value in enumerate(byte_texts(batch.column(1))):
