@@ -108,8 +108,7 @@ def test_ids_are_those_of_the_tokenizer(value):
 
 
 def test_memory_may_be_forgotten(encoder, monkeypatch):
-    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 3)
-    monkeypatch.setattr(packing, "REMEMBERED_PARTS", 3)
+    monkeypatch.setattr(packing, "REMEMBERED", 3)
     for value in ("a b c d, e! f", "g h a b, c", "d e f g. h i", "a,"):
         ids = encoder.tokenizer.encode(value, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(value.encode()), "<u4").tolist() == ids
