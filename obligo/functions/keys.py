@@ -9,9 +9,18 @@ HASHES = ("xxhash64", "murmur3", "md5")
 
 
 def natural_key(*parts: Column | str) -> Column:
-    """A stable row id from the columns that together identify a row."""
-    return F.concat_ws("-", *[F.coalesce(F.col(p) if isinstance(p, str) else p, F.lit("null"))
-                              .cast("string") for p in parts])
+    """A stable row id from the columns that together identify a row.
+
+    A backslash stands before every ``-`` and backslash of a part, and a missing part is ``\\N``,
+    so different parts never give the same id. Plain parts read as they are, joined by ``-``.
+    """
+    def spelled(part: Column | str) -> Column:
+        text = (F.col(part) if isinstance(part, str) else part).cast("string")
+        escaped = F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("-"),
+                            F.lit("\\-"))
+        return F.coalesce(escaped, F.lit("\\N"))
+
+    return F.concat_ws("-", *[spelled(p) for p in parts])
 
 
 def hash_number(text: Column, algo: str = "xxhash64") -> Column:

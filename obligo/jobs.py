@@ -11,6 +11,11 @@ state_data) and legislators-current.json and legislators-historical.json. With `
 the tables are read over JDBC instead, from the database named by PREFIX_URL, PREFIX_DRIVER,
 PREFIX_USER and PREFIX_PASSWORD in the environment. The transactions are then split by ranges of
 an indexed number (``--range id 0 72000000``) or, without one, by a hash of their key (``--key``).
+``--key`` names the columns that identify a transaction; the id is built from them where the table
+has no ``txn_id``. ``--to PREFIX`` writes detail tables, marts and copies to a database instead of
+files, ``--lines`` reads legislators from files with a document per line, which Spark can split.
+
+A job leaves nothing behind but its results: its intermediate tables are removed at the end.
 """
 
 from __future__ import annotations
@@ -21,18 +26,31 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from obligo.operators.enrich import Dimensions, contract_detail, grant_detail
-from obligo.operators.joins import measure
+from obligo.operators.joins import measure, release
 from obligo.operators.migration import migration_plan
 from obligo.operators.terms import legislator_years
 from obligo.plans.copy import READ_PARTITIONS, copy_tables
 from obligo.plans.marts import all_marts
 from obligo.plans.refresh import publish_marts, refresh
-from obligo.session import build_session, size_shuffles
-from obligo.sinks.tables import DETAIL_CHUNKS, write_chunks, write_files
+from obligo.session import build_session, job_scratch, size_shuffles
+from obligo.sinks.tables import (
+    DETAIL_CHUNKS,
+    MART_CHUNKS,
+    with_snapshot,
+    write_chunks,
+    write_files,
+    write_relation,
+)
 from obligo.sources import catalogue
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
 from obligo.sources.legislators import read_legislators
-from obligo.sources.relational import Connection, read_by_key, read_by_range, read_relation
+from obligo.sources.relational import (
+    Connection,
+    read_by_key,
+    read_by_range,
+    read_relation,
+    read_split,
+)
 from obligo.sources.transactions import (
     clean_contracts,
     clean_grants,
@@ -57,11 +75,20 @@ def table(spark: SparkSession, options: argparse.Namespace, name: str) -> DataFr
     return read_relation(spark, database, name)
 
 
+def publish(spark: SparkSession, options: argparse.Namespace, df: DataFrame, name: str,
+            key: str, chunks: int) -> None:
+    """A result as chunked files, or as a table of the target database, which must not exist."""
+    if options.target:
+        write_relation(df, Connection.from_environment(options.target), name, "error", chunks, key)
+    else:
+        write_chunks(df, f"{options.output}/{name}", key, chunks, "error")
+
+
 def people(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
-    return legislator_years(
-        read_legislators(spark, f"{options.input}/legislators-current.json"),
-        read_legislators(spark, f"{options.input}/legislators-historical.json"),
-    )
+    return legislator_years(*[
+        read_legislators(spark, f"{options.input}/legislators-{which}.json", not options.lines)
+        for which in ("current", "historical")
+    ])
 
 
 def dimensions(spark: SparkSession, options: argparse.Namespace) -> Dimensions:
@@ -73,7 +100,7 @@ def dimensions(spark: SparkSession, options: argparse.Namespace) -> Dimensions:
 
 
 def projected(spark: SparkSession, options: argparse.Namespace) -> DataFrame:
-    return project_contracts(table(spark, options, "transaction_fpds"))
+    return project_contracts(table(spark, options, "transaction_fpds"), options.key)
 
 
 def contracts(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -83,25 +110,37 @@ def contracts(spark: SparkSession, options: argparse.Namespace) -> None:
     })
     rows = clean_contracts(projected(spark, options), roll_up_code=False)
     detail = contract_detail(rows, sized["labels"], sized["legislators"])
-    write_chunks(detail, f"{options.output}/govcontract_data", "txn_id", DETAIL_CHUNKS, "error")
+    publish(spark, options, detail, "govcontract_data", "txn_id", DETAIL_CHUNKS)
+    release(sized)
 
 
 def grants(spark: SparkSession, options: argparse.Namespace) -> None:
-    rows = clean_grants(project_grants(table(spark, options, "transaction_fabs")))
-    detail = grant_detail(rows, measure({"people": people(spark, options)})["people"])
-    write_chunks(detail, f"{options.output}/govgrant_data", "txn_id", DETAIL_CHUNKS, "error")
+    rows = clean_grants(project_grants(table(spark, options, "transaction_fabs"), options.key))
+    sized = measure({"people": people(spark, options)})
+    publish(spark, options, grant_detail(rows, sized["people"]), "govgrant_data", "txn_id",
+            DETAIL_CHUNKS)
+    release(sized)
 
 
 def marts(spark: SparkSession, options: argparse.Namespace) -> None:
     rows = clean_contracts(projected(spark, options))
-    built = all_marts(spark, rows, dimensions(spark, options))
-    publish_marts(built, options.output, options.date)
+    dims = dimensions(spark, options)
+    built = all_marts(spark, rows, dims)
+    if options.target:
+        database = Connection.from_environment(options.target)
+        for name, mart in built.items():
+            write_relation(with_snapshot(mart, options.date), database, name, "append",
+                           MART_CHUNKS, "year")
+    else:
+        publish_marts(built, options.output, options.date)
+    dims.release()
 
 
 def refreshed(spark: SparkSession, options: argparse.Namespace) -> None:
-    report = refresh(spark, options.output, projected(spark, options), options.date,
-                     dimensions(spark, options))
+    dims = dimensions(spark, options)
+    report = refresh(spark, options.output, projected(spark, options), options.date, dims)
     report.show(truncate=False)
+    dims.release()
 
 
 def copy(spark: SparkSession, options: argparse.Namespace) -> None:
@@ -110,15 +149,13 @@ def copy(spark: SparkSession, options: argparse.Namespace) -> None:
     plan = migration_plan(catalogue.base_tables(read), catalogue.key_columns(read),
                           catalogue.constraints(read), catalogue.row_estimates(read))
 
-    def write(df: DataFrame, name: str, mode: str) -> None:
-        write_files(df, f"{options.output}/{name}", mode)
-
-    copy_tables(plan, partial(_read_split, spark, database), write, options.only)
-
+    def write(df: DataFrame, name: str, chunks: int, key: list[str]) -> None:
+        if options.target:
+            write_relation(df, Connection.from_environment(options.target), name, "error")
+        else:
+            write_files(df, f"{options.output}/{name}", "overwrite")
 
-def _read_split(spark: SparkSession, database: Connection, name: str, key: list[str],
-                partitions: int) -> DataFrame:
-    return read_by_key(spark, database, name, key, partitions)
+    copy_tables(plan, partial(read_split, spark, database), write, options.only)
 
 
 JOBS = {"contracts": contracts, "grants": grants, "marts": marts, "refresh": refreshed,
@@ -130,9 +167,11 @@ def main(arguments: list[str] | None = None) -> None:
                                      formatter_class=argparse.RawDescriptionHelpFormatter)
     parser.add_argument("job", choices=JOBS)
     parser.add_argument("--input")
-    parser.add_argument("--output", required=True)
+    parser.add_argument("--output")
     parser.add_argument("--date", help="snapshot date of marts and refresh")
     parser.add_argument("--from", dest="source", help="prefix of the database's settings")
+    parser.add_argument("--to", dest="target", help="prefix of the target database's settings")
+    parser.add_argument("--lines", action="store_true", help="legislators: a document per line")
     parser.add_argument("--key", nargs="+", default=["txn_id"], help="key columns of the facts")
     parser.add_argument("--range", nargs=3, metavar=("COLUMN", "LOWER", "UPPER"),
                         help="indexed number to split the facts by")
@@ -143,10 +182,13 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error(f"{options.job} needs --date")
     if options.job == "copy" and not options.source:
         parser.error("copy needs --from")
+    if not options.output and (options.job == "refresh" or not options.target):
+        parser.error(f"{options.job} needs --output")
     spark = build_session(f"obligo {options.job}")
     if options.shuffle_bytes:
         size_shuffles(spark, options.shuffle_bytes)
-    JOBS[options.job](spark, options)
+    with job_scratch(spark):
+        JOBS[options.job](spark, options)
 
 
 if __name__ == "__main__":

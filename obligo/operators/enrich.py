@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obligo.functions.clean import whole_number
-from obligo.operators.joins import Sized, join_dimension, measure
+from obligo.operators.joins import BROADCAST_BYTES, Sized, join_dimension, measure
 from obligo.schemas import CONTRACT_DETAIL, GRANT_DETAIL
 
 # The two ways a chamber is attached to a transaction.
@@ -28,13 +28,15 @@ class Dimensions:
     holders: Sized
 
     @classmethod
-    def measured(cls, labels: DataFrame, states: DataFrame, legislators: DataFrame) -> Dimensions:
+    def measured(cls, labels: DataFrame, states: DataFrame, legislators: DataFrame,
+                 limit: int = BROADCAST_BYTES) -> Dimensions:
+        """``limit`` is the size in bytes up to which they are broadcast."""
         return cls(**measure({
             "labels": labels,
             "states": states,
             "legislators": legislators,
             "holders": legislators.dropDuplicates(),
-        }))
+        }, limit))
 
     def release(self) -> None:
         for part in (self.labels, self.states, self.legislators, self.holders):
@@ -59,7 +61,7 @@ def labels_with_contracts(contracts: DataFrame, labels: Sized) -> DataFrame:
     nobody uses come from a second pass that reads only the code column.
     """
     matched = join_dimension(contracts, labels, ["code"], "inner")
-    used = join_dimension(contracts.select("code"), Sized(labels.df.select("code"), labels.n_bytes),
+    used = join_dimension(contracts.select("code"), replace(labels, df=labels.df.select("code")),
                           ["code"], "inner").distinct()
     unused = labels.df.join(used, "code", "left_anti")
     absent = [F.lit(None).cast(f.dataType).alias(f.name)
@@ -77,13 +79,14 @@ def with_legislator(transactions: DataFrame, legislators: Sized,
     keys = SEAT_KEYS[chamber_key]
     rows = legislators
     if chamber_key == "state":
-        rows = Sized(legislators.df.drop("district"), legislators.n_bytes)
+        rows = replace(legislators, df=legislators.df.drop("district"))
     return join_dimension(transactions, rows, keys)
 
 
 def with_senator(transactions: DataFrame, legislators: Sized) -> DataFrame:
     """Every transaction, once per senator of its state and year; each gets the full amount."""
-    senators = Sized(legislators.df.filter(F.col("typeofrep") == "sen"), legislators.n_bytes)
+    senators = replace(legislators,
+                       df=legislators.df.filter(F.col("typeofrep") == "sen"))
     return with_legislator(transactions, senators, "state")
 
 
@@ -99,7 +102,7 @@ def enriched(contracts: DataFrame, dims: Dimensions, chamber: str,
     if distinct not in ("holders", "rows"):
         raise ValueError("distinct must be 'holders' or 'rows'")
     people = dims.holders if distinct == "holders" else dims.legislators
-    people = Sized(people.df.filter(F.col("typeofrep") == chamber), people.n_bytes)
+    people = replace(people, df=people.df.filter(F.col("typeofrep") == chamber))
     attached = with_legislator(contracts, people, chamber_key).filter(
         F.col("typeofrep") == chamber
     )
@@ -135,7 +138,7 @@ def grant_detail(grants: DataFrame, legislators: Sized, dedup: bool = False) ->
 
 def _once(legislators: Sized) -> Sized:
     """Identical legislator-years once, so that each transaction meets each of them once."""
-    return Sized(legislators.df.dropDuplicates(), legislators.n_bytes)
+    return replace(legislators, df=legislators.df.dropDuplicates())
 
 
 def _published(rows: DataFrame, columns: list[str]) -> DataFrame:

@@ -19,9 +19,10 @@ class Sized:
 
     df: DataFrame
     n_bytes: int
+    limit: int = BROADCAST_BYTES
 
-    def fits(self, limit: int = BROADCAST_BYTES) -> bool:
-        return self.n_bytes <= limit
+    def fits(self, limit: int | None = None) -> bool:
+        return self.n_bytes <= (self.limit if limit is None else limit)
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -35,7 +36,7 @@ def _row_bytes(df: DataFrame) -> Column:
     return size
 
 
-def measure(frames: dict[str, DataFrame]) -> dict[str, Sized]:
+def measure(frames: dict[str, DataFrame], limit: int = BROADCAST_BYTES) -> dict[str, Sized]:
     """Measures several small tables in one job.
 
     The measurement is one map-side aggregate per table, so a table that turns out to be large
@@ -50,16 +51,28 @@ def measure(frames: dict[str, DataFrame]) -> dict[str, Sized]:
         )
         total = part if total is None else total.unionByName(part)
     found = {row["name"]: row["n_bytes"] for row in total.collect()} if kept else {}
-    return {name: Sized(frame, int(found[name])) for name, frame in kept.items()}
+    return {name: Sized(frame, int(found[name]), limit) for name, frame in kept.items()}
+
+
+def release(sized: dict[str, Sized]) -> None:
+    """Gives back what ``measure`` persisted."""
+    for part in sized.values():
+        part.df.unpersist()
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a stored table in bytes, by one map-side aggregate."""
+    return int(df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0])
 
 
 def join_dimension(facts: DataFrame, dimension: Sized, on: list[str], how: str = "left",
-                   limit: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+                   limit: int | None = None, salts: int = SALTS) -> DataFrame:
     """Joins facts to a dimension without moving the facts where the dimension is small.
 
-    At most ``limit`` bytes: broadcast hash join, no shuffle of the facts. Beyond that: shuffled
-    join on (key, salt), with the dimension repeated once per salt, so that a hot or a null key
-    is spread over many tasks; adaptive skew handling splits what is still too large.
+    At most ``limit`` bytes (by default the limit of the dimension): broadcast hash join, no
+    shuffle of the facts. Beyond that: shuffled join on (key, salt), with the dimension repeated
+    once per salt, so that a hot or a null key is spread over many tasks; adaptive skew handling
+    splits what is still too large.
     """
     if how not in ("left", "inner"):
         raise ValueError("facts are the left side: how must be 'left' or 'inner'")

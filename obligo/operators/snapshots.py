@@ -7,17 +7,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obligo.functions.keys import bucket, fingerprint
-from obligo.operators.joins import BROADCAST_BYTES, Sized, measure
+from obligo.functions.keys import fingerprint
+from obligo.operators.joins import BROADCAST_BYTES, Sized, measured_bytes
+from obligo.sinks.tables import stored
 
 KEY = "txn_id"
 AMOUNT = "amount"
-# When a key counts as hot: rows in its hash bucket, and how far above the average bucket.
-HOT_BUCKETS = 4096
-HOT_ROWS = 1_000_000
-HOT_FACTOR = 8
-# Share of rows in differing groups above which a localized diff has nothing to save.
-FULL_DIFF_SHARE = 0.5
 
 
 def _side(side: str, column: Column) -> Column:
@@ -61,35 +56,30 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str = KEY,
     )
 
 
-def has_hot_key(df: DataFrame, key: str, buckets: int = HOT_BUCKETS, rows: int = HOT_ROWS,
-                factor: int = HOT_FACTOR) -> bool:
-    """Whether some key holds so many rows that one task could not take them all.
+def distinct_keys(df: DataFrame, key: str = KEY) -> DataFrame:
+    """The distinct keys of a snapshot, stored.
 
-    Reads only the key column and counts rows per hash bucket, combined on the map side.
+    Repeated keys are combined on the map side before they are shuffled, so a hot key is one row.
+    Stored, they reach a join by a plain exchange, and adaptive execution can split the rows that
+    are filtered wherever one key holds too many of them.
     """
-    sizes = df.groupBy(bucket(F.col(key), buckets).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
-    return largest is not None and largest > rows and largest > factor * total / buckets
+    return stored(df.sparkSession, df.select(key).distinct(), "keys")
 
 
-def _keys(df: DataFrame, key: str) -> DataFrame:
-    """The keys of a snapshot as the build side of a semi or anti join.
+def new_rows(old: DataFrame | None, new: DataFrame, key: str = KEY,
+             known: DataFrame | None = None) -> DataFrame:
+    """Rows of the new snapshot whose key the old one does not have.
 
-    Adaptive skew handling can split the rows that are filtered but not this side. So repeated
-    keys are combined before the shuffle, at twice the price, where one of them is hot.
+    ``known`` are the distinct keys of the old snapshot where they are kept, for instance bucketed
+    by the key. A row without a key is never known.
     """
-    keys = df.select(key)
-    return keys.distinct() if has_hot_key(df, key) else keys
+    return new.join(distinct_keys(old, key) if known is None else known, key, "left_anti")
 
 
-def new_rows(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
-    """Rows of the new snapshot whose key the old one does not have."""
-    return new.join(_keys(old, key), key, "left_anti")
-
-
-def carry_over(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
+def carry_over(old: DataFrame | None, new: DataFrame, key: str = KEY,
+               known: DataFrame | None = None) -> DataFrame:
     """Rows of the new snapshot whose key the old one has."""
-    return new.join(_keys(old, key), key, "left_semi")
+    return new.join(distinct_keys(old, key) if known is None else known, key, "left_semi")
 
 
 def append_new(old: DataFrame, new: DataFrame, key: str = KEY) -> DataFrame:
@@ -156,31 +146,40 @@ def compare_snapshots(old: DataFrame, new: DataFrame, by: list[str] | None = Non
 
 
 def localized_diff(old: DataFrame, new: DataFrame, by: list[str], algo: str = "xxhash64",
-                   key: str = KEY, amount: str = AMOUNT,
-                   limit: int = BROADCAST_BYTES) -> DataFrame:
-    """The same rows as ``snapshot_diff``, comparing row by row only the groups that differ.
+                   key: str = KEY, amount: str = AMOUNT, limit: int = BROADCAST_BYTES,
+                   old_prints: DataFrame | None = None) -> DataFrame:
+    """The same rows as ``snapshot_diff``, comparing row by row only where groups differ.
 
     A fingerprint per group is one map-side aggregate, so unchanged groups are never shuffled.
-    The comparison is measured: where it fits into ``limit`` bytes and the groups that differ
-    hold at most half of the rows, their list is broadcast to filter the scans. Otherwise there
-    is little to save and both snapshots are compared in full.
+    Choose groups that are few against the rows (a year, a state). ``old_prints`` are the
+    fingerprints of the old snapshot where they were kept with it; then only the new one is read
+    for them. The keys found in groups that differ are then compared with all their rows, also
+    those in other groups, so an id that spans groups is compared as a whole. The lists of groups
+    and of keys are measured: up to ``limit`` bytes they are broadcast to filter the scans, beyond
+    that they are joined by a shuffle.
     """
-    compared = measure({"groups": compare_fingerprints(
-        snapshot_fingerprint(old, by, algo, key, amount),
-        snapshot_fingerprint(new, by, algo, key, amount),
-        by,
-    )})["groups"]
-    rows = F.coalesce("old_n_rows", F.lit(0)) + F.coalesce("new_n_rows", F.lit(0))
-    differs = F.col("status") == "changed"
-    total, differing = compared.df.agg(F.sum(rows), F.sum(F.when(differs, rows))).first()
-    if not compared.fits(limit) or (differing or 0) > FULL_DIFF_SHARE * (total or 0):
-        return snapshot_diff(old, new, key, amount)
-    groups = Sized(compared.df.filter(differs).select(*by), compared.n_bytes)
-    return snapshot_diff(_in_groups(old, groups, by), _in_groups(new, groups, by), key, amount)
-
-
-def _in_groups(df: DataFrame, groups: Sized, by: list[str]) -> DataFrame:
-    """Rows in the listed groups; a missing group value matches a missing one."""
-    renamed = groups.df.toDF(*[f"_group_{c}" for c in by])
-    matches = reduce(lambda a, b: a & b, [df[c].eqNullSafe(renamed[f"_group_{c}"]) for c in by])
-    return df.join(F.broadcast(renamed), matches, "left_semi")
+    if old_prints is None:
+        old_prints = snapshot_fingerprint(old, by, algo, key, amount)
+    compared = compare_fingerprints(
+        old_prints, snapshot_fingerprint(new, by, algo, key, amount), by)
+    groups = _listed(compared.filter(F.col("status") == "changed").select(*by), "groups")
+    keys = _listed(
+        _matching(old, groups, by, limit).select(key)
+        .unionByName(_matching(new, groups, by, limit).select(key)).distinct(),
+        "keys",
+    )
+    return snapshot_diff(_matching(old, keys, [key], limit), _matching(new, keys, [key], limit),
+                         key, amount)
+
+
+def _listed(rows: DataFrame, name: str) -> Sized:
+    """Stored and measured, so that a join can be chosen by its size."""
+    kept = stored(rows.sparkSession, rows, name)
+    return Sized(kept, measured_bytes(kept))
+
+
+def _matching(df: DataFrame, listed: Sized, by: list[str], limit: int) -> DataFrame:
+    """Rows whose values are listed; a missing value matches a missing one."""
+    renamed = listed.df.toDF(*[f"_listed_{c}" for c in by])
+    matches = reduce(lambda a, b: a & b, [df[c].eqNullSafe(renamed[f"_listed_{c}"]) for c in by])
+    return df.join(F.broadcast(renamed) if listed.fits(limit) else renamed, matches, "left_semi")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,7 +63,7 @@ def credit(totals: DataFrame, dims: Dimensions, chamber: str,
     if chamber_key == "state":
         people = people.drop("district").dropDuplicates()
         totals = totals.withColumn("district", F.lit(None).cast("bigint"))
-    return join_dimension(totals, Sized(people, dims.holders.n_bytes), SEAT_KEYS[chamber_key],
+    return join_dimension(totals, replace(dims.holders, df=people), SEAT_KEYS[chamber_key],
                           "inner")
 
 
@@ -75,7 +77,7 @@ def overlap_report(contracts: DataFrame, dims: Dimensions, chamber: str = "rep")
         .filter(F.col("n_holders") > 1)
     )
     totals = seat_totals(contracts, by_industry=False)
-    rows = join_dimension(totals, Sized(shared, dims.holders.n_bytes), keys, "inner")
+    rows = join_dimension(totals, replace(dims.holders, df=shared), keys, "inner")
     return rows.select(
         *keys,
         "n_holders",

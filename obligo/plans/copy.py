@@ -7,14 +7,12 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obligo.functions.keys import natural_key
-from obligo.sinks.tables import assign_chunks
-
-# Partitions of a table read (fixed value).
+# Partitions of a table read at most (fixed value).
 READ_PARTITIONS = 200
 
+# Table, key columns, pieces to read it in; frame, table, chunks, key columns.
 ReadTable = Callable[[str, list[str], int], DataFrame]
-WriteTable = Callable[[DataFrame, str, str], None]
+WriteTable = Callable[[DataFrame, str, int, list[str]], None]
 
 
 def copy_tables(plan: DataFrame, read: ReadTable, write: WriteTable,
@@ -22,18 +20,17 @@ def copy_tables(plan: DataFrame, read: ReadTable, write: WriteTable,
                 partitions: int = READ_PARTITIONS) -> list[str]:
     """Copies every table of a migration plan and returns the names in the order copied.
 
-    The plan has one row per table, so listing it on the driver is safe. Each table is one
-    read and one write; a table to be split carries its chunk number to the writer.
+    The plan has one row per table, so listing it on the driver is safe. Each table is one read
+    in as many pieces as the plan has chunks for it, ``partitions`` at most, and one write. Rows
+    and columns reach the writer as they are in the source, whatever the size; the number of
+    chunks and the key only tell it how to spread them. The writer replaces its target, or fails
+    where there is one, so a repeated copy never adds the rows again.
     """
     if only is not None:
         plan = plan.filter(F.col("table_name").isin(list(only)))
     copied = []
     for row in plan.orderBy("table_name").toLocalIterator():
-        table = read(row["table_name"], row["pkey"], partitions)
-        if row["save_mode"] == "append":
-            table = assign_chunks(
-                table.withColumn("_key", natural_key(*row["pkey"])), "_key", row["n_chunks"]
-            ).drop("_key")
-        write(table, row["table_name"], row["save_mode"])
-        copied.append(row["table_name"])
+        name, key, chunks = row["table_name"], row["pkey"], row["n_chunks"]
+        write(read(name, key, min(chunks, partitions)), name, chunks, key)
+        copied.append(name)
     return copied

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obligo.operators.enrich import Dimensions
 from obligo.operators.snapshots import (
+    KEY,
     compare_fingerprints,
     fingerprint_without,
     new_rows,
     snapshot_fingerprint,
 )
 from obligo.plans.marts import MARTS, all_marts
-from obligo.sinks.tables import latest_snapshot, read_snapshots, stored, write_snapshot
+from obligo.sinks.tables import (
+    latest_snapshot,
+    read_snapshots,
+    snapshot_dates,
+    stored,
+    write_snapshot,
+)
 from obligo.sources.transactions import clean_contracts
 
 TRANSACTIONS = "transactions"
@@ -28,11 +34,21 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
 
     Returns the comparison of the carried-over rows with what the store held. The two snapshots
     meet in one anti join, which finds the new rows; what was carried over is then known from
-    the fingerprints of the dump and of the new rows. Running the same date again replaces what
-    that run wrote, so the outcome is the same: only snapshots before the date are the old state.
+    the fingerprints of the dump and of the new rows. Running the newest date again replaces what
+    that run wrote, so the outcome is the same. A date before the newest is refused: what later
+    dumps added and reported rests on what was there before them. So is a row without an id, which
+    could not be told from one that is there already.
     """
     folder = f"{root}/{TRANSACTIONS}"
-    before = _before(spark, folder, snapshot_date, dump)
+    dates = snapshot_dates(spark, folder)
+    if dates and snapshot_date < dates[-1]:
+        raise ValueError(f"the store already holds {dates[-1]}, later than {snapshot_date}")
+    missing = F.raise_error(F.lit("a transaction without an id"))
+    dump = dump.withColumn(KEY, F.coalesce(F.col(KEY), missing.cast("string")))
+    before = (
+        read_snapshots(spark, folder).filter(F.col("snapshot_date") < snapshot_date)
+        .drop("snapshot_date") if dates else dump.limit(0)
+    )
     write_snapshot(new_rows(before, dump), folder, snapshot_date)
     taken = read_snapshots(spark, folder)
     added = taken.filter(F.col("snapshot_date") == snapshot_date)
@@ -42,7 +58,7 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
     report = stored(
         spark, compare_fingerprints(snapshot_fingerprint(before, by), carried, by), "comparison"
     )
-    current = taken.filter(F.col("snapshot_date") <= snapshot_date).drop("snapshot_date")
+    current = taken.drop("snapshot_date")
     publish_marts(all_marts(spark, clean_contracts(current), dims), root, snapshot_date)
     return report
 
@@ -58,15 +74,4 @@ def publish_marts(marts: dict[str, DataFrame], root: str, snapshot_date: str) ->
 def register_views(spark: SparkSession, root: str) -> None:
     """Makes the latest marts of a store queryable in SQL under their published names."""
     for name in MARTS:
-        latest_snapshot(read_snapshots(spark, f"{root}/{name}")).createOrReplaceTempView(name)
-
-
-def _before(spark: SparkSession, folder: str, snapshot_date: str, dump: DataFrame) -> DataFrame:
-    """What the store held before the date; nothing where there is no store yet."""
-    try:
-        snapshots = read_snapshots(spark, folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return dump.limit(0)
-    return snapshots.filter(F.col("snapshot_date") < snapshot_date).drop("snapshot_date")
+        latest_snapshot(spark, f"{root}/{name}").createOrReplaceTempView(name)

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -22,8 +22,6 @@ SETTINGS = {
 SHUFFLE_TASK_BYTES = 512 * 1024**2
 DEFAULT_PARTITIONS = 200
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(app: str = "obligo", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the settings the jobs rely on; sizing is left to spark-submit."""
@@ -46,19 +44,39 @@ def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
     return partitions
 
 
+_jobs: list[str] = []
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables of what runs inside go to a folder of their own, removed at the end."""
+    _jobs.append(f"job-{uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove_folder(spark, scratch_folder(spark))
+        _jobs.pop()
+
+
 def scratch_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables: what the cluster names in spark.checkpoint.dir.
+    """The folder for intermediate tables, below what the cluster names in spark.checkpoint.dir.
 
-    Only a local-mode session without that setting gets a folder of its own, which goes away
-    with the process. On a cluster every executor must see the folder, so there is no default.
+    Only a local-mode session without that setting uses a folder below its warehouse, which goes
+    when the session ends. On a cluster every executor must see the folder, so there is no default.
     """
     app_id = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return f"{configured.rstrip('/')}/obligo/{app_id}"
+        return "/".join([configured.rstrip("/"), "obligo", app_id, *_jobs[-1:]])
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if app_id not in _local_scratch:
-        _local_scratch[app_id] = tempfile.mkdtemp(prefix="obligo-")
-        atexit.register(shutil.rmtree, _local_scratch[app_id], ignore_errors=True)
-    return _local_scratch[app_id]
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{app_id}"
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return "/".join([folder, *_jobs[-1:]])
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

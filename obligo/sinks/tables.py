@@ -28,7 +28,10 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def write_files(df: DataFrame, path: str, mode: str = "error") -> None:
+def write_files(df: DataFrame, path: str, mode: str = "error", files: int | None = None) -> None:
+    """Writes a table as it is; ``files`` rebalances it into about so many even files."""
+    if files is not None:
+        df = df.repartition(files)
     df.write.mode(mode).parquet(path)
 
 
@@ -37,7 +40,9 @@ def write_relation(df: DataFrame, target: Connection, table: str, mode: str = "e
     """Writes to a remote table: fails if it exists, or appends.
 
     ``connections`` bounds how many tasks insert at the same time. Rows are spread by ``key``
-    where one is given, so that a repeated task inserts the rows it inserted before.
+    where one is given, so that a repeated task inserts the rows it inserted before. A task that
+    failed after some of its inserts were committed inserts them again: give the target a key
+    constraint that refuses them, or write to a staging table and swap it in when all is there.
     """
     if mode not in ("error", "append"):
         raise ValueError("mode must be 'error' or 'append'")
@@ -111,10 +116,21 @@ def read_snapshots(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Rows of the most recent snapshot. The date is found first and then prunes the scan."""
-    newest = snapshots.select(F.max("snapshot_date"))
-    return snapshots.filter(F.col("snapshot_date") == newest.scalar())
+def snapshot_dates(spark: SparkSession, root: str) -> list[str]:
+    """Dates of the stored snapshots in order, from the names of the folders; no file is opened."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    prefix = "snapshot_date="
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    return sorted(n[len(prefix):] for n in names if n.startswith(prefix))
+
+
+def latest_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of the most recent snapshot; the scan is pruned to its folder."""
+    snapshots, dates = read_snapshots(spark, root), snapshot_dates(spark, root)
+    return snapshots.filter(F.col("snapshot_date") == (dates[-1] if dates else ""))
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:

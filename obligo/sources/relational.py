@@ -7,6 +7,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 # Hex digits of the MD5 text that ranges are cut on: up to 65,536 ranges.
 _HEX_DIGITS = 4
@@ -49,6 +50,29 @@ def read_by_range(spark: SparkSession, source: Connection, relation: str, column
                            properties=source.reading())
 
 
+def read_split(spark: SparkSession, source: Connection, relation: str, key: list[str],
+               partitions: int) -> DataFrame:
+    """A table in so many pieces: by ranges of its key where that is one whole number.
+
+    Otherwise by hash ranges of the key. A table of one piece is read through one connection.
+    """
+    whole = read_relation(spark, source, relation)
+    if partitions <= 1:
+        return whole
+    kind = whole.schema[key[0]].dataType if len(key) == 1 else None
+    numeric = isinstance(kind, T.IntegralType) or (
+        isinstance(kind, T.DecimalType) and kind.scale == 0)
+    if not numeric:
+        return read_by_key(spark, source, relation, key, partitions)
+    column = key[0]
+    lower, upper = read_relation(
+        spark, source, f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {relation}) bounds"
+    ).first()
+    if lower is None:
+        return whole
+    return read_by_range(spark, source, relation, column, int(lower), int(upper) + 1, partitions)
+
+
 def read_by_key(spark: SparkSession, source: Connection, relation: str, key: str | list[str],
                 partitions: int, key_text: Callable[[str], str] | None = None) -> DataFrame:
     """Partitioned by a hash range of a stable key, so every row is read exactly once.

@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obligo.functions.clean import clean_country, clean_district, clean_year, industry_prefix
+from obligo.functions.keys import natural_key
 from obligo.schemas import MONEY
 
+ID = "txn_id"
+
+
+def _id(key: Sequence[str] | None) -> Column:
+    """The id the table has, or one built from the columns that together identify a row."""
+    return natural_key(*key).alias(ID) if key and list(key) != [ID] else F.col(ID)
+
+
+def project_contracts(raw: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
+    """The contract columns the jobs use, under their short names.
 
-def project_contracts(raw: DataFrame) -> DataFrame:
-    """The contract columns the jobs use, under their short names."""
+    ``key`` names the columns that identify a transaction where the table has no ``txn_id``.
+    Amounts are taken with two decimals, as they are booked: finer ones are rounded half up, and
+    an amount of 10^16 or more stops the job.
+    """
     return raw.select(
-        "txn_id",
+        _id(key),
         F.col("action_date").alias("year"),
         F.col("federal_action_obligation").cast(MONEY).alias("amount"),
         F.col("legal_entity_state_code").alias("state"),
@@ -22,10 +37,10 @@ def project_contracts(raw: DataFrame) -> DataFrame:
     )
 
 
-def project_grants(raw: DataFrame) -> DataFrame:
+def project_grants(raw: DataFrame, key: Sequence[str] | None = None) -> DataFrame:
     """The grant columns the jobs use; grants carry a programme title instead of a code."""
     return raw.select(
-        "txn_id",
+        _id(key),
         F.col("action_date").alias("year"),
         F.col("federal_action_obligation").cast(MONEY).alias("amount"),
         F.col("legal_entity_state_code").alias("state"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from obligo.operators.enrich import Dimensions
 from obligo.operators.joins import Sized, measure
+from obligo.operators.snapshots import snapshot_fingerprint
 from obligo.operators.terms import legislator_years
 from obligo.plans.marts import mart
 from obligo.sinks.tables import stored
@@ -27,6 +28,10 @@ from obligo.sources.transactions import (
 # Historical terms of the derived rosters that begin earlier are left out.
 SEAT_MIN_START = 1997
 ROSTER_MIN_START = 1997
+# The state in which the localized snapshots differ.
+CHANGED = "07"
+# Broadcast limit of the dimensions with the derived roster, in bytes.
+SMALL_LIMIT = 20_000
 
 
 class Source:
@@ -104,6 +109,14 @@ class Source:
     def new_snapshot(self) -> DataFrame:
         return next_snapshot(self.projected())
 
+    def local_snapshots(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Two snapshots that differ in one state, and the old one's fingerprint per state."""
+        old = with_second_state(self.projected())
+        prints = self.once(
+            "old prints", lambda: stored(self.spark, snapshot_fingerprint(old, ["state"]), "prints")
+        )
+        return old, next_in_one_state(old), prints
+
     # -- dimensions -----------------------------------------------------------------------
 
     def naics(self) -> DataFrame:
@@ -138,6 +151,18 @@ class Source:
             ),
         )
 
+    def roster_dims(self) -> Dimensions:
+        """Dimensions whose legislators grow with the data, beyond what may be broadcast."""
+        return self.once(
+            "roster_dims",
+            lambda: Dimensions.measured(
+                group_labels(self.naics()),
+                state_demographics(self.state_data()),
+                legislator_years(*self.roster(), ROSTER_MIN_START),
+                limit=SMALL_LIMIT,
+            ),
+        )
+
     def all_labels(self) -> Sized:
         """Labels of every code length."""
         return self.once(
@@ -209,8 +234,28 @@ def next_snapshot(projected: DataFrame) -> DataFrame:
     return kept.unionByName(added)
 
 
+def with_second_state(projected: DataFrame) -> DataFrame:
+    """Some ids have a second row in the state that will change, next to the row in their own."""
+    again = projected.filter(F.col("txn_id").like("%5-3-%")).withColumn("state", F.lit(CHANGED))
+    return projected.unionByName(again)
+
+
+def next_in_one_state(old: DataFrame) -> DataFrame:
+    """Amounts raised and rows gone in one state only."""
+    changed = F.col("state") == CHANGED
+    return old.filter(~(changed & F.col("txn_id").like("%15-3-%"))).withColumn(
+        "amount",
+        F.when(changed & F.col("txn_id").like("%7-1-%"), F.col("amount") + 1)
+        .otherwise(F.col("amount"))
+        .cast("decimal(18,2)"),
+    )
+
+
 def derive_naics(part: DataFrame) -> DataFrame:
-    """Labels for four-character groups (the last five stay unlabelled) and some longer codes."""
+    """Labels for four-character groups (the last five stay unlabelled) and some longer codes.
+
+    Every code has another description in an earlier vintage.
+    """
     brand = F.lpad(F.expr("substr(p_brand, 7)"), 2, "0")
     size = F.lpad(F.col("p_size").cast("string"), 2, "0")
     groups = part.filter("CAST(substr(p_brand, 7) AS INT) <= 20").select(
@@ -223,7 +268,9 @@ def derive_naics(part: DataFrame) -> DataFrame:
     )
     unused = part.agg(F.lit("9999").alias("code"), F.lit("No contracts here").alias("description"))
     labels = groups.distinct().unionByName(niches.distinct()).unionByName(unused)
-    return labels.withColumn("year", F.lit(2017))
+    earlier = labels.select("code", F.concat(F.lit("Former "), "description").alias("description"))
+    return labels.withColumn("year", F.lit(2017)).unionByName(
+        earlier.withColumn("year", F.lit(2012)))
 
 
 def derive_state_data(nation: DataFrame, customer: DataFrame) -> DataFrame:
@@ -259,15 +306,18 @@ _DOCUMENT = (
 def derive_seats(nation: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Current and historical holders: five seats and a senator per state.
 
-    Terms last two years and share their hand-over year; the seat changes holder in 2001.
+    Terms last two years and share their hand-over year; the seat changes holder in 2001. One
+    state in five has another senator, who is listed with a district.
     """
-    seats = nation.withColumn("d", F.explode(F.array(*[F.lit(d) for d in (0, 1, 2, 3, 4, 9)])))
+    seats = nation.withColumn(
+        "d", F.explode(F.array(*[F.lit(d) for d in (0, 1, 2, 3, 4, 8, 9)]))
+    ).filter("d <> 8 OR n_nationkey % 5 = 0")
     names = "named_struct('first', 'F' || n_nationkey, 'last', 'L' || n_nationkey || '_' || d{})"
     parts = {
-        "type": "CASE WHEN d = 9 THEN 'sen' ELSE 'rep' END",
+        "type": "CASE WHEN d >= 8 THEN 'sen' ELSE 'rep' END",
         "length": "2",
         "state": "lpad(CAST(n_nationkey AS STRING), 2, '0')",
-        "district": "CASE WHEN d = 9 THEN NULL ELSE CAST(d AS BIGINT) END",
+        "district": "CASE WHEN d = 9 THEN NULL WHEN d = 8 THEN 3L ELSE CAST(d AS BIGINT) END",
         "party": "CASE WHEN (n_nationkey + d) % 7 = 0 THEN 'Independent'"
         " WHEN (n_nationkey + d) % 2 = 0 THEN 'Democrat' ELSE 'Republican' END",
     }

@@ -104,7 +104,12 @@ cte("naics", "", """
          'Niche ' || lpad(substr(p_brand, 7), 2, '0') || '-' || lpad(CAST(p_size AS VARCHAR), 2, '0'),
          2017
     FROM part WHERE p_size <= 10
-  UNION ALL SELECT '9999', 'No contracts here', 2017""")
+  UNION ALL SELECT '9999', 'No contracts here', 2017
+  UNION ALL
+  SELECT DISTINCT '11' || lpad(substr(p_brand, 7), 2, '0'),
+         'Former Industry ' || lpad(substr(p_brand, 7), 2, '0'), 2012
+    FROM part WHERE CAST(substr(p_brand, 7) AS INT) <= 20
+  UNION ALL SELECT '9999', 'Former No contracts here', 2012""")
 
 cte("state_data", "", """
   SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, n_name AS name, y AS year,
@@ -124,13 +129,14 @@ cte("states", "state_data", """
 cte("seat_terms", "", """
   SELECT 'F' || n_nationkey AS firstname,
          'L' || n_nationkey || '_' || d || CASE WHEN s = 2001 THEN 'b' ELSE '' END AS lastname,
-         CASE WHEN d = 9 THEN 'sen' ELSE 'rep' END AS typeofrep,
+         CASE WHEN d >= 8 THEN 'sen' ELSE 'rep' END AS typeofrep,
          CASE WHEN (n_nationkey + d) % 7 = 0 THEN 'Independent'
               WHEN (n_nationkey + d) % 2 = 0 THEN 'Democrat' ELSE 'Republican' END AS party,
          lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS state,
-         CASE WHEN d = 9 THEN NULL ELSE CAST(d AS BIGINT) END AS district,
+         CASE WHEN d = 9 THEN NULL WHEN d = 8 THEN 3 ELSE CAST(d AS BIGINT) END AS district,
          CAST(s AS BIGINT) AS start_year, CAST(s + 2 AS BIGINT) AS end_year, s >= 1999 AS is_current
-    FROM nation, unnest([0, 1, 2, 3, 4, 9]) AS t(d), unnest([1995, 1997, 1999, 2001]) AS u(s)""")
+    FROM nation, unnest([0, 1, 2, 3, 4, 8, 9]) AS t(d), unnest([1995, 1997, 1999, 2001]) AS u(s)
+   WHERE d <> 8 OR n_nationkey % 5 = 0""")
 
 cte("roster_terms", "", """
   SELECT 'F' || (o_custkey % 97) AS firstname, 'L' || o_orderkey AS lastname,
@@ -227,6 +233,8 @@ def _state_mart(chamber: str, rows: str = "combined") -> str:
    GROUP BY year, state, party"""
 
 
+cte("combined_roster", "contracts labels_4 states roster_years",
+    CTE["combined"][1].replace("LEFT JOIN legislators l", "JOIN roster_years l"))
 cte("legis_hr", "combined", _legislator_mart("rep"))
 cte("indus_hr", "combined", _industry_mart("rep"))
 
@@ -270,6 +278,15 @@ cte("snap_diff", "snap_old snap_new", f"""
     FROM ({_PER_KEY.format('snap_old')}) o
     FULL OUTER JOIN ({_PER_KEY.format('snap_new')}) n ON o.txn_id = n.txn_id
    WHERE o.txn_id IS NULL OR n.txn_id IS NULL OR o.bag <> n.bag""")
+cte("local_old", "contracts_raw", """
+  SELECT * FROM contracts_raw
+  UNION ALL SELECT * REPLACE ('07' AS state) FROM contracts_raw WHERE txn_id LIKE '%5-3-%'""")
+cte("local_new", "local_old", """
+  SELECT * REPLACE (CAST(CASE WHEN state = '07' AND txn_id LIKE '%7-1-%' THEN amount + 1
+                              ELSE amount END AS DECIMAL(18,2)) AS amount)
+    FROM local_old WHERE NOT coalesce(state = '07' AND txn_id LIKE '%15-3-%', FALSE)""")
+cte("local_diff", "local_old local_new", CTE["snap_diff"][1]
+    .replace("snap_old", "local_old").replace("snap_new", "local_new"))
 cte("snap_appended", "snap_old snap_new", """
   SELECT * FROM snap_old
   UNION ALL SELECT * FROM snap_new WHERE txn_id NOT IN (SELECT txn_id FROM snap_old)""")
@@ -385,8 +402,11 @@ def statements() -> dict[str, str]:
         "project_grants": q(
             "grants_raw", f"SELECT {_TXN.replace('code,', 'industry,', 1)} FROM grants_raw"
         ),
-        "stable_row_id": q(
-            "txn", f"SELECT txn_id, CAST({md5_number('txn_id')} AS VARCHAR) AS row_id FROM txn"
+        "stable_row_id": (
+            "SELECT *, CAST(" + md5_number("txn_id") + " AS VARCHAR) AS row_id FROM"
+            " (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,"
+            " replace(CAST(CAST(l_extendedprice - 50000 AS DECIMAL(18,2)) AS VARCHAR),"
+            " '-', '\\-')) AS txn_id FROM lineitem)"
         ),
         "naics_labels_all": q("labels_all", "SELECT * FROM labels_all"),
         "naics_labels_4": q("labels_4", "SELECT * FROM labels_4"),
@@ -440,8 +460,9 @@ def statements() -> dict[str, str]:
         ),
         "grants_with_legislator": q(
             "grants legislators",
-            f"SELECT {_bare('c', 'industry')}, {_PERSON} FROM grants c LEFT JOIN legislators l ON "
-            + _SEAT.format(d=f"({number('c.district')})"),
+            f"SELECT {_bare('c', 'industry')}, {_PERSON} FROM (SELECT * REPLACE"
+            f" ({number('district')} AS district) FROM grants) c LEFT JOIN legislators l ON "
+            + _SEAT.format(d="c.district"),
         ),
         "contracts_with_senator": q(
             "contracts legislators",
@@ -449,6 +470,11 @@ def statements() -> dict[str, str]:
             " (SELECT * FROM legislators WHERE typeofrep = 'sen') l"
             " ON c.state = l.state AND c.year = l.year",
         ),
+        "govgrant_data": q(
+            "grants legislators",
+            f"SELECT {_bare('c', 'industry')}, {_PERSON} FROM grants c LEFT JOIN legislators l ON "
+            + _SEAT.format(d=f"({number('c.district')})"),
+        ),
         "govcontract_data": q(
             "labels_all contracts_full legislators",
             f"SELECT x.code, description, {_bare('x').replace('x.code, ', '')}, {_PERSON}"
@@ -478,6 +504,9 @@ def statements() -> dict[str, str]:
         "legis_by_year_sen_by_state": mart("legis", "sen", "combined_state"),
         "indus_by_year_sen_by_state": mart("indus", "sen", "combined_state"),
         "state_by_year_sen_by_state": mart("state", "sen", "combined_state"),
+        "indus_by_year_roster": mart("indus", "rep", "combined_roster"),
+        "mart_probe": mart("legis", "rep") + " ORDER BY year NULLS FIRST, firstname NULLS FIRST,"
+        " lastname NULLS FIRST, description NULLS FIRST LIMIT 1",
         "mart_with_snapshot": mart("legis", "rep", "combined", ", " + day.format("2020-01-05")),
         "latest_snapshot": mart(
             "state", "rep", "combined_appended", ", " + day.format("2020-02-05")
@@ -538,6 +567,9 @@ def statements() -> dict[str, str]:
         "fingerprint_by_group": q(
             "snap_new", f"SELECT state, code, {_PRINT} FROM ({fingerprint('snap_new', 'state, code')})"
         ),
+        "refreshed_transactions": q("snap_appended", f"SELECT {_TXN} FROM snap_appended"),
+        "copied_table": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,"
+        " CAST(l_quantity AS DOUBLE) AS l_quantity, l_orderkey % 7 AS chunk FROM lineitem",
         "chunk_assignment": q(
             "txn", f"SELECT txn_id, CAST({md5_number('txn_id')} % 100 + 1 AS INT) AS chunk FROM txn"
         ),
@@ -552,6 +584,9 @@ def statements() -> dict[str, str]:
             " ON k.table_name = p.table_name"
         ),
     }
-    sql["localized_diff"] = sql["snapshot_diff"]
-    sql["govgrant_data"] = sql["grants_with_legislator"]
+    sql["localized_diff"] = q(
+        "local_diff",
+        "SELECT txn_id, CAST(old_amount AS DOUBLE) AS old_amount,"
+        " CAST(new_amount AS DOUBLE) AS new_amount, status FROM local_diff",
+    )
     return sql

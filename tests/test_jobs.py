@@ -1,5 +1,6 @@
 import json
 from argparse import Namespace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ import world
 from obligo import jobs
 from obligo.plans import marts, serving
 from obligo.plans.refresh import register_views
-from obligo.session import size_shuffles
+from obligo.session import scratch_folder, size_shuffles
 from obligo.sinks.tables import read_snapshots
 from obligo.sources.transactions import clean_contracts, project_contracts
 
@@ -76,6 +77,58 @@ def test_marts_job_and_the_published_sql(spark, folder, tmp_path):
         serving.industry_party_series(spark.table("indus_by_year_hr"), "Mining")) != []
 
 
+@pytest.fixture
+def clean(spark):
+    """Nothing stays of a job but its result."""
+    before = spark.sparkContext._jsc.sc().getPersistentRDDs().size()
+    root = Path(scratch_folder(spark))
+    jobs_before = set(root.glob("job-*"))
+    yield
+    assert set(root.glob("job-*")) == jobs_before
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().size() <= before
+
+
+def test_jobs_on_tables_without_an_id(spark, folder, tmp_path, clean):
+    source = tmp_path / "in"
+    for name in ("transaction_fpds", "transaction_fabs"):
+        spark.read.parquet(f"{folder}/{name}").selectExpr(
+            "* EXCEPT (txn_id)", "substr(txn_id, 1, 2) AS award", "substr(txn_id, 3) AS action"
+        ).write.parquet(f"{source}/{name}")
+    for name in ("naics", "state_data"):
+        spark.read.parquet(f"{folder}/{name}").write.parquet(f"{source}/{name}")
+    for which in ("current", "historical"):
+        people = json.loads(Path(f"{folder}/legislators-{which}.json").read_text())
+        (source / f"legislators-{which}.json").write_text(
+            "\n".join(json.dumps(p) for p in people))
+    key = ["--key", "award", "action", "--lines"]
+    jobs.main(["contracts", "--input", str(source), "--output", str(tmp_path), *key])
+    jobs.main(["grants", "--input", str(source), "--output", str(tmp_path), *key])
+    jobs.main(["refresh", "--input", str(source), "--output", str(tmp_path / "store"), *key,
+               "--date", "2020-01-05"])
+    ids = read_snapshots(spark, f"{tmp_path}/store/transactions").select("txn_id")
+    assert ids.count() == ids.distinct().count() == 200
+    jobs.main(["marts", "--input", str(source), "--output", str(tmp_path / "marts"), *key,
+               "--date", "2020-01-05"])
+    jobs.main(["marts", "--input", folder, "--output", str(tmp_path / "given"),
+               "--date", "2020-01-05"])
+    for name in marts.MARTS:
+        assert rows(read_snapshots(spark, f"{tmp_path}/marts/{name}")) == rows(
+            read_snapshots(spark, f"{tmp_path}/given/{name}"))
+
+
+def test_results_to_a_database(spark, folder, monkeypatch, clean):
+    monkeypatch.setenv("DST_URL", "jdbc:x")
+    calls = []
+    monkeypatch.setattr(jobs, "write_relation", lambda df, target, name, mode, *more: calls.append(
+        (target.url, name, mode, more, df.columns)))
+    jobs.main(["contracts", "--input", folder, "--to", "DST"])
+    jobs.main(["marts", "--input", folder, "--to", "DST", "--date", "2020-01-05"])
+    (url, name, mode, more, _), *built = calls
+    assert (url, name, mode, more) == ("jdbc:x", "govcontract_data", "error", (100, "txn_id"))
+    assert [c[1] for c in built] and {c[1] for c in built} == set(marts.MARTS)
+    assert all(c[2] == "append" and c[4][-1] == "snapshot_date" for c in built)
+
+
 def test_refresh_job(spark, folder, tmp_path):
     for date in ("2020-01-05", "2020-02-05"):
         jobs.main(["refresh", "--input", folder, "--output", str(tmp_path), "--date", date])
@@ -83,7 +136,8 @@ def test_refresh_job(spark, folder, tmp_path):
 
 
 def test_missing_arguments(tmp_path):
-    for arguments in (["marts", "--output", "x"], ["copy", "--output", "x"]):
+    for arguments in (["marts", "--output", "x"], ["copy", "--output", "x"],
+                      ["contracts", "--input", "x"], ["refresh", "--date", "d", "--to", "X"]):
         with pytest.raises(SystemExit):
             jobs.main(arguments)
 

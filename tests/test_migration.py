@@ -1,7 +1,11 @@
 import pytest
+from pyspark.sql import functions as F
 
 from obligo.operators.migration import chunk_plan, migration_plan
 from obligo.plans.copy import copy_tables
+from obligo.sinks.tables import write_files
+
+from conftest import rows
 
 
 @pytest.fixture(scope="module")
@@ -52,23 +56,40 @@ def test_one_row_per_table_with_a_primary_key(catalogue):
 
 def test_copy(spark, catalogue):
     data = {
-        "one": spark.range(500).withColumnRenamed("id", "id"),
+        "one": spark.range(500).withColumn("chunk", F.lit(77)),
         "two": spark.range(20).selectExpr("id AS a", "id + 1 AS b"),
         "tiny": spark.range(0),
     }
-    written = {}
+    written, pieces = {}, {}
 
     def read(name, key, partitions):
-        assert set(key) <= set(data[name].columns) and partitions == 200
+        assert set(key) <= set(data[name].columns)
+        pieces[name] = partitions
         return data[name]
 
-    def write(df, name, mode):
-        written[name] = (df, mode)
+    def write(df, name, chunks, key):
+        written[name] = (df, chunks, key)
 
     plan = migration_plan(**catalogue)
     assert copy_tables(plan, read, write) == ["one", "tiny", "two"]
-    one, mode = written["one"]
-    assert mode == "append" and one.count() == 500
-    assert {r.chunk for r in one.collect()} == {1, 2, 3, 4}
-    assert written["two"][1] == "error" and "chunk" not in written["two"][0].columns
+    assert pieces == {"one": 4, "two": 1, "tiny": 1}
+    for name, (df, chunks, key) in written.items():
+        assert df.schema == data[name].schema and rows(df) == rows(data[name])
+        assert chunks == pieces[name]
+    assert written["two"][2] == ["a", "b"]
     assert copy_tables(plan, read, write, only=["two"]) == ["two"]
+    copy_tables(plan, read, write, only=["one"], partitions=3)
+    assert pieces["one"] == 3
+
+
+def test_repeated_copy_replaces_its_target(spark, catalogue, tmp_path):
+    source = spark.range(100).withColumnRenamed("id", "id")
+
+    def write(df, name, chunks, key):
+        write_files(df, f"{tmp_path}/{name}", "overwrite")
+
+    plan = migration_plan(**catalogue).filter("table_name = 'one'")
+    for _ in range(2):
+        copy_tables(plan, lambda *_: source, write)
+    back = spark.read.parquet(f"{tmp_path}/one")
+    assert rows(back) == rows(source) and back.columns == ["id"]

@@ -43,7 +43,7 @@ def test_refresh_end_to_end_and_again(spark, dumps, tmp_path):
     before = state()
     assert len(before["transactions"]) == 330
     for name in marts.MARTS:
-        newest = latest_snapshot(read_snapshots(spark, f"{root}/{name}"))
+        newest = latest_snapshot(spark, f"{root}/{name}")
         assert {r.snapshot_date for r in newest.collect()} <= {"2020-02-05"}
         expected = marts.mart(name, clean_contracts(february), dims)
         assert rows(newest.drop("snapshot_date")) == rows(expected), name
@@ -70,6 +70,24 @@ def test_refresh_reports_a_changed_amount_and_keeps_the_old_one(spark, dumps, tm
     assert S.snapshot_diff(january, kept).isEmpty()
 
 
+def test_an_earlier_date_is_refused(spark, dumps, tmp_path):
+    january, february = dumps
+    root, dims = str(tmp_path), world.dims(spark)
+    refresh(spark, root, january, "2020-01-05", dims)
+    refresh(spark, root, february, "2020-02-05", dims)
+    before = rows(read_snapshots(spark, f"{root}/transactions"))
+    with pytest.raises(ValueError, match="2020-02-05"):
+        refresh(spark, root, january, "2020-01-05", dims)
+    assert rows(read_snapshots(spark, f"{root}/transactions")) == before
+
+
+def test_a_row_without_an_id_is_refused(spark, dumps, tmp_path):
+    january, _ = dumps
+    nameless = january.withColumn("txn_id", F.when(F.col("txn_id") != "t7", F.col("txn_id")))
+    with pytest.raises(Exception, match="a transaction without an id"):
+        refresh(spark, str(tmp_path), nameless, "2020-01-05", world.dims(spark))
+
+
 def test_later_run_with_fewer_rows_replaces_the_snapshot(spark, dumps, tmp_path):
     january, february = dumps
     root, dims = str(tmp_path), world.dims(spark)

@@ -2,6 +2,7 @@ from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obligo.sinks.tables import write_relation
 from obligo.sources import catalogue
@@ -11,6 +12,7 @@ from obligo.sources.relational import (
     read_by_key,
     read_by_range,
     read_relation,
+    read_split,
 )
 
 
@@ -68,6 +70,46 @@ def test_what_is_asked_of_the_database():
     assert len(keyed["predicates"]) == 200
 
 
+@pytest.mark.parametrize("key,kind,bounds,expected", [
+    (["id"], "bigint", (3, 900), ("id", 3, 901)),
+    (["id"], "decimal(12,0)", (3, 900), ("id", 3, 901)),
+    (["id"], "decimal(12,2)", (3, 900), None),
+    (["name"], "string", None, None),
+    (["id", "name"], "bigint", None, None),
+])
+def test_split_reads_use_a_numeric_key(key, kind, bounds, expected):
+    class Split(Reader):
+        schema = T._parse_datatype_string(f"id {kind}, name string")
+
+        def first(self):
+            return bounds
+
+    reader = Split()
+    read_split(reader, SOURCE, "t", key, 6)
+    _, table, options = reader.calls[-1]
+    assert table == "t"
+    if expected:
+        assert (options["column"], options["lowerBound"], options["upperBound"]) == expected
+        assert options["numPartitions"] == 6
+    else:
+        assert len(options["predicates"]) == 6
+    reader.calls.clear()
+    read_split(reader, SOURCE, "t", key, 1)
+    assert [set(c[2]) for c in reader.calls] == [{"properties"}]
+
+
+def test_split_read_of_an_empty_table_is_one_piece():
+    class Empty(Reader):
+        schema = T._parse_datatype_string("id bigint")
+
+        def first(self):
+            return None, None
+
+    reader = Empty()
+    read_split(reader, SOURCE, "t", ["id"], 4)
+    assert all(set(c[2]) == {"properties"} for c in reader.calls)
+
+
 def test_credentials_come_from_the_environment_and_are_not_shown(monkeypatch):
     monkeypatch.setenv("SRC_URL", "jdbc:x")
     monkeypatch.setenv("SRC_PASSWORD", "secret")

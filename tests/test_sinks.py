@@ -1,11 +1,11 @@
-import os
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from obligo.operators import snapshots as S
-from obligo.session import scratch_folder
+from obligo.session import job_scratch, scratch_folder
 from obligo.sinks import tables
 
 from conftest import plan, rows
@@ -37,8 +37,27 @@ def test_scratch_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(RuntimeError):
         scratch_folder(Cluster)
-    Cluster.sparkContext.master = "local[2]"
-    assert os.path.isdir(scratch_folder(Cluster))
+
+
+def test_a_job_leaves_no_intermediate_tables(spark, df):
+    outside = scratch_folder(spark)
+    with job_scratch(spark):
+        inside = scratch_folder(spark)
+        assert inside.startswith(outside) and inside != outside
+        assert tables.stored(spark, df, "t").count() == 2000
+        assert Path(inside).exists()
+    assert not Path(inside).exists() and scratch_folder(spark) == outside
+
+
+def test_local_session_without_a_checkpoint_folder_uses_its_warehouse(spark):
+    class Conf:
+        def get(self, key, default=None):
+            return default if key == "spark.checkpoint.dir" else spark.conf.get(key, default)
+
+    class Local:
+        conf, sparkContext = Conf(), spark.sparkContext
+
+    assert scratch_folder(Local).startswith(spark.conf.get("spark.sql.warehouse.dir"))
 
 
 def test_chunks_are_disjoint_and_complete(df):
@@ -79,7 +98,9 @@ def test_snapshots_are_replaced_by_date_and_the_latest_is_read(spark, df, tmp_pa
     every = tables.read_snapshots(spark, root)
     assert dict(every.dtypes)["snapshot_date"] == "string"
     assert every.count() == 2005
-    newest = tables.latest_snapshot(every)
+    newest = tables.latest_snapshot(spark, root)
+    assert tables.snapshot_dates(spark, root) == ["2020-01-05", "2020-02-05"]
+    assert tables.snapshot_dates(spark, f"{root}-none") == []
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan(newest)
     assert newest.count() == 5 and newest.columns == ["k", "id", "snapshot_date"]
     pruned = every.filter("snapshot_date = '2020-01-05'")
@@ -96,7 +117,7 @@ def test_bucketed_snapshots_compare_without_a_shuffle(spark, df, tmp_path):
     limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        added = S.new_rows(spark.table("snap_old"), spark.table("snap_new"), "k")
+        added = S.new_rows(None, spark.table("snap_new"), "k", spark.table("snap_old").select("k"))
         assert "Exchange" not in plan(added)
         assert added.count() == 100
     finally:

@@ -85,20 +85,38 @@ def test_new_and_carried_over_rows_split_the_new_snapshot(old, new):
     assert rows(added.union(kept)) == rows(new)
 
 
-def test_hot_old_key_is_combined_and_changes_nothing(spark, old, new, monkeypatch):
-    copies = old.unionByName(frame(spark, *[("t1", "1.50", "S1")] * 400))
-    plain = rows(S.new_rows(copies, new)), rows(S.carry_over(copies, new))
-    assert not S.has_hot_key(copies, "txn_id")
-    monkeypatch.setattr(S, "has_hot_key", lambda df, key: True)
-    assert (rows(S.new_rows(copies, new)), rows(S.carry_over(copies, new))) == plain
-    assert "HashAggregate" in plan(S.new_rows(copies, new))
-
-
-def test_hot_key_is_found(spark, old):
-    copies = old.unionByName(frame(spark, *[("t1", "1.50", "S1")] * 400))
-    assert S.has_hot_key(copies, "txn_id", rows=100)
-    assert not S.has_hot_key(old, "txn_id", rows=100)
-    assert not S.has_hot_key(old.limit(0), "txn_id", rows=0)
+@pytest.mark.parametrize("find,count", [(S.new_rows, 4000), (S.carry_over, 8000)])
+def test_key_hot_on_both_sides_is_split(spark, find, count):
+    """Half of all rows share one key. No task may take them all, in either direction."""
+    shape = ("CASE WHEN id % 2 = 0 THEN 'hot' ELSE 't' || id END AS txn_id", "id AS amount",
+             "uuid() AS filler")
+    new = spark.range(0, 12000, 1, 8).selectExpr(*shape)
+    old = spark.range(0, 4000, 1, 8).selectExpr(*shape)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = find(old, new)
+        sizes = [r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        per_task = found.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+        assert found.count() == sum(per_task) == count and sizes
+        assert max(per_task) < 3000
+        assert "skew=true" in plan(found)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_rows_without_a_key_are_never_known(old, new):
+    nameless = new.withColumn("txn_id", F.lit(None).cast("string")).limit(3)
+    assert S.new_rows(old.unionByName(nameless), nameless).count() == 3
 
 
 def test_append_keeps_old_rows_as_they_were(old, new):
@@ -130,14 +148,26 @@ def test_localized_diff_equals_the_full_diff(old, new, limit):
         S.snapshot_diff(old, new))
 
 
-def test_localized_diff_filters_only_where_few_rows_differ(spark, old):
-    few = old.withColumn("amount", F.when(F.col("state") == "S1", F.col("amount") + 1)
-                         .otherwise(F.col("amount")).cast("decimal(18,2)"))
-    most = old.withColumn("amount", (F.col("amount") + 1).cast("decimal(18,2)"))
-    for changed, filtered in ((few, True), (most, False)):
-        got = S.localized_diff(old, changed, ["state"])
-        assert rows(got) == rows(S.snapshot_diff(old, changed)) != []
-        assert ("BroadcastHashJoin" in plan(got)) == filtered
+@pytest.mark.parametrize("limit", [50_000_000, -1])
+def test_localized_diff_compares_an_id_in_several_groups_as_a_whole(spark, limit):
+    old = frame(spark, ("k", "5.00", "A"), ("k", "3.00", "B"), ("m", "5.00", "A"),
+                ("m", "3.00", "B"), ("same", "1.00", "A"), ("same", "1.00", "B"))
+    new = frame(spark, ("k", "5.00", "A"), ("k", "4.00", "B"), ("m", "5.00", "A"),
+                ("same", "1.00", "A"), ("same", "1.00", "B"))
+    got = S.localized_diff(old, new, ["state"], limit=limit)
+    assert rows(got) == rows(S.snapshot_diff(old, new))
+    assert [(r[0], r[3]) for r in rows(got)] == [("k", "changed"), ("m", "changed")]
+
+
+def test_localized_diff_takes_kept_fingerprints(spark, old):
+    changed = old.withColumn("amount", F.when(F.col("state") == "S1", F.col("amount") + 1)
+                             .otherwise(F.col("amount")).cast("decimal(18,2)"))
+    kept = S.snapshot_fingerprint(old, ["state"])
+    got = S.localized_diff(old, changed, ["state"], old_prints=kept)
+    assert rows(got) == rows(S.snapshot_diff(old, changed)) != []
+    assert "BroadcastHashJoin" in plan(got)
+    by_join = S.localized_diff(old, changed, ["state"], old_prints=kept, limit=-1)
+    assert rows(by_join) == rows(got)
 
 
 def test_row_that_moves_to_another_group_is_not_a_change(spark):
