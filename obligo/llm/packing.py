@@ -19,18 +19,20 @@ each on its own; an empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
+from string import punctuation
 from unicodedata import normalize
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import byte_texts, documents, text
+from obligo.llm.common import LOWER_BYTES, documents, text
 from obligo.sinks.tables import stored
 
 LENGTH = 4096
@@ -38,8 +40,14 @@ END_ID = 1
 GROUP_PIECES = 20_000
 # A sequence with at most this share of free tokens is not opened again in later rounds.
 FILLED_SHARE = 0.002
-# Words, and parts of words, whose ids a worker remembers, about.
-REMEMBERED_WORDS, REMEMBERED_PARTS = 400_000, 1_200_000
+# Words whose ids a worker remembers, about half of them at least.
+REMEMBERED = 300_000
+BATCH_BYTES = 4_000_000
+TOGETHER = 500
+# Letters from this one on have no simple lower case for sure (fixed value).
+SIMPLE_LETTERS = "\u0180"
+# What the tokenizer's last piece of a word ends in (fixed value).
+WORD_END = "</w>"
 TOKENIZER = "word_bpe_49k.json"
 
 
@@ -49,22 +57,49 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def plain_forms(words: pa.StringArray) -> list[str]:
+    """The parts the tokenizer cuts each word into, as it spells them; empty if not plain to see.
+
+    Letters are one part, closing punctuation another. Letters are limited to those whose lower
+    case is simple.
+    """
+    lowered = pc.ascii_lower(words)
+    signs = re.escape(punctuation)
+    parted = pc.replace_substring_regex(lowered, f"^([^{signs}]+)([{signs}]+)$", r"\1 \2")
+    letters = pc.utf8_is_alpha(pc.utf8_rtrim(lowered, punctuation))
+    ascii_only = pc.string_is_ascii(lowered)
+    forms = pc.if_else(letters, parted, "").to_pylist()
+    for i in np.flatnonzero(pc.and_not(letters, ascii_only).to_numpy(zero_copy_only=False)):
+        stem, space, tail = normalize("NFC", forms[i]).partition(" ")
+        simple = max(stem) < SIMPLE_LETTERS and (stem := stem.lower()).isalpha()
+        forms[i] = stem + space + tail if simple else ""
+    return forms
+
+
 class Encoder:
     """Ids of texts as little-endian 32-bit integers, with a memory of words.
 
     The tokenizer drops white space and never joins what white space separates, so the ids of a
-    text are those of its words one after the other. Of a plain word its closing punctuation is
-    looked up apart, and its case makes no difference.
+    text are those of its words one after the other.
     """
 
     def __init__(self, path: str):
         # Spark has a worker per core already.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[bytes, bytes] = {}  # as they stand in texts
-        self.parts: dict[bytes, bytes] = {}  # what words are made of, costly to find out
+        # The same model without what finds the parts of a text, for parts already found.
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.WhitespaceSplit(),
+            pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+        # Words met lately, and those met before them: the oldest are forgotten first.
+        self.memory: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @classmethod
     def of_worker(cls, path: str) -> Encoder:
@@ -73,35 +108,85 @@ class Encoder:
             _ENCODERS[path] = cls(path)
         return _ENCODERS[path]
 
-    def _learn(self, words: set[bytes]) -> None:
-        made_of = {}
-        for word in words:
-            stem = word.rstrip(b".,!|")
-            if stem.isalpha():
-                made_of[word] = (stem.lower(), word[len(stem):])
-            elif not stem.isascii() and normalize("NFC", stem.decode()).lower().isalpha():
-                made_of[word] = (stem, word[len(stem):])
+    def _learn(self, words: list[str]) -> None:
+        """Encodes plain words many at a time, cut where their last part ends, others alone."""
+        forms = plain_forms(pa.array(words, pa.string()))
+        others = [w for w, form in zip(words, forms) if not form]
+        plain = [w for w, form in zip(words, forms) if form]
+        forms = [form for form in forms if form]
+        for i in range(0, len(plain), TOGETHER):
+            some, spelled = plain[i:i + TOGETHER], forms[i:i + TOGETHER]
+            ids = np.array(self.model.encode_batch_fast(
+                [" ".join(spelled)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            last = np.cumsum([1 + (" " in form) for form in spelled]) - 1
+            if len(ends) != last[-1] + 1:
+                others += some
+                continue
+            flat, cuts = ids.tobytes(), ends[last].tolist()
+            self.memory.update(zip(some, [flat[s:e] for s, e in zip([0, *cuts], cuts)]))
+        if others:
+            found = self.tokenizer.encode_batch(others, add_special_tokens=False)
+            self.memory.update(
+                (w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(others, found))
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of words, which may repeat."""
+        get = self.memory.get
+        found = [get(w) for w in words]
+        missing = [i for i, x in enumerate(found) if x is None]
+        if not missing:
+            return found
+        if len(self.memory) > REMEMBERED:
+            self.memory, self.older = {}, self.memory
+        new = []
+        for word in dict.fromkeys(words[i] for i in missing):
+            if word in self.older:
+                self.memory[word] = self.older[word]
             else:
-                made_of[word] = (word, b"")
-        if len(self.parts) > REMEMBERED_PARTS:
-            self.parts.clear()
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        new = sorted({x for parts in made_of.values() for x in parts if x and x not in self.parts})
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.parts.update((w, array("I", x.ids).tobytes()) for w, x in zip(new, found))
-        for word, (stem, tail) in made_of.items():
-            self.words[word] = self.parts[stem] + self.parts[tail] if tail else self.parts[stem]
-
-    def encode(self, data: bytes) -> bytes:
-        words = data.split()
-        try:
-            return b"".join([self.words[w] for w in words])
-        except KeyError:
-            known = self.words
-            unknown = {w for w in words if w not in known}
-            self._learn(unknown if len(known) <= REMEMBERED_WORDS else set(words))
-            return b"".join([self.words[w] for w in words])
+                new.append(word)
+        self._learn(new)
+        for i in missing:
+            found[i] = self.memory[words[i]]
+        return found
+
+    def encode(self, value: str) -> bytes:
+        """Ids of one text. Case makes no difference, but for the names of special tokens."""
+        data = value.encode()
+        words = (data if b"<|" in data else data.translate(LOWER_BYTES)).split()
+        return b"".join(self.ids_of([w.decode() for w in words]))
+
+    def encode_all(self, texts: pa.StringArray) -> Iterator[bytes]:
+        """Ids of many texts: every distinct word is looked up once, the ids are gathered."""
+        if pc.any(pc.match_substring(texts, "<|")).as_py():
+            yield from (self.encode(x) for x in texts.to_pylist())
+            return
+        splits = [pc.ascii_split_whitespace(pc.ascii_lower(x)) for x in stretches(texts)]
+        coded = pa.chunked_array([x.flatten() for x in splits], pa.string())
+        coded = coded.dictionary_encode().unify_dictionaries().chunks
+        cuts = [x.offsets.to_numpy() - x.offsets[0].as_py() for x in splits]
+        del splits
+        values = self.ids_of(coded[0].dictionary.to_pylist() if coded else [])
+        sizes = np.fromiter(map(len, values), np.int32, len(values)) // 4
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        flat = np.frombuffer(b"".join(values), "<u4")
+        for part, ends in zip(coded, cuts):
+            at = part.indices.to_numpy()
+            word_sizes = sizes[at]
+            word_ends = np.cumsum(word_sizes, dtype=np.int32)
+            places = np.repeat(starts[at] - (word_ends - word_sizes), word_sizes)
+            places += np.arange(len(places), dtype=np.int32)
+            ids = flat[places].tobytes()
+            bounds = (np.r_[0, word_ends][ends].astype(np.int64) * 4).tolist()
+            yield from (ids[s:e] for s, e in zip(bounds[:-1], bounds[1:]))
+
+
+def stretches(texts: pa.StringArray) -> Iterator[pa.StringArray]:
+    """Runs of texts of about BATCH_BYTES."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy()) // BATCH_BYTES
+    starts = np.flatnonzero(np.r_[True, sizes[1:] != sizes[:-1]]) if len(sizes) else []
+    for s, e in zip(starts, [*starts[1:], len(sizes)]):
+        yield texts.slice(s, e - s)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -116,8 +201,8 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Da
         encoder = Encoder.of_worker(path)
         for batch in batches:
             at, number, start, size, checksum = [], [], [], [], []
-            for row, value in enumerate(byte_texts(batch.column(1))):
-                ids = encoder.encode(value) + end
+            for row, ids in enumerate(encoder.encode_all(batch.column(1))):
+                ids += end
                 for k, s in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[s:s + 4 * length]
                     at.append(row)

@@ -104,14 +104,14 @@ def test_placement_is_that_of_the_smallest_sum(sizes):
 def test_ids_are_those_of_the_tokenizer(value):
     encoder = Encoder.of_worker(tokenizer_path())
     ids = encoder.tokenizer.encode(value, add_special_tokens=False).ids
-    assert np.frombuffer(encoder.encode(value.encode()), "<u4").tolist() == ids
+    assert np.frombuffer(encoder.encode(value), "<u4").tolist() == ids
 
 
 def test_memory_may_be_forgotten(encoder, monkeypatch):
     monkeypatch.setattr(packing, "REMEMBERED", 3)
     for value in ("a b c d, e! f", "g h a b, c", "d e f g. h i", "a,"):
         ids = encoder.tokenizer.encode(value, add_special_tokens=False).ids
-        assert np.frombuffer(encoder.encode(value.encode()), "<u4").tolist() == ids
+        assert np.frombuffer(encoder.encode(value), "<u4").tolist() == ids
 
 
 @pytest.mark.skipif(not cases.HAVE_TABLES, reason="no test tables")
