@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # ASCII letters in either case, for texts and for the bytes of texts.
 LOWER_BYTES = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 ROW = "document_row"
+STRETCH_BYTES = 1_000_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,9 +42,18 @@ def checksum_mod(divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))) % divisor
 
 
-def byte_texts(column: pa.Array) -> list[bytes]:
-    """UTF-8 bytes of the texts of an Arrow column, null as empty."""
-    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+def stretches(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Runs of texts of about ``size`` bytes, so that what is made of them stays small."""
+    whole = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy()) // size
+    starts = np.flatnonzero(np.r_[True, whole[1:] != whole[:-1]]) if len(whole) else []
+    for s, e in zip(starts, [*starts[1:], len(whole)]):
+        yield texts.slice(s, e - s)
+
+
+def byte_texts(column: pa.Array) -> Iterator[bytes]:
+    """UTF-8 bytes of the texts of an Arrow column, null as empty, a few at a time in memory."""
+    for part in stretches(column, STRETCH_BYTES):
+        yield from (x or b"" for x in part.cast(pa.binary()).to_pylist())
 
 
 def mapped(df: DataFrame, rows: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:

@@ -161,16 +161,17 @@ def successors(spark: SparkSession, keys: DataFrame, rows: int) -> DataFrame:
     )
     within = Window.partitionBy("part").orderBy(*order)
     inner = ranged.withColumn("next", F.lead(F.struct(*KEY)).over(within))
+    # The smallest of what turns a descending order round is the first of that order.
     heads = ranged.groupBy("part").agg(F.min(F.struct(
-        "no_id", (-F.col("id")).alias("id"), (-F.col("text_hash")).alias("text_hash"))
+        "no_id", F.bitwise_not("id").alias("id"), F.bitwise_not("text_hash").alias("text_hash"))
     ).alias("h"))
     # One row per partition of the order.
     ends = Window.orderBy("part")
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding,
                                                Window.unboundedFollowing)
     heads = heads.select("part", F.struct(
-        (-F.col("h.id")).alias("id"), F.col("h.no_id").alias("no_id"),
-        (-F.col("h.text_hash")).alias("text_hash")).alias("head"))
+        F.bitwise_not("h.id").alias("id"), F.col("h.no_id").alias("no_id"),
+        F.bitwise_not("h.text_hash").alias("text_hash")).alias("head"))
     linked = heads.select("part", F.coalesce(
         F.lead("head").over(ends), F.first("head").over(whole)).alias("head"))
     return inner.join(linked, "part").select(

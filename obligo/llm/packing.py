@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import LOWER_BYTES, documents, text
+from obligo.llm.common import LOWER_BYTES, documents, stretches, text
 from obligo.sinks.tables import stored
 
 LENGTH = 4096
@@ -42,7 +42,8 @@ GROUP_PIECES = 20_000
 FILLED_SHARE = 0.002
 # Words whose ids a worker remembers, about half of them at least.
 REMEMBERED = 300_000
-BATCH_BYTES = 4_000_000
+# Bytes of texts whose words are looked up, and whose ids are gathered, together.
+CODED_BYTES, GATHERED_BYTES = 16_000_000, 2_000_000
 TOGETHER = 500
 # Letters from this one on have no simple lower case for sure (fixed value).
 SIMPLE_LETTERS = "\u0180"
@@ -161,11 +162,12 @@ class Encoder:
         if pc.any(pc.match_substring(texts, "<|")).as_py():
             yield from (self.encode(x) for x in texts.to_pylist())
             return
-        splits = [pc.ascii_split_whitespace(pc.ascii_lower(x)) for x in stretches(texts)]
-        coded = pa.chunked_array([x.flatten() for x in splits], pa.string())
-        coded = coded.dictionary_encode().unify_dictionaries().chunks
+        splits = [pc.ascii_split_whitespace(pc.ascii_lower(x))
+                  for x in stretches(texts, GATHERED_BYTES)]
         cuts = [x.offsets.to_numpy() - x.offsets[0].as_py() for x in splits]
+        coded = pa.chunked_array([x.flatten() for x in splits], pa.string())
         del splits
+        coded = coded.dictionary_encode().unify_dictionaries().chunks
         values = self.ids_of(coded[0].dictionary.to_pylist() if coded else [])
         sizes = np.fromiter(map(len, values), np.int32, len(values)) // 4
         starts = np.cumsum(sizes, dtype=np.int32) - sizes
@@ -181,14 +183,6 @@ class Encoder:
             yield from (ids[s:e] for s, e in zip(bounds[:-1], bounds[1:]))
 
 
-def stretches(texts: pa.StringArray) -> Iterator[pa.StringArray]:
-    """Runs of texts of about BATCH_BYTES."""
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy()) // BATCH_BYTES
-    starts = np.flatnonzero(np.r_[True, sizes[1:] != sizes[:-1]]) if len(sizes) else []
-    for s, e in zip(starts, [*starts[1:], len(sizes)]):
-        yield texts.slice(s, e - s)
-
-
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -201,7 +195,9 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Da
         encoder = Encoder.of_worker(path)
         for batch in batches:
             at, number, start, size, checksum = [], [], [], [], []
-            for row, ids in enumerate(encoder.encode_all(batch.column(1))):
+            encoded = (ids for part in stretches(batch.column(1), CODED_BYTES)
+                       for ids in encoder.encode_all(part))
+            for row, ids in enumerate(encoded):
                 ids += end
                 for k, s in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[s:s + 4 * length]

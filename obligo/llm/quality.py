@@ -237,12 +237,14 @@ def quality(spark: SparkSession, docs: DataFrame) -> DataFrame:
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, posterior = shared.value
         for batch in batches:
-            read = [Read(x) for x in byte_texts(batch.column(1))]
-            margins = np.array([weights[x.ids] @ x.values for x in read], np.float64)
+            margins, patterns = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+            for i, data in enumerate(byte_texts(batch.column(1))):
+                x = Read(data)
+                margins[i], patterns[i] = weights[x.ids] @ x.values, x.pattern
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0),
                 "score": 1 / (1 + np.exp(-np.clip(margins, -30, 30))),
-                "posterior": posterior[[x.pattern for x in read]] if read else np.zeros(0),
+                "posterior": posterior[patterns],
             })
 
     id_type = docs.schema["doc_id"].dataType.simpleString()

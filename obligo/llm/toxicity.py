@@ -44,7 +44,7 @@ LEAST_DOCUMENTS, LEAST_Z, LEARNED_WORDS = 8, 5.0, 2_000
 STEMS, STEM = (4, 5, 6), b"*"
 INSULT_WEIGHT = 2.0
 # Words whose weight a task remembers.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 THRESHOLD = 0.5
 
 # Plain insults and second-person words of the languages at hand (fixed values).
@@ -251,8 +251,9 @@ def labelled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     if n > rows:
         marks = marks.filter(F.pmod(F.xxhash64("label_id"), F.lit(1_000_003)) < int(
             1_000_003 * rows / n))
+    # At most about ``rows`` pairs of numbers, so they go to the texts and not the other way round.
     return docs.select("doc_id", text().alias("text")).join(
-        marks, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y")
+        F.broadcast(marks), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "y")
 
 
 def learned_words(train: DataFrame) -> dict[bytes, float]:
