@@ -114,6 +114,15 @@ def compare_fingerprints(old: DataFrame, new: DataFrame, by: list[str] | None =
     )
 
 
+def fingerprint_together(parts: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Fingerprint of several sets of rows from the fingerprints of each."""
+    return parts.groupBy(*(by or [])).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"),
+        F.coalesce(F.sum("hash_sum"), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
+        F.coalesce(F.bit_xor("hash_xor"), F.lit(0)).alias("hash_xor"),
+    )
+
+
 def fingerprint_without(whole: DataFrame, part: DataFrame,
                         by: list[str] | None = None) -> DataFrame:
     """Fingerprint of a snapshot without some of its rows, from the two fingerprints.

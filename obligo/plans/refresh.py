@@ -11,6 +11,7 @@ from obligo.operators.enrich import Dimensions
 from obligo.operators.snapshots import (
     KEY,
     compare_fingerprints,
+    fingerprint_together,
     fingerprint_without,
     new_rows,
     snapshot_fingerprint,
@@ -33,8 +34,9 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
     """Takes a new dump of projected contracts into the store under ``root``.
 
     Returns the comparison of the carried-over rows with what the store held. The two snapshots
-    meet in one anti join, which finds the new rows; what was carried over is then known from
-    the fingerprints of the dump and of the new rows. Running the newest date again replaces what
+    meet in one anti join, which finds the new rows and shuffles of the store only its ids; what
+    was carried over is then known from the fingerprints of the dump and of the new rows. The
+    fingerprints of what each date added are kept, so the store is not read for them. Running the newest date again replaces what
     that run wrote, so the outcome is the same. A date before the newest is refused: what later
     dumps added and reported rests on what was there before them. So is a row without an id, which
     could not be told from one that is there already.
@@ -52,17 +54,31 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
     write_snapshot(new_rows(before, dump), folder, snapshot_date)
     taken = read_snapshots(spark, folder)
     added = taken.filter(F.col("snapshot_date") == snapshot_date)
-    carried = fingerprint_without(
-        snapshot_fingerprint(dump, by), snapshot_fingerprint(added, by), by
-    )
-    report = stored(
-        spark, compare_fingerprints(snapshot_fingerprint(before, by), carried, by), "comparison"
-    )
+    held = _held(spark, root, before, [d for d in dates if d < snapshot_date], by)
+    kept = _prints_folder(root, by)
+    write_snapshot(snapshot_fingerprint(added, by), kept, snapshot_date)
+    prints = spark.read.parquet(f"{kept}/snapshot_date={snapshot_date}")
+    carried = fingerprint_without(snapshot_fingerprint(dump, by), prints, by)
+    report = stored(spark, compare_fingerprints(held, carried, by), "comparison")
     current = taken.drop("snapshot_date")
     publish_marts(all_marts(spark, clean_contracts(current), dims), root, snapshot_date)
     return report
 
 
+def _prints_folder(root: str, by: list[str] | None) -> str:
+    return f"{root}/fingerprints-{'-'.join(by or ['all'])}"
+
+
+def _held(spark: SparkSession, root: str, before: DataFrame, dates: list[str],
+          by: list[str] | None) -> DataFrame:
+    """Fingerprint of the store: of what was kept, or of its rows where a date has none."""
+    folder = _prints_folder(root, by)
+    if not dates or not set(dates) <= set(snapshot_dates(spark, folder)):
+        return snapshot_fingerprint(before, by)
+    kept = read_snapshots(spark, folder).filter(F.col("snapshot_date").isin(dates))
+    return fingerprint_together(kept.drop("snapshot_date"), by)
+
+
 def publish_marts(marts: dict[str, DataFrame], root: str, snapshot_date: str) -> None:
     """Writes the dated marts side by side: each alone would leave most of a cluster idle."""
     with ThreadPoolExecutor(len(marts)) as pool:

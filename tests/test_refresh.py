@@ -70,6 +70,22 @@ def test_refresh_reports_a_changed_amount_and_keeps_the_old_one(spark, dumps, tm
     assert S.snapshot_diff(january, kept).isEmpty()
 
 
+def test_kept_fingerprints_are_those_of_the_store(spark, dumps, tmp_path):
+    january, february = dumps
+    root, dims = str(tmp_path), world.dims(spark)
+    for by in (None, ["state"]):
+        for date, dump in (("2020-01-05", january), ("2020-02-05", february)):
+            refresh(spark, f"{root}/{len(by or [])}", dump, date, dims, by)
+        name = "-".join(by or ["all"])
+        folder = f"{root}/{len(by or [])}"
+        kept = read_snapshots(spark, f"{folder}/fingerprints-{name}").drop("snapshot_date")
+        store = read_snapshots(spark, f"{folder}/transactions")
+        assert rows(S.fingerprint_together(kept, by)) == rows(S.snapshot_fingerprint(store, by))
+    # Another grain than before: fingerprints are taken of the rows.
+    report = refresh(spark, f"{root}/0", february, "2020-02-05", dims, ["state"])
+    assert {r.status for r in report.collect()} == {"same"}
+
+
 def test_an_earlier_date_is_refused(spark, dumps, tmp_path):
     january, february = dumps
     root, dims = str(tmp_path), world.dims(spark)
