@@ -435,7 +435,7 @@ def statements() -> dict[str, str]:
         ),
         "terms_flat": q("roster_terms", f"SELECT {_TERM} FROM roster_terms"),
         "legislator_years": q(
-            "roster_terms", "SELECT * FROM (" + _years("roster_terms", "is_current") + ")"
+            "roster_terms", "SELECT * FROM (" + _years("roster_terms", "TRUE") + ")"
         ),
         "legislator_union": q("roster_years", f"SELECT {_LEG_YEAR} FROM roster_years"),
         "legislator_json_scan": q("roster_terms", f"SELECT {_TERM} FROM roster_terms"),

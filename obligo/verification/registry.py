@@ -224,7 +224,9 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     .agg(F.count(F.lit(1)).alias("n_rows")),
     # legislators
     "terms_flat": lambda s: terms.flatten_terms(s.roster()[0].unionByName(s.roster()[1])),
-    "legislator_years": lambda s: terms.legislator_years(s.roster()[0]),
+    "legislator_years": lambda s: terms.legislator_years(
+        s.roster()[0].unionByName(s.roster()[1])
+    ),
     "legislator_union": lambda s: terms.legislator_years(*s.roster(), ROSTER_MIN_START),
     # attribution
     "label_preserving_join": lambda s: keyed(
