@@ -16,6 +16,10 @@ from pyspark.sql import functions as F
 LOWER_BYTES = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 ROW = "document_row"
 STRETCH_BYTES = 1_000_000
+BATCH_LIMITS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 1_000,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4_000_000,
+}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +36,15 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches of this session: their defaults are meant for short rows.
+
+    A batch is in memory several times over, in the JVM and in Python, for every running task.
+    """
+    for key, most in BATCH_LIMITS.items():
+        spark.conf.set(key, str(most))
+
+
 def whole_rows(docs: DataFrame) -> DataFrame:
     """Every column packed into one, so that added columns cannot clash with the table's own."""
     return docs.select(F.struct("*").alias(ROW))

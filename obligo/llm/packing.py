@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import LOWER_BYTES, documents, stretches, text
+from obligo.llm.common import LOWER_BYTES, documents, small_batches, stretches, text
 from obligo.sinks.tables import stored
 
 LENGTH = 4096
@@ -41,9 +41,9 @@ GROUP_PIECES = 20_000
 # A sequence with at most this share of free tokens is not opened again in later rounds.
 FILLED_SHARE = 0.002
 # Words whose ids a worker remembers, about half of them at least.
-REMEMBERED = 300_000
+REMEMBERED = 250_000
 # Bytes of texts whose words are looked up, and whose ids are gathered, together.
-CODED_BYTES, GATHERED_BYTES = 16_000_000, 2_000_000
+CODED_BYTES, GATHERED_BYTES = 12_000_000, 2_000_000
 TOGETHER = 500
 # Letters from this one on have no simple lower case for sure (fixed value).
 SIMPLE_LETTERS = "\u0180"
@@ -186,6 +186,19 @@ class Encoder:
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to about CODED_BYTES, so that a common word is looked up less often."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= CODED_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> DataFrame:
     """doc_id, piece, start, length and checksum of the ids of every piece."""
     path = path or tokenizer_path()
@@ -193,11 +206,9 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Da
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of_worker(path)
-        for batch in batches:
+        for batch in gathered(batches):
             at, number, start, size, checksum = [], [], [], [], []
-            encoded = (ids for part in stretches(batch.column(1), CODED_BYTES)
-                       for ids in encoder.encode_all(part))
-            for row, ids in enumerate(encoded):
+            for row, ids in enumerate(encoder.encode_all(batch.column(1))):
                 ids += end
                 for k, s in enumerate(range(0, len(ids), 4 * length)):
                     part = ids[s:s + 4 * length]
@@ -275,6 +286,7 @@ def round_of(items: DataFrame, groups: int, capacity: int) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
            group_pieces: int = GROUP_PIECES, path: str | None = None) -> DataFrame:
     """Every piece with the sequence it belongs to and its offset there."""
+    small_batches(spark)
     # Stored, so that the numbers of the pieces stay the same whatever is computed again.
     table = stored(spark, pieces(docs, length, path).withColumn(
         "item", F.monotonically_increasing_id()), "pieces")

@@ -28,7 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from obligo.llm.common import LOWER_BYTES, ROW, byte_texts, documents, text, whole_rows
+from obligo.llm.common import (
+    LOWER_BYTES,
+    ROW,
+    byte_texts,
+    documents,
+    small_batches,
+    text,
+    whole_rows,
+)
 from obligo.sinks.tables import stored
 
 SEED = 42
@@ -230,6 +238,7 @@ def grouped(spark: SparkSession, docs: DataFrame, words: int, distance: int) ->
     """doc_id, ``fp``, hash of the text, root and component of every row."""
     if not 0 <= distance <= MAX_DISTANCE:
         raise ValueError(f"two segments find at most {MAX_DISTANCE} differing bits")
+    small_batches(spark)
     prints = stored(spark, fingerprints(docs, words), "fingerprints")
     return prints.join(near_groups(spark, prints, distance), "fp")
 

@@ -30,6 +30,7 @@ from obligo.llm.common import (
     byte_texts,
     checksum_mod,
     documents,
+    small_batches,
     text,
     whole_rows,
 )
@@ -309,6 +310,7 @@ def feature_batches(known: dict[bytes, float]):
 def trained(spark: SparkSession, docs: DataFrame, labels: DataFrame,
             rows: int = TRAIN_ROWS):
     """A function from an Arrow column of texts to scores, ready to be sent to tasks."""
+    small_batches(spark)
     train = stored(spark, labelled(docs, labels, rows).repartition(
         spark.sparkContext.defaultParallelism, "doc_id"), "labelled")
     lexicon = {w.encode(): INSULT_WEIGHT for w in INSULTS} | learned_words(train)
@@ -368,11 +370,9 @@ def clean_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataF
     """The rows that are not predicted to be toxic, with all their columns."""
     score = trained(spark, docs, labels)
 
-    @F.pandas_udf("double")
-    def scored(texts):
-        import pandas as pd
-
-        return pd.Series(score(pa.array(texts, pa.string())))
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array(score(texts), pa.float64())
 
     return (
         whole_rows(docs).filter(scored(text(f"{ROW}.text")) < THRESHOLD).select(f"{ROW}.*")
