@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
 import string
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -12,6 +16,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import obligo
+from obligo.session import scratch_folder
+
 # ASCII letters in either case, for texts and for the bytes of texts.
 LOWER_BYTES = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 ROW = "document_row"
@@ -36,13 +43,34 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, string.ascii_uppercase, string.ascii_lowercase)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds the Arrow batches of this session: their defaults are meant for short rows.
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> None:
+    """What operators with Python code in tasks need of a session.
 
-    A batch is in memory several times over, in the JVM and in Python, for every running task.
+    Arrow batches are bounded: their defaults are meant for short rows, and a batch is in memory
+    several times over, in the JVM and in Python, for every running task. The package is sent to
+    the executors once, by way of the shared folder, so they need not have it on their path.
     """
     for key, most in BATCH_LIMITS.items():
         spark.conf.set(key, str(most))
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(obligo.__file__).parent
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, str(file.relative_to(package.parent)))
+    jvm = context._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_folder(spark)}/obligo-{uuid4().hex}.zip")
+    files = path.getFileSystem(context._jsc.hadoopConfiguration())
+    out = files.create(path)
+    out.write(bytearray(data.getvalue()))
+    out.close()
+    context.addPyFile(files.makeQualified(path).toString())
+    _shipped.add(context.applicationId)
 
 
 def whole_rows(docs: DataFrame) -> DataFrame:

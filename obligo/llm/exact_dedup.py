@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import ROW, documents, lower_ascii, small_batches, text, whole_rows
+from obligo.llm.common import ROW, documents, lower_ascii, prepare, text, whole_rows
 from obligo.sinks.tables import stored
 
 BITS_PER_ROW = 16
@@ -154,7 +154,7 @@ class ExactDedup:
     """The decisions for one table: ``singles`` (not repeated) and ``repeats`` with their group."""
 
     def __init__(self, spark: SparkSession, docs: DataFrame, filter_bytes: int = FILTER_BYTES):
-        small_batches(spark)
+        prepare(spark)
         narrow = stored(spark, docs.select("doc_id", digest().alias("digest")), "digests")
         self.filters = Filters(spark, narrow, narrow.count(), filter_bytes)
         flagged = self.filters.flagged(narrow)

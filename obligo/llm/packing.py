@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import LOWER_BYTES, documents, small_batches, stretches, text
+from obligo.llm.common import LOWER_BYTES, documents, prepare, stretches, text
 from obligo.sinks.tables import stored
 
 LENGTH = 4096
@@ -286,7 +286,7 @@ def round_of(items: DataFrame, groups: int, capacity: int) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
            group_pieces: int = GROUP_PIECES, path: str | None = None) -> DataFrame:
     """Every piece with the sequence it belongs to and its offset there."""
-    small_batches(spark)
+    prepare(spark)
     # Stored, so that the numbers of the pieces stay the same whatever is computed again.
     table = stored(spark, pieces(docs, length, path).withColumn(
         "item", F.monotonically_increasing_id()), "pieces")

@@ -33,7 +33,7 @@ from obligo.llm.common import (
     byte_texts,
     documents,
     joined_blocks,
-    small_batches,
+    prepare,
     summed_blocks,
     text,
 )
@@ -231,7 +231,7 @@ def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray,
 
 def quality(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, score, whether the document is kept, and the posterior of its votes."""
-    small_batches(spark)
+    prepare(spark)
     posterior, _, shares = posterior_of(pattern_counts(docs))
     weights = trained_weights(spark, docs, posterior, float(np.clip(shares[0], 0.01, 0.99)))
     shared = spark.sparkContext.broadcast((weights.astype(np.float64), posterior))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import documents, small_batches, text
+from obligo.llm.common import documents, prepare, text
 
 KINDS = ("assign", "access", "hex", "markov")
 BASE = KINDS[:3]
@@ -165,7 +165,7 @@ def trained(docs: DataFrame) -> Markov:
 
 def secrets(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id and the spans (kind, start, end) of every text, by start, then kind."""
-    small_batches(spark)
+    prepare(spark)
     shared = spark.sparkContext.broadcast(trained(docs))
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

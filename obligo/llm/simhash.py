@@ -33,7 +33,7 @@ from obligo.llm.common import (
     ROW,
     byte_texts,
     documents,
-    small_batches,
+    prepare,
     text,
     whole_rows,
 )
@@ -238,7 +238,7 @@ def grouped(spark: SparkSession, docs: DataFrame, words: int, distance: int) ->
     """doc_id, ``fp``, hash of the text, root and component of every row."""
     if not 0 <= distance <= MAX_DISTANCE:
         raise ValueError(f"two segments find at most {MAX_DISTANCE} differing bits")
-    small_batches(spark)
+    prepare(spark)
     prints = stored(spark, fingerprints(docs, words), "fingerprints")
     return prints.join(near_groups(spark, prints, distance), "fp")
 

@@ -30,7 +30,7 @@ from obligo.llm.common import (
     byte_texts,
     checksum_mod,
     documents,
-    small_batches,
+    prepare,
     text,
     whole_rows,
 )
@@ -310,7 +310,7 @@ def feature_batches(known: dict[bytes, float]):
 def trained(spark: SparkSession, docs: DataFrame, labels: DataFrame,
             rows: int = TRAIN_ROWS):
     """A function from an Arrow column of texts to scores, ready to be sent to tasks."""
-    small_batches(spark)
+    prepare(spark)
     train = stored(spark, labelled(docs, labels, rows).repartition(
         spark.sparkContext.defaultParallelism, "doc_id"), "labelled")
     lexicon = {w.encode(): INSULT_WEIGHT for w in INSULTS} | learned_words(train)
