@@ -3,6 +3,7 @@ import corpus_pipeline
 import pytest
 
 from obligo.llm import registry, toxicity
+from obligo.llm.common import prepare
 
 NUMBERED = {f"op{n}_" for n in range(1, 11)}
 
@@ -15,6 +16,13 @@ def test_ten_queries_and_the_pipeline_are_registered():
     assert registry.SQL.items() <= entry_points.oracle_sql().items()
 
 
+def test_the_package_is_sent_to_the_executors_once(spark):
+    for _ in range(2):
+        prepare(spark)
+    sent = [x for x in spark.sparkContext._python_includes if x.startswith("obligo-")]
+    assert len(sent) == 1
+
+
 def test_stages_take_awkward_and_empty_tables(spark, tmp_path):
     for k, docs in enumerate((cases.awkward(spark), cases.awkward(spark).limit(0))):
         folder = str(tmp_path / str(k))
