@@ -36,10 +36,11 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
     Returns the comparison of the carried-over rows with what the store held. The two snapshots
     meet in one anti join, which finds the new rows and shuffles of the store only its ids; what
     was carried over is then known from the fingerprints of the dump and of the new rows. The
-    fingerprints of what each date added are kept, so the store is not read for them. Running the newest date again replaces what
-    that run wrote, so the outcome is the same. A date before the newest is refused: what later
-    dumps added and reported rests on what was there before them. So is a row without an id, which
-    could not be told from one that is there already.
+    fingerprints of what each date added are kept, so the store is not read for them.
+
+    Running the newest date again replaces what that run wrote, so the outcome is the same. A date
+    before the newest is refused: what later dumps added and reported rests on what was there
+    before them. So is a row without an id, which could not be told from one that is there already.
     """
     folder = f"{root}/{TRANSACTIONS}"
     dates = snapshot_dates(spark, folder)
