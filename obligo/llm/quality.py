@@ -6,8 +6,8 @@ Expectation-maximisation estimates from the counts of vote patterns over all doc
 each labeller votes low on documents of high quality and of each kind of low quality, where it
 votes, and how many there are of each; this gives a posterior per pattern.
 The posteriors are the soft labels of a linear scorer over hashed words, word shapes and rates,
-trained in rounds of distributed gradient steps, each over another 1/SHARES of the documents, and
-averaged per feature. No given label is read.
+trained in rounds of distributed gradient steps, each over another share of the documents, all
+rounds together every one once, and averaged per feature. No given label is read.
 
 There are 3 ** labellers patterns, so the counts that reach the driver are bounded.
 
@@ -63,7 +63,7 @@ PSEUDO_DOCUMENTS, PSEUDO_VOTES = 100.0, 5.0
 STEPS = 500
 
 FEATURE_BITS = 16
-ROUNDS, SHARES = 3, 8
+ROUNDS = 3  # one pass over the documents
 RATES = (1.0, 0.5, 0.25)
 THRESHOLD = 0.5
 BLOCK_ROWS = 4096
@@ -193,6 +193,12 @@ def pattern_counts(docs: DataFrame) -> np.ndarray:
     return out
 
 
+def share_of(docs: DataFrame, turn: int) -> DataFrame:
+    """The documents of a round; every document is in one of the ROUNDS shares."""
+    return docs.select("doc_id", text().alias("text")).filter(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn)
+
+
 def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray,
                     share_high: float) -> np.ndarray:
     """Weights of the linear scorer after all rounds; it starts from the share of high quality."""
@@ -219,9 +225,7 @@ def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray,
                     array_blocks(change, BLOCK_ROWS).astype({"block": "int32"}),
                     preserve_index=False)
 
-        share = docs.select("doc_id", text().alias("text")).filter(
-            F.pmod(F.xxhash64("doc_id", "text"), F.lit(SHARES)) == turn)
-        blocks = share.select("text").coalesce(tasks).mapInArrow(
+        blocks = share_of(docs, turn).select("text").coalesce(tasks).mapInArrow(
             steps, "block int, value binary")
         total = joined_blocks(summed_blocks(blocks).collect(),
                               2 * len(weights)).reshape(-1, 2)

@@ -58,6 +58,13 @@ def test_awkward_rows_and_empty_table(spark):
     assert quality.quality(spark, docs.limit(0)).count() == 0
 
 
+def test_every_document_is_in_one_round(spark):
+    docs = cases.documents(spark, [f"text {i}" for i in range(200)])
+    shares = [{r.doc_id for r in quality.share_of(docs, turn).collect()}
+              for turn in range(quality.ROUNDS)]
+    assert sum(map(len, shares)) == 200 and set.union(*shares) == set(range(200))
+
+
 @pytest.mark.skipif(not cases.HAVE_TABLES, reason="no test tables")
 def test_agrees_with_labels_it_has_not_read(spark):
     folder = "/root/testdata/sf0.1"
