@@ -408,6 +408,11 @@ def statements() -> dict[str, str]:
             " replace(CAST(CAST(l_extendedprice - 50000 AS DECIMAL(18,2)) AS VARCHAR),"
             " '-', '\\-')) AS txn_id FROM lineitem)"
         ),
+        "dense_row_numbers": (
+            "SELECT l_returnflag, l_orderkey, l_linenumber, row_number() OVER (PARTITION BY"
+            " l_returnflag ORDER BY l_orderkey, l_linenumber) - 1 AS row_no,"
+            " count(*) OVER (PARTITION BY l_returnflag) AS n_rows FROM lineitem"
+        ),
         "naics_labels_all": q("labels_all", "SELECT * FROM labels_all"),
         "naics_labels_4": q("labels_4", "SELECT * FROM labels_4"),
         "state_dim_2010": q("states", f"SELECT state, {_DEMO} FROM states"),

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from obligo.functions import clean
 from obligo.functions.keys import bucket, hash_number, natural_key
 from obligo.operators import enrich, migration, snapshots, terms, totals
+from obligo.operators.numbering import dense_numbers
 from obligo.plans import marts, serving
 from obligo.plans.copy import copy_tables
 from obligo.plans.refresh import TRANSACTIONS, refresh
@@ -193,6 +194,9 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
                     (F.col("l_extendedprice") - 50000).cast("decimal(18,2)")).alias("txn_id")
     )
     .withColumn("row_id", hash_number(F.col("txn_id"), "md5").cast("string")),
+    "dense_row_numbers": lambda s: dense_numbers(
+        s.table("lineitem").select("l_returnflag", "l_orderkey", "l_linenumber"),
+        ["l_orderkey", "l_linenumber"], ["l_returnflag"], "row_no", "n_rows"),
     "naics_labels_all": lambda s: industry_labels(s.naics()),
     "naics_labels_4": lambda s: group_labels(s.naics()),
     "state_dim_2010": lambda s: state_demographics(s.state_data()),
