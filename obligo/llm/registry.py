@@ -12,9 +12,12 @@ from obligo.llm import (
     fingerprints,
     line_dedup,
     lm_score,
+    merkle,
     mixing,
     packing,
+    pii,
     quality,
+    runs,
     secret_scan,
     simhash,
     toxicity,
@@ -31,11 +34,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": exact_dedup.query,
     "op9_quality": quality.query,
     "op10_packing": packing.query,
+    "op11_periodic_runs": runs.query,
+    "op12_pii": pii.query,
+    "op13_merkle": merkle.query,
     "pipeline": corpus_pipeline.run,
 }
 
 SQL: dict[str, str] = {
     "op3_line_dedup": line_dedup.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op13_merkle": merkle.SQL,
     **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
