@@ -76,6 +76,29 @@ def new_rows(old: DataFrame | None, new: DataFrame, key: str = KEY,
     return new.join(distinct_keys(old, key) if known is None else known, key, "left_anti")
 
 
+def unknown_keys(new: DataFrame, known: list[DataFrame], key: str = KEY) -> DataFrame:
+    """The distinct keys of the new snapshot that none of the key tables has.
+
+    The keys are combined on the map side and shuffled once. Tables that are stored in buckets of
+    the key, of one number, are joined where they lie: their side of the plan has no exchange.
+    """
+    keys = new.select(key).distinct()
+    for table in known:
+        keys = keys.join(table.select(key), key, "left_anti")
+    return keys
+
+
+def rows_of_keys(df: DataFrame, keys: DataFrame, key: str = KEY,
+                 limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows whose key is listed, by stored distinct keys.
+
+    The list is measured. Up to ``limit`` bytes it is broadcast and no row is moved; beyond that
+    both sides are shuffled, and adaptive execution splits a key that is hot.
+    """
+    fits = Sized(keys, measured_bytes(keys)).fits(limit)
+    return df.join(F.broadcast(keys) if fits else keys, key, "left_semi")
+
+
 def carry_over(old: DataFrame | None, new: DataFrame, key: str = KEY,
                known: DataFrame | None = None) -> DataFrame:
     """Rows of the new snapshot whose key the old one has."""

@@ -47,6 +47,15 @@ def seat_totals(contracts: DataFrame, by_industry: bool = True,
     return facts.groupBy(*SEAT_KEYS["district"], *(["code"] if by_industry else [])).agg(*sums)
 
 
+def added_totals(parts: DataFrame) -> DataFrame:
+    """Seat totals of several sets of contracts from the seat totals of each."""
+    sums = [F.sum("amount").cast(TOTAL).alias("amount"), F.sum("n_actions").alias("n_actions")]
+    sums += [F.sum(c).cast(RATIO_TOTAL).alias(c) for c in ("contract_pp", "contract_pd")
+             if c in parts.columns]
+    keys = [*SEAT_KEYS["district"], *(["code"] if "code" in parts.columns else [])]
+    return parts.groupBy(*keys).agg(*sums)
+
+
 def _ratio_total(base: str) -> Column:
     return F.sum(ratio(F.col("amount"), F.col(base), RATIO_DIGITS).cast(RATIO_TOTAL)).cast(
         RATIO_TOTAL

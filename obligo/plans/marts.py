@@ -99,6 +99,12 @@ def all_marts(spark: SparkSession, contracts: DataFrame, dims: Dimensions,
     cached, so that losing an executor does not mean scanning the contracts again.
     """
     totals = stored(spark, seat_totals(contracts, ratios_from=dims.states), "seat_totals")
+    return marts_of(totals, dims, senate_key, compat)
+
+
+def marts_of(totals: DataFrame, dims: Dimensions, senate_key: str = "district",
+             compat: bool = True) -> dict[str, DataFrame]:
+    """All six marts from stored seat totals that carry the ratio sums."""
     marts = {}
     for suffix, chamber in CHAMBERS.items():
         key = senate_key if suffix == "sen" else "district"

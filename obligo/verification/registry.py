@@ -18,6 +18,7 @@ from obligo.plans.copy import copy_tables
 from obligo.plans.refresh import TRANSACTIONS, refresh
 from obligo.session import scratch_folder
 from obligo.sinks import tables
+from obligo.sinks.store import Store
 from obligo.sources import catalogue
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
 from obligo.sources.legislators import read_legislators
@@ -172,7 +173,7 @@ def copied_table(s: Source) -> DataFrame:
 
 
 def latest(s: Source, name: str) -> DataFrame:
-    return tables.latest_snapshot(s.spark, f"{refreshed_store(s)}/{name}")
+    return Store(s.spark, refreshed_store(s)).latest(name)
 
 
 # -- the queries --------------------------------------------------------------------------
@@ -308,9 +309,8 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "localized_diff": localized_diff,
     "refreshed_mart": lambda s: latest(s, "legis_by_year_hr").drop("snapshot_date"),
     "latest_snapshot": lambda s: latest(s, "state_by_year_hr"),
-    "refreshed_transactions": lambda s: tables.read_snapshots(
-        s.spark, f"{refreshed_store(s)}/{TRANSACTIONS}"
-    ).drop("snapshot_date"),
+    "refreshed_transactions": lambda s: Store(s.spark, refreshed_store(s)).rows(TRANSACTIONS)
+    .drop("snapshot_date"),
     # copying
     "copied_table": copied_table,
     "chunk_assignment": lambda s: tables.assign_chunks(
