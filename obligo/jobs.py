@@ -155,7 +155,7 @@ def copy(spark: SparkSession, options: argparse.Namespace) -> None:
         else:
             write_files(df, f"{options.output}/{name}", "overwrite")
 
-    copy_tables(plan, partial(read_split, spark, database), write, options.only)
+    copy_tables(plan, partial(read_split, spark, database, equal_depth=True), write, options.only)
 
 
 JOBS = {"contracts": contracts, "grants": grants, "marts": marts, "refresh": refreshed,

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 # Broadcast threshold of the published configuration, in bytes (fixed value).
 BROADCAST_BYTES = 50_000_000
 SALTS = 64
+# A key is hot with this share of the rows; there are at most its inverse of them.
+HOT_SHARE = 0.001
+# Keys the sketch tracks: its error is then well below the share.
+TRACKED = 16_384
 
 
 @dataclass(frozen=True)
@@ -65,21 +69,46 @@ def measured_bytes(df: DataFrame) -> int:
     return int(df.agg(F.coalesce(F.sum(_row_bytes(df)), F.lit(0))).first()[0])
 
 
+def _key_hash(on: list[str]) -> Column:
+    """A hash of the key that is the same where only the types of the columns differ."""
+    return F.xxhash64(*[F.col(c).cast("string") for c in on])
+
+
+def heavy_keys(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that at least this share of the rows have, by a frequent-items sketch.
+
+    The sketch counts the most frequent keys of its part of the rows and drops the others, and
+    sketches add up, so one scan of the key columns and one row per task find them. A key above
+    the share is never missed; a missing key counts as one.
+    """
+    found = facts.select(_key_hash(on).alias("h")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.expr(f"approx_top_k(h, {round(1 / share)}, {TRACKED})").alias("top")).first()
+    return [r["item"] for r in found["top"] or [] if r["count"] >= share * found["n"]]
+
+
 def join_dimension(facts: DataFrame, dimension: Sized, on: list[str], how: str = "left",
-                   limit: int | None = None, salts: int = SALTS) -> DataFrame:
+                   limit: int | None = None, salts: int = SALTS,
+                   hot: list[int] | None = None) -> DataFrame:
     """Joins facts to a dimension without moving the facts where the dimension is small.
 
     At most ``limit`` bytes (by default the limit of the dimension): broadcast hash join, no
-    shuffle of the facts. Beyond that: shuffled join on (key, salt), with the dimension repeated
-    once per salt, so that a hot or a null key is spread over many tasks; adaptive skew handling
-    splits what is still too large.
+    shuffle of the facts. Beyond that: shuffled join on (key, salt). The facts of hot keys, which
+    ``heavy_keys`` finds unless they are given, are spread over ``salts`` salts, and only the rows
+    of the dimension with these keys are repeated; all others have one salt. Adaptive skew
+    handling splits what is still too large. ``salts=1`` is for facts in which no key can be hot.
     """
     if how not in ("left", "inner"):
         raise ValueError("facts are the left side: how must be 'left' or 'inner'")
     if dimension.fits(limit):
         return facts.join(F.broadcast(dimension.df), on, how)
     others = [c for c in facts.columns if c not in on] or facts.columns
-    salt = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
+    hot = hot if hot is not None or salts == 1 else heavy_keys(facts, on)
+    if not hot or salts == 1:
+        return facts.join(dimension.df, on, how)
+    is_hot = _key_hash(on).isin(hot)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*others), F.lit(salts))).otherwise(0).cast("int")
     salted = facts.withColumn("_salt", salt)
-    copies = dimension.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
+    copies = dimension.df.withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
     return salted.join(copies, [*on, "_salt"], how).drop("_salt")

@@ -72,8 +72,9 @@ def credit(totals: DataFrame, dims: Dimensions, chamber: str,
     if chamber_key == "state":
         people = people.drop("district").dropDuplicates()
         totals = totals.withColumn("district", F.lit(None).cast("bigint"))
+    # Totals have one row per seat, year and code, so no key of them is hot.
     return join_dimension(totals, replace(dims.holders, df=people), SEAT_KEYS[chamber_key],
-                          "inner")
+                          "inner", salts=1)
 
 
 def overlap_report(contracts: DataFrame, dims: Dimensions, chamber: str = "rep") -> DataFrame:

@@ -7,12 +7,17 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Hex digits of the MD5 text that ranges are cut on: up to 65,536 ranges.
 _HEX_DIGITS = 4
 # Rows per round trip. Some drivers otherwise hold the whole result of a partition in memory.
 FETCH_ROWS = 10_000
+# Decimal digits that always fit 64 bits.
+LONG_DIGITS = 18
+# Relative error of a cut: a piece over this.
+DEPTH_ACCURACY = 50
 
 
 @dataclass(frozen=True)
@@ -51,17 +56,20 @@ def read_by_range(spark: SparkSession, source: Connection, relation: str, column
 
 
 def read_split(spark: SparkSession, source: Connection, relation: str, key: list[str],
-               partitions: int) -> DataFrame:
+               partitions: int, equal_depth: bool = False) -> DataFrame:
     """A table in so many pieces: by ranges of its key where that is one whole number.
 
-    Otherwise by hash ranges of the key. A table of one piece is read through one connection.
+    The ranges are strides between the smallest and the largest key or, with ``equal_depth``, hold
+    about equally many rows whatever gaps the numbers have: the key column alone is then read
+    first, by strides, and cut at its quantiles. Other keys, and numbers beyond 64 bits, are split
+    by hash ranges. A table of one piece is read through one connection.
     """
     whole = read_relation(spark, source, relation)
     if partitions <= 1:
         return whole
     kind = whole.schema[key[0]].dataType if len(key) == 1 else None
     numeric = isinstance(kind, T.IntegralType) or (
-        isinstance(kind, T.DecimalType) and kind.scale == 0)
+        isinstance(kind, T.DecimalType) and kind.scale == 0 and kind.precision <= LONG_DIGITS)
     if not numeric:
         return read_by_key(spark, source, relation, key, partitions)
     column = key[0]
@@ -70,7 +78,36 @@ def read_split(spark: SparkSession, source: Connection, relation: str, key: list
     ).first()
     if lower is None:
         return whole
-    return read_by_range(spark, source, relation, column, int(lower), int(upper) + 1, partitions)
+    if not equal_depth:
+        return read_by_range(
+            spark, source, relation, column, int(lower), int(upper) + 1, partitions)
+    keys = read_by_range(spark, source, f"(SELECT {column} FROM {relation}) keys", column,
+                         int(lower), int(upper) + 1, partitions)
+    bounds = equal_depth_bounds(keys, column, partitions)
+    return spark.read.jdbc(source.url, relation, predicates=range_predicates(column, bounds),
+                           properties=source.reading())
+
+
+def equal_depth_bounds(keys: DataFrame, column: str, pieces: int) -> list[int]:
+    """Values that cut a whole-number column into pieces of about equally many rows.
+
+    They are taken from a quantile summary, which tasks fill on their own rows and which add up,
+    so nothing is sorted or moved. Where one value fills several pieces it is one bound.
+    """
+    shares = [i / pieces for i in range(1, pieces)]
+    if not shares:
+        return []
+    cuts = keys.agg(F.percentile_approx(
+        F.col(column).cast("bigint"), shares, DEPTH_ACCURACY * pieces)).first()[0]
+    return sorted(set(cuts or []))
+
+
+def range_predicates(column: str, bounds: list[int]) -> list[str]:
+    """WHERE clauses for the ranges between bounds, without overlap or gap, nulls in the first."""
+    if not bounds:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    inner = [f"{column} > {a} AND {column} <= {b}" for a, b in zip(bounds, bounds[1:])]
+    return [f"{column} IS NULL OR {column} <= {bounds[0]}", *inner, f"{column} > {bounds[-1]}"]
 
 
 def read_by_key(spark: SparkSession, source: Connection, relation: str, key: str | list[str],

@@ -47,8 +47,11 @@ class Source:
             self._made[name] = make()
         return self._made[name]
 
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}.parquet"
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.parquet(self.path(name))
 
     def spread(self, name: str) -> DataFrame:
         """The table, over all cores where its files alone would make fewer tasks than that."""
@@ -125,8 +128,12 @@ class Source:
     def state_data(self) -> DataFrame:
         return derive_state_data(self.table("nation"), self.table("customer"))
 
+    def seats(self) -> tuple[DataFrame, DataFrame]:
+        """Current and historical documents of the holders of seats."""
+        return derive_seats(self.table("nation"))
+
     def seat_years(self) -> DataFrame:
-        current, historical = derive_seats(self.table("nation"))
+        current, historical = self.seats()
         return legislator_years(current, historical, SEAT_MIN_START)
 
     def roster(self) -> tuple[DataFrame, DataFrame]:

@@ -523,6 +523,13 @@ def statements() -> dict[str, str]:
             " AS district, CAST(sum(amount) AS DOUBLE) AS net_amount, count(*) AS n_actions"
             " FROM contracts GROUP BY ALL",
         ),
+        "totals_by_term": q(
+            "contracts legislators",
+            "SELECT state, CAST(district AS VARCHAR) AS district, CAST(year AS VARCHAR) AS year,"
+            " firstname, lastname, typeofrep, party, CAST(amount AS DOUBLE) AS amount"
+            " FROM legislators JOIN (SELECT state, district, year, sum(amount) AS amount"
+            "  FROM contracts GROUP BY ALL) USING (state, district, year)",
+        ),
         "overlap_report": q(
             "contracts legislators",
             "SELECT state, district, year, n_holders, CAST(amount AS DOUBLE) AS amount,"
@@ -573,8 +580,15 @@ def statements() -> dict[str, str]:
             "snap_new", f"SELECT state, code, {_PRINT} FROM ({fingerprint('snap_new', 'state, code')})"
         ),
         "refreshed_transactions": q("snap_appended", f"SELECT {_TXN} FROM snap_appended"),
-        "copied_table": "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,"
-        " CAST(l_quantity AS DOUBLE) AS l_quantity, l_orderkey % 7 AS chunk FROM lineitem",
+        "copied_table": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate),"
+        " l_orderkey % 7 AS chunk FROM lineitem",
+        "copied_tables": " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, count(*) AS n_rows,"
+            f" (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns, 0 AS n_differing FROM {t}"
+            for t in _KEYS if t != "events"
+        ),
+        "equal_depth_pieces": "SELECT count(*) AS n_rows, 8 AS n_pieces, true AS even FROM lineitem",
+        "chunk_plan_from_footers": _planned(_estimates()),
         "chunk_assignment": q(
             "txn", f"SELECT txn_id, CAST({md5_number('txn_id')} % 100 + 1 AS INT) AS chunk FROM txn"
         ),
@@ -589,7 +603,7 @@ def statements() -> dict[str, str]:
             " ON k.table_name = p.table_name"
         ),
     }
-    sql["localized_diff"] = q(
+    sql["localized_diff"] = sql["tree_diff"] = q(
         "local_diff",
         "SELECT txn_id, CAST(old_amount AS DOUBLE) AS old_amount,"
         " CAST(new_amount AS DOUBLE) AS new_amount, status FROM local_diff",

@@ -11,7 +11,15 @@ from pyspark.sql import types as T
 
 from obligo.functions import clean
 from obligo.functions.keys import bucket, hash_number, natural_key
-from obligo.operators import enrich, migration, snapshots, terms, totals
+from obligo.operators import (
+    enrich,
+    hashtree,
+    intervals,
+    migration,
+    snapshots,
+    terms,
+    totals,
+)
 from obligo.operators.numbering import dense_numbers
 from obligo.plans import marts, serving
 from obligo.plans.copy import copy_tables
@@ -22,8 +30,9 @@ from obligo.sinks.store import Store
 from obligo.sources import catalogue
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
 from obligo.sources.legislators import read_legislators
+from obligo.sources.relational import equal_depth_bounds, range_predicates
 from obligo.sources.transactions import project_contracts, project_grants
-from obligo.verification.fixtures import ROSTER_MIN_START, Source, source
+from obligo.verification.fixtures import ROSTER_MIN_START, SEAT_MIN_START, Source, source
 
 # Parameters of the registered queries.
 INDUSTRY = "Industry 07"
@@ -32,6 +41,8 @@ CHUNKS = 100
 ROWS_PER_CHUNK = 1000
 DOCUMENTS_PER_FILE = 5000
 COPY_PIECES = 8
+TREE_BUCKETS = 256
+TERM_YEARS = 4
 JANUARY, FEBRUARY = "2020-01-05", "2020-02-05"
 
 # What the catalogue of the test tables would say: key columns and constraint type per table.
@@ -149,27 +160,84 @@ def localized_diff(s: Source) -> DataFrame:
     return snapshots.localized_diff(old, new, ["state"], old_prints=prints)
 
 
-def copied_table(s: Source) -> DataFrame:
-    """Line items after two copies from Parquet to Parquet, as a table above the chunk limit.
+def copy_of(s: Source, sources: dict[str, DataFrame]) -> str:
+    """A folder with the tables after two copies from Parquet to Parquet.
 
-    The source has a column named like a chunk, and another table is left out by the list.
+    What the plan lists beside them is left out by the list of tables to copy.
     """
-    source = s.table("lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        F.col("l_quantity").cast("double").alias("l_quantity"),
-        (F.col("l_orderkey") % 7).alias("chunk"))
     root = f"{scratch_folder(s.spark)}/copy-{uuid4().hex}"
     plan = migration.migration_plan(**catalogue_of(s), rows_per_chunk=ROWS_PER_CHUNK)
 
     def read(name: str, key: list[str], pieces: int) -> DataFrame:
-        return source.repartition(pieces, *key)
+        return sources[name].repartition(pieces, *key)
 
     def write(df: DataFrame, name: str, chunks: int, key: list[str]) -> None:
         tables.write_files(df, f"{root}/{name}", "overwrite")
 
     for _ in range(2):
-        copy_tables(plan, read, write, only=["lineitem"], partitions=COPY_PIECES)
-    return s.spark.read.parquet(f"{root}/lineitem")
+        copy_tables(plan, read, write, only=list(sources), partitions=COPY_PIECES)
+    return root
+
+
+def copied_table(s: Source) -> DataFrame:
+    """Line items with all their columns and one that is named like a chunk, copied."""
+    source = s.table("lineitem").withColumn("chunk", F.col("l_orderkey") % 7)
+    copied = s.spark.read.parquet(f"{copy_of(s, {'lineitem': source})}/lineitem")
+    assert copied.dtypes == source.dtypes
+    return copied.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
+
+
+def copied_tables(s: Source) -> DataFrame:
+    """Every table with a primary key, copied: rows, columns, and rows that differ from the source."""
+    names = [t for t, (_, kind) in KEYS.items() if kind == "PRIMARY KEY"]
+    root = copy_of(s, {t: s.table(t) for t in names})
+    union = None
+    for name in names:
+        source, copied = s.table(name), s.spark.read.parquet(f"{root}/{name}")
+        both = source.withColumn("_side", F.lit(1)).unionByName(
+            copied.withColumn("_side", F.lit(-1)))
+        part = both.groupBy(*source.columns).agg(
+            F.sum("_side").alias("d"), F.count(F.when(F.col("_side") < 0, 1)).alias("n")).agg(
+            F.lit(name).alias("table_name"), F.sum("n").alias("n_rows"),
+            F.lit(len(copied.columns)).alias("n_columns"),
+            F.sum(F.abs("d")).alias("n_differing"))
+        union = part if union is None else union.unionByName(part)
+    return union
+
+
+def equal_depth_pieces(s: Source) -> DataFrame:
+    """Orders whose numbers have gaps, split at quantiles: rows, and whether pieces are even."""
+    keys = s.table("lineitem").select(
+        F.when(F.col("l_orderkey") % 10 == 0, F.col("l_orderkey") * 500)
+        .otherwise(F.col("l_orderkey")).alias("id"))
+    clauses = range_predicates("id", equal_depth_bounds(keys, "id", COPY_PIECES))
+    piece = sum((F.when(F.expr(c), F.lit(i)).otherwise(0) for i, c in enumerate(clauses)), F.lit(0))
+    once = sum((F.expr(c).cast("int") for c in clauses), F.lit(0))
+    sizes = keys.filter(once == 1).groupBy(piece.alias("piece")).agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_pieces"),
+        (F.max("n") <= 2 * F.avg("n")).alias("even"))
+
+
+def tree_diff(s: Source) -> DataFrame:
+    """Compares snapshots that differ in one state, by the hash trees stored with them."""
+    old, new, _ = s.local_snapshots()
+    root = f"{scratch_folder(s.spark)}/trees-{uuid4().hex}"
+    for name, df in (("old", old), ("new", new)):
+        hashtree.write_tree(df, f"{root}/{name}", buckets=TREE_BUCKETS)
+    return hashtree.tree_diff(s.spark, f"{root}/old", f"{root}/new", buckets=TREE_BUCKETS)
+
+
+def totals_by_term(s: Source) -> DataFrame:
+    """Seat totals with everybody whose term holds the year, by ranges of years."""
+    current, historical = s.seats()
+    held = terms.flatten_terms(current).unionByName(
+        terms.flatten_terms(historical).filter(F.col("start_year") >= SEAT_MIN_START))
+    found = intervals.interval_join(
+        totals.seat_totals(s.contracts(), by_industry=False), held, ["state", "district"],
+        "year", "start_year", "end_year", TERM_YEARS)
+    return texts(found.select("state", "district", "year", "firstname", "lastname", "typeofrep",
+                              "party", "amount"), "year", "district")
 
 
 def latest(s: Source, name: str) -> DataFrame:
@@ -273,6 +341,7 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "indus_by_year_roster": lambda s: marts.mart(
         "indus_by_year_hr", s.contracts(), s.roster_dims()
     ),
+    "totals_by_term": totals_by_term,
     "overlap_report": lambda s: totals.overlap_report(s.contracts(), s.dims()),
     "mart_with_snapshot": lambda s: tables.with_snapshot(
         s.stored_mart("legis_by_year_hr"), JANUARY
@@ -307,17 +376,23 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
         snapshots.snapshot_fingerprint(s.new_snapshot(), ["state", "code"], "md5")
     ),
     "localized_diff": localized_diff,
+    "tree_diff": tree_diff,
     "refreshed_mart": lambda s: latest(s, "legis_by_year_hr").drop("snapshot_date"),
     "latest_snapshot": lambda s: latest(s, "state_by_year_hr"),
     "refreshed_transactions": lambda s: Store(s.spark, refreshed_store(s)).rows(TRANSACTIONS)
     .drop("snapshot_date"),
     # copying
     "copied_table": copied_table,
+    "copied_tables": copied_tables,
+    "equal_depth_pieces": equal_depth_pieces,
     "chunk_assignment": lambda s: tables.assign_chunks(
         s.fpds().select("txn_id"), "txn_id", CHUNKS, "md5"
     ),
     "chunk_row_counts": lambda s: tables.chunk_row_counts(s.fpds(), "txn_id", CHUNKS, "md5"),
     "chunk_plan": lambda s: migration.chunk_plan(catalogue_of(s)["estimates"], ROWS_PER_CHUNK),
+    "chunk_plan_from_footers": lambda s: migration.chunk_plan(
+        catalogue.footer_estimates(s.spark, {t: s.path(t) for t in TABLES})
+        .select("table_name", "approx_cnt"), ROWS_PER_CHUNK),
     "migration_plan": migration_plan,
 }
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from obligo.operators.joins import Sized, join_dimension, measure
+from obligo.operators.joins import Sized, heavy_keys, join_dimension, measure
 
 from conftest import plan, rows
 
@@ -69,3 +69,43 @@ def test_repeated_dimension_rows_fan_out(spark, facts, dimension):
 def test_facts_must_be_kept(facts, dimension):
     with pytest.raises(ValueError):
         join_dimension(facts, Sized(dimension, 1), ["k"], "right")
+
+
+def test_heavy_keys_are_found_and_others_are_not(spark):
+    half = spark.range(40_000).select(
+        F.when(F.col("id") % 2 == 0, 7).when(F.col("id") % 9 == 0, None)
+        .otherwise(F.col("id") + 100).cast("long").alias("k"))
+    hot = heavy_keys(half, ["k"])
+    named = half.select("k").distinct().withColumn("h", F.xxhash64(F.col("k").cast("string")))
+    assert {r.k for r in named.collect() if r.h in hot} == {7, None} and len(hot) == 2
+    assert heavy_keys(half.limit(0), ["k"]) == []
+    as_int = half.select(F.col("k").cast("int"))
+    assert sorted(heavy_keys(as_int, ["k"])) == sorted(hot)
+
+
+def test_only_hot_keys_are_repeated_and_tasks_are_even(spark):
+    """Half of the rows have one key."""
+    facts = spark.range(64_000).select(
+        F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id") % 2000).alias("k"),
+        F.col("id").alias("v")).cache()
+    dimension = spark.range(2000).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    joined = join_dimension(facts, Sized(dimension, 10**12), ["k"], "inner", salts=64,
+                            hot=heavy_keys(facts, ["k"], 0.1))
+    generated = [line for line in plan(joined).splitlines() if "Generate explode" in line]
+    assert len(generated) == 1
+    per_task = joined.groupBy(F.spark_partition_id().alias("p")).count()
+    counts = sorted(r["count"] for r in per_task.collect())
+    assert sum(counts) == 64_000 and max(counts) < 0.4 * 64_000
+    right = spark.range(2000).select(F.col("id").alias("k"))
+    salted = join_dimension(facts, Sized(right.withColumn("one", F.lit(1)), 10**12), ["k"],
+                            "inner", hot=heavy_keys(facts, ["k"], 0.1))
+    assert salted.count() == 64_000
+    facts.unpersist()
+
+
+def test_no_salt_where_no_key_is_hot(spark):
+    facts = spark.range(50_000).withColumnRenamed("id", "k")
+    dimension = Sized(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("one")),
+                      10**12)
+    assert "_salt" not in plan(join_dimension(facts, dimension, ["k"]))
+    assert "_salt" not in plan(join_dimension(facts, dimension, ["k"], salts=1))

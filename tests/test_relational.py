@@ -8,7 +8,9 @@ from obligo.sinks.tables import write_relation
 from obligo.sources import catalogue
 from obligo.sources.relational import (
     Connection,
+    equal_depth_bounds,
     key_predicates,
+    range_predicates,
     read_by_key,
     read_by_range,
     read_relation,
@@ -173,3 +175,70 @@ def test_catalogue_scans(spark):
 def test_counted_rows(spark):
     counts = catalogue.counted_rows({"a": spark.range(3), "b": spark.range(0)})
     assert {r.table_name: r.approx_cnt for r in counts.collect()} == {"a": 3, "b": 0}
+
+
+def test_pieces_of_equal_depth_split_skewed_ids(spark):
+    """Nine tenths of the ids lie in a hundredth of their range."""
+    ids = spark.range(20_000).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") * 500).otherwise(F.col("id") * 5).alias("id"))
+    pieces = 16
+    clauses = range_predicates("id", equal_depth_bounds(ids, "id", pieces))
+    sizes = [ids.filter(c).count() for c in clauses]
+    assert sum(sizes) == 20_000 and len(clauses) == pieces
+    assert max(sizes) < 2 * 20_000 / pieces
+    low, high = ids.agg(F.min("id"), F.max("id")).first()
+    stride = ids.groupBy(F.floor((F.col("id") - low) * pieces / (high + 1 - low))).count()
+    assert max(r["count"] for r in stride.collect()) > 10_000  # what equal strides would do
+
+
+@pytest.mark.parametrize("values", [[], [None, None], [5] * 50, [1, None, 2], list(range(-9, 9))])
+def test_every_row_is_in_one_piece(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "id long")
+    clauses = range_predicates("id", equal_depth_bounds(rows, "id", 4))
+    assert sum(rows.filter(c).count() for c in clauses) == len(values)
+    assert equal_depth_bounds(rows, "id", 1) == []
+
+
+def test_split_of_equal_depth_hands_over_the_ranges(spark):
+    """The key column is read by strides first, then the table by the ranges of its quantiles."""
+    asked = []
+
+    class Reader:
+        def jdbc(self, url, relation, **options):
+            asked.append((relation, options))
+            if "bounds" in relation:
+                return spark.createDataFrame([(0, 99)], "lo long, hi long")
+            return spark.range(100).withColumnRenamed("id", "k")
+
+    class Session:
+        read = Reader()
+
+    read_split(Session(), Connection("jdbc:x"), "t", ["k"], 4, equal_depth=True)
+    assert asked[-2][0] == "(SELECT k FROM t) keys" and asked[-2][1]["numPartitions"] == 4
+    assert asked[-1][0] == "t" and len(asked[-1][1]["predicates"]) == 4
+
+
+def test_numbers_beyond_64_bits_are_split_by_hash(spark):
+    asked = []
+
+    class Reader:
+        def jdbc(self, url, relation, **options):
+            asked.append(options)
+            return spark.createDataFrame([], "k decimal(30,0)")
+
+    class Session:
+        read = Reader()
+
+    read_split(Session(), Connection("jdbc:x"), "t", ["k"], 4)
+    assert "md5" in asked[-1]["predicates"][0]
+
+
+def test_row_counts_from_footers_read_no_data(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "repeat('x', 50) AS t").repartition(4).write.parquet(
+        f"{tmp_path}/a")
+    spark.range(0).write.parquet(f"{tmp_path}/b")
+    found = catalogue.footer_estimates(spark, {"a": f"{tmp_path}/a", "b": f"{tmp_path}/b"})
+    size = sum(f.stat().st_size for f in (tmp_path / "a").glob("*.parquet"))
+    got = {r.table_name: tuple(r)[1:] for r in found.collect()}
+    assert got == {"a": (1000, 4, size), "b": (0, 0, 0)}
+    assert "ReadSchema: struct<>" in found._jdf.queryExecution().executedPlan().toString()
