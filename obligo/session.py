@@ -45,6 +45,7 @@ def size_shuffles(spark: SparkSession, shuffled_bytes: int) -> int:
 
 
 _jobs: list[str] = []
+_removed_at_exit: set[str] = set()
 
 
 @contextmanager
@@ -61,19 +62,24 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
 def scratch_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables, below what the cluster names in spark.checkpoint.dir.
 
-    Only a local-mode session without that setting uses a folder below its warehouse, which goes
-    when the session ends. On a cluster every executor must see the folder, so there is no default.
+    Only a local-mode session without that setting uses a folder below its warehouse. On a cluster
+    every executor must see the folder, so there is no default. It goes when the driver ends;
+    results that were not written elsewhere by then are gone with it.
     """
     app_id = spark.sparkContext.applicationId
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        return "/".join([configured.rstrip("/"), "obligo", app_id, *_jobs[-1:]])
-    if not spark.sparkContext.master.startswith("local"):
+        folder = "/".join([configured.rstrip("/"), "obligo", app_id])
+    elif spark.sparkContext.master.startswith("local"):
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{app_id}"
+    else:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{app_id}"
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    if folder not in _removed_at_exit:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _removed_at_exit.add(folder)
     return "/".join([folder, *_jobs[-1:]])
 
 

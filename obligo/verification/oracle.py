@@ -443,7 +443,10 @@ def statements() -> dict[str, str]:
             "roster_terms", "SELECT * FROM (" + _years("roster_terms", "TRUE") + ")"
         ),
         "legislator_union": q("roster_years", f"SELECT {_LEG_YEAR} FROM roster_years"),
-        "legislator_json_scan": q("roster_terms", f"SELECT {_TERM} FROM roster_terms"),
+        **dict.fromkeys(
+            ("legislator_json_scan", "legislator_json_split"),
+            q("roster_terms", f"SELECT {_TERM} FROM roster_terms"),
+        ),
         "label_preserving_join": q(
             "labels_all contracts_full",
             f"SELECT l.code, description, {_bare('c').replace('c.code, ', '')}"

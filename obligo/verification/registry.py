@@ -84,8 +84,8 @@ def prints(df: DataFrame) -> DataFrame:
 # -- sources that need more than one call -------------------------------------------------
 
 
-def json_scan(s: Source) -> DataFrame:
-    """Writes the roster as files that each hold one JSON array, and reads them back.
+def roster_files(s: Source) -> str:
+    """The roster as files that each hold one JSON array.
 
     Documents fall into buckets of bounded size by a hash; each bucket is one array and file.
     """
@@ -101,7 +101,17 @@ def json_scan(s: Source) -> DataFrame:
         arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
         return path
 
-    return terms.flatten_terms(read_legislators(s.spark, s.once("roster files", make)))
+    return s.once("roster files", make)
+
+
+def json_scan(s: Source) -> DataFrame:
+    return terms.flatten_terms(read_legislators(s.spark, roster_files(s)))
+
+
+def json_split_scan(s: Source) -> DataFrame:
+    """The same arrays, each read by as many tasks as it has splits."""
+    return terms.flatten_terms(
+        read_legislators(s.spark, roster_files(s), split_arrays=True))
 
 
 def catalogue_of(s: Source) -> dict[str, DataFrame]:
@@ -270,6 +280,7 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     "naics_labels_4": lambda s: group_labels(s.naics()),
     "state_dim_2010": lambda s: state_demographics(s.state_data()),
     "legislator_json_scan": json_scan,
+    "legislator_json_split": json_split_scan,
     "mart_probe": lambda s: serving.probe(s.stored_mart("legis_by_year_hr")),
     # cleaning
     "clean_year": lambda s: s.fpds()
