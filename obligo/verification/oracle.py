@@ -585,6 +585,9 @@ def statements() -> dict[str, str]:
         "refreshed_transactions": q("snap_appended", f"SELECT {_TXN} FROM snap_appended"),
         "copied_table": "SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate),"
         " l_orderkey % 7 AS chunk FROM lineitem",
+        "appended_batches": q(
+            "contracts_raw", "SELECT txn_id, CAST(amount AS DOUBLE) AS amount FROM contracts_raw"
+        ),
         "copied_tables": " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, count(*) AS n_rows,"
             f" (SELECT count(*) FROM (DESCRIBE {t})) AS n_columns, 0 AS n_differing FROM {t}"

@@ -25,7 +25,7 @@ from obligo.plans import marts, serving
 from obligo.plans.copy import copy_tables
 from obligo.plans.refresh import TRANSACTIONS, refresh
 from obligo.session import scratch_folder
-from obligo.sinks import tables
+from obligo.sinks import append, tables
 from obligo.sinks.store import Store
 from obligo.sources import catalogue
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
@@ -250,6 +250,26 @@ def totals_by_term(s: Source) -> DataFrame:
                               "party", "amount"), "year", "district")
 
 
+def appended_batches(s: Source) -> DataFrame:
+    """Transactions appended in chunks by runs of which the first two stop at the fourth."""
+    root, tries = f"{scratch_folder(s.spark)}/append-{uuid4().hex}", []
+    rows = s.projected().select("txn_id", "amount")
+    deliver, swap = append.file_target(s.spark, f"{root}/table", "may")
+
+    def failing(chunk_rows: DataFrame, chunk: int) -> None:
+        deliver(chunk_rows, chunk)
+        tries.append(chunk)
+        if chunk == 4 and tries.count(4) < 3:
+            raise InterruptedError
+
+    for _ in range(3):
+        try:
+            append.append_chunks(rows, f"{root}/ledger", "may", "txn_id", failing, swap)
+        except InterruptedError:
+            continue
+    return append.read_batches(s.spark, f"{root}/table").drop("batch")
+
+
 def latest(s: Source, name: str) -> DataFrame:
     return Store(s.spark, refreshed_store(s)).latest(name)
 
@@ -395,6 +415,7 @@ _QUERIES: dict[str, Callable[[Source], DataFrame]] = {
     # copying
     "copied_table": copied_table,
     "copied_tables": copied_tables,
+    "appended_batches": appended_batches,
     "equal_depth_pieces": equal_depth_pieces,
     "chunk_assignment": lambda s: tables.assign_chunks(
         s.fpds().select("txn_id"), "txn_id", CHUNKS, "md5"
