@@ -62,6 +62,7 @@ class Store:
         self.spark, self.root, self.keep = spark, root.rstrip("/"), keep
         self._jvm = spark.sparkContext._jvm
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self._named: set[str] = set()
 
     # -- files ----------------------------------------------------------------------------
 
@@ -133,8 +134,12 @@ class Store:
         return self.rows(table, state.dates(table)[-1:], state)
 
     def bucketed(self, part: Part, schema: str, key: str) -> DataFrame:
-        """A part that was written in buckets, known to Spark as such."""
+        """A part that was written in buckets, known to Spark as such until the next change ends.
+
+        Spark knows buckets of tables only, so the folder gets a name in the catalogue.
+        """
         name = f"obligo_{part.folder.rpartition('run-')[2]}"
+        self._named.add(name)
         self.spark.sql(
             f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet CLUSTERED BY ({key}) "
             f"SORTED BY ({key}) INTO {part.buckets} BUCKETS LOCATION '{self.root}/{part.folder}'")
@@ -151,8 +156,13 @@ class Store:
     def change(self, date: str) -> Iterator[Change]:
         """Collects the parts of a date and publishes them together, unless an error comes first."""
         change = Change(self, date)
-        yield change
-        self._publish(change)
+        try:
+            yield change
+            self._publish(change)
+        finally:
+            for name in self._named:  # the files stay
+                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            self._named.clear()
 
     def _publish(self, change: Change) -> None:
         said = json.dumps({t: {d: asdict(p) for d, p in sorted(parts.items())}
@@ -225,6 +235,7 @@ class Change:
         path = f"{self.store.root}/{folder}"
         if buckets:
             name = f"obligo_{run}"
+            self.store._named.add(name)
             (df.repartition(buckets, key).write.option("path", path)
              .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
         else:
