@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import string
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 from uuid import uuid4
 
@@ -73,6 +75,28 @@ def prepare(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def id_or_zero(docs: DataFrame, column: str = "doc_id") -> Column:
+    """The id, a missing one as zero of the id's type, so that it can be joined on."""
+    kind = docs.select(column).schema[0].dataType
+    return F.coalesce(F.col(column), F.lit(0).cast(kind))
+
+
+def given_back(over: Callable) -> Callable:
+    """The same function over Arrow batches; free memory is given back when its task ends.
+
+    Workers outlive their tasks, and what numpy and Arrow have freed would stay theirs.
+    """
+    def inner(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from over(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim:
+            trim(0)
+
+    return inner
+
+
 def whole_rows(docs: DataFrame) -> DataFrame:
     """Every column packed into one, so that added columns cannot clash with the table's own."""
     return docs.select(F.struct("*").alias(ROW))
