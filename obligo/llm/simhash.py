@@ -7,10 +7,13 @@ if that segment differs in at most one bit. Rows with equal variants come togeth
 shuffle and are verified by their whole bit distance.
 
 Equal fingerprints are reduced to one before they are indexed, which removes groups of copies.
-Where many fingerprints share a variant, their links are not listed: within it a search from one
+Where fingerprints share a variant, their links are not listed: within it a search from one
 fingerprint after another gives a spanning forest, at most one link per member, with the same
-connected components as all the links. Components of all forests are found by alternating star
-contractions.
+connected components as all the links. A variant shared by more than HOT fingerprints is not
+searched as it is: the other segment, which differs in at most three bits, is cut into four parts
+of which one is equal, and its members are shuffled once more under each of their parts. So no
+variant's members are held by one task, and the search stays near linear where they are not alike.
+Components of all forests are found by alternating star contractions.
 
 Defined cases: a null text is empty; a text without words has fingerprint zero and links like any
 other; a text shorter than the shingle is one shingle; rows with a null id take part, their
@@ -20,7 +23,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +36,8 @@ from obligo.llm.common import (
     ROW,
     byte_texts,
     documents,
+    given_back,
+    id_or_zero,
     prepare,
     text,
     whole_rows,
@@ -44,6 +49,9 @@ SHINGLE = 3
 MAX_DISTANCE = 3
 BITS = 64
 SEGMENT = 32
+# Fingerprints under one variant that are searched as they are.
+HOT = 4096
+PART = 8  # bits of a part of the other segment; more parts than bits may differ
 # Hashes whose bits are counted at a time.
 COUNT_AT_ONCE = 1 << 16
 
@@ -82,7 +90,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text", F.xxhash64(text()).alias("text_hash")).mapInArrow(
-        over, f"doc_id {id_type}, fp long, text_hash long")
+        given_back(over), f"doc_id {id_type}, fp long, text_hash long")
 
 
 def variants(fps: np.ndarray) -> np.ndarray:
@@ -134,45 +142,90 @@ def candidate_links(distinct: DataFrame, distance: int) -> DataFrame:
                     "fp": np.repeat(part, BITS).view(np.int64),
                 })
 
-    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fps = np.empty(0, np.int64), np.empty(0, np.int64)
+    first = (
+        distinct.select("fp")
+        .mapInArrow(given_back(index), "key long, fp long")
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInArrow(given_back(verifier(distance, HOT)), "a long, b long, deferred boolean")
+    )
+    found = stored(distinct.sparkSession, first, "found-links")
+    again = (
+        found.filter("deferred").select("a", "b")
+        .repartition("a")
+        .sortWithinPartitions("a")
+        .mapInArrow(given_back(verifier(distance, None)), "a long, b long, deferred boolean")
+    )
+    return found.filter("NOT deferred").unionByName(again).select("a", "b").distinct()
+
+
+def part_keys(keys: np.ndarray, fps: np.ndarray) -> np.ndarray:
+    """For members of variants, one row each, the variant with each part of the other segment."""
+    other = np.uint64(SEGMENT) - np.uint64(SEGMENT) * (
+        (keys & np.uint64(255)) // np.uint64(SEGMENT))  # where the segment not indexed begins
+    mix = np.uint64(0x9E3779B97F4A7C15)
+    parts = []
+    for i in range(SEGMENT // PART):
+        value = fps >> (other + np.uint64(i * PART)) & np.uint64((1 << PART) - 1)
+        mixed = (keys * mix ^ (value << np.uint64(8) | np.uint64(i))) * mix
+        parts.append(mixed ^ mixed >> np.uint64(32))
+    return np.stack(parts, 1)
+
 
-        def links(keys: np.ndarray, fps: np.ndarray) -> pa.RecordBatch:
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            ends = np.r_[starts[1:], len(keys)]
-            unsigned = fps.view(np.uint64)
-            sizes = ends - starts
-            pairs = starts[sizes == 2]
-            near = np.bitwise_count(unsigned[pairs] ^ unsigned[pairs + 1]) <= distance
-            a, b = [fps[pairs[near]]], [fps[pairs[near] + 1]]
-            for s, e in zip(starts[sizes > 2], ends[sizes > 2]):
-                found = np.array(forest(unsigned[s:e], distance), object).reshape(-1, 2)
-                a.append(found[:, 0].astype(np.uint64).view(np.int64))
-                b.append(found[:, 1].astype(np.int64))
-            a, b = np.concatenate(a), np.concatenate(b)
-            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
-            return pa.RecordBatch.from_pydict({
-                "a": np.ascontiguousarray(both[:, 0]), "b": np.ascontiguousarray(both[:, 1])})
+def verifier(distance: int, hot: int | None) -> Callable:
+    """A function over rows of key and fingerprint, sorted by key, that gives their links.
 
+    Members of a key with more than ``hot`` are deferred: given back under their part keys.
+    """
+
+    def split(keys: np.ndarray, fps: np.ndarray, deferring: int | None) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        ends = np.r_[starts[1:], len(keys)]
+        unsigned = fps.view(np.uint64)
+        sizes = ends - starts
+        late = np.zeros(len(starts), bool)
+        if hot is not None:
+            late = sizes > hot
+            if deferring is not None:
+                late |= keys[starts] == deferring
+        pairs = starts[(sizes == 2) & ~late]
+        near = np.bitwise_count(unsigned[pairs] ^ unsigned[pairs + 1]) <= distance
+        a, b = [fps[pairs[near]]], [fps[pairs[near] + 1]]
+        for s, e in zip(starts[(sizes > 2) & ~late], ends[(sizes > 2) & ~late]):
+            found = np.array(forest(unsigned[s:e], distance), object).reshape(-1, 2)
+            a.append(found[:, 0].astype(np.uint64).view(np.int64))
+            b.append(found[:, 1].astype(np.int64))
+        a, b = np.concatenate(a), np.concatenate(b)
+        both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+        members = np.repeat(late, sizes)
+        under = part_keys(keys[members].view(np.uint64), unsigned[members])
+        return pa.RecordBatch.from_pydict({
+            "a": np.r_[both[:, 0], under.reshape(-1).view(np.int64)],
+            "b": np.r_[both[:, 1], np.repeat(fps[members], under.shape[1])],
+            "deferred": np.repeat([False, True], [len(both), under.size])})
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, fps = np.empty(0, np.int64), np.empty(0, np.int64)
+        deferring = None  # the last key, once it was found to be hot
         for batch in batches:
             keys = np.concatenate([keys, batch.column(0).to_numpy(zero_copy_only=False)])
             fps = np.concatenate([fps, batch.column(1).to_numpy(zero_copy_only=False)])
-            if not len(keys) or keys[0] == keys[-1]:
+            if not len(keys):
                 continue
             whole = np.searchsorted(keys, keys[-1])  # the last key may go on in the next batch
-            yield links(keys[:whole], fps[:whole])
+            if hot is not None and (len(keys) - whole > hot or keys[-1] == deferring):
+                before, deferring = deferring, keys[-1]
+                if whole:
+                    yield split(keys[:whole], fps[:whole], before)
+                yield split(keys[whole:], fps[whole:], deferring)
+                whole = len(keys)
+            elif whole:
+                yield split(keys[:whole], fps[:whole], deferring)
             keys, fps = keys[whole:], fps[whole:]
         if len(keys):
-            yield links(keys, fps)
+            yield split(keys, fps, deferring)
 
-    return (
-        distinct.select("fp")
-        .mapInArrow(index, "key long, fp long")
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInArrow(verify, "a long, b long")
-        .distinct()
-    )
+    return verify
 
 
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
@@ -262,7 +315,7 @@ def kept_rows(spark: SparkSession, docs: DataFrame, words: int = SHINGLE,
 
     def keyed(df: DataFrame, doc_id: str, text_hash) -> DataFrame:
         return df.withColumns({
-            "no_id": F.col(doc_id).isNull(), "id": F.coalesce(doc_id, F.lit(0)),
+            "no_id": F.col(doc_id).isNull(), "id": id_or_zero(df, doc_id),
             "text_hash": text_hash,
         })
 

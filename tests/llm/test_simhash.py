@@ -1,7 +1,9 @@
 import re
+import time
 
 import cases
 import numpy as np
+import pyarrow as pa
 import pytest
 from xxhash import xxh64_intdigest
 
@@ -108,6 +110,71 @@ def test_no_connection_is_lost_in_dense_groups_and_chains(spark):
     assert len(groups) == len(set(want))
 
 
+def test_hot_variants_are_split_and_lose_no_link(spark, monkeypatch):
+    """Many fingerprints share a segment; some are near others in the other one."""
+    monkeypatch.setattr(simhash, "HOT", 100)
+    rng = np.random.default_rng(7)
+    high = [int(x) for x in rng.integers(1 << 32, size=6000)]
+    for _ in range(1500):
+        high.append(high[rng.integers(len(high))] ^ sum(
+            1 << int(b) for b in rng.choice(32, rng.integers(1, 4), replace=False)))
+    prints = np.unique(np.array([(h << 32) | 0xABCDEF for h in high], np.uint64))
+    parent = list(range(len(prints)))
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for i in range(len(prints)):
+        for j in np.flatnonzero(np.bitwise_count(prints[i] ^ prints) <= 3):
+            parent[find(int(j))] = find(i)
+    want = [find(i) for i in range(len(prints))]
+    roots = linked_components(spark, prints.tolist())
+    assert len(set(zip(want, roots))) == len(set(want)) == len(set(roots)) > 4000
+
+
+def test_members_of_a_hot_variant_are_deferred_also_across_batches():
+    rng = np.random.default_rng(8)
+    fps = np.unique(rng.integers(1 << 62, size=500))
+    keys = np.sort(np.r_[np.full(300, 7), np.full(20, 9), np.full(len(fps) - 320, 11)])
+    table = pa.RecordBatch.from_pydict({"key": keys, "fp": fps})
+    for size in (1, 7, 64, 1000):
+        batches = [table.slice(i, size) for i in range(0, len(keys), size)]
+        out = pa.Table.from_batches(simhash.verifier(3, 30)(batches)).to_pandas()
+        late = out[out.deferred].b.value_counts()
+        assert set(late.index) == set(fps[keys != 9]) and (late == 4).all()
+
+
+def test_parts_meet_where_the_other_segment_is_near():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        a = int(rng.integers(1 << 62))
+        n = int(rng.integers(1, 4))
+        b = a ^ sum(1 << int(x) for x in rng.choice(32, n, replace=False))
+        pair = np.array([a, b], np.uint64)
+        shared = np.intersect1d(*variants(pair)[:, 32:])  # the upper segment is equal
+        under = [set(simhash.part_keys(shared, np.full(len(shared), f)).ravel().tolist())
+                 for f in pair]
+        assert len(shared) == 32 and len(under[0] & under[1]) >= 32
+
+
+def test_a_large_sparse_variant_takes_little_more_than_linear_time():
+    rng = np.random.default_rng(10)
+    took = []
+    for n in (20_000, 80_000):
+        fps = np.unique(rng.integers(1 << 31, size=n, dtype=np.int64) << 32)
+        table = pa.RecordBatch.from_pydict({"key": np.full(len(fps), 32), "fp": fps})
+        began = time.time()
+        late = pa.Table.from_batches(simhash.verifier(3, 4096)([table])).to_pandas()
+        late = late.sort_values("a")
+        again = pa.RecordBatch.from_pydict({"key": late.a.to_numpy(), "fp": late.b.to_numpy()})
+        list(simhash.verifier(3, None)([again]))
+        took.append(time.time() - began)
+    assert took[1] < 12 * took[0]
+
+
 def test_links_grow_with_members_not_with_pairs():
     rng = np.random.default_rng(3)
     prints = np.unique(np.array(
