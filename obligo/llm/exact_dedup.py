@@ -7,9 +7,11 @@ its bits there, so nothing is missed; only rows that test positive are shuffled
 their whole digest, all others pass straight through.
 
 The filter has BITS_PER_ROW bits a row. Where that exceeds ``filter_bytes``, the digests are cut
-into slices that are stored apart, and each slice has a filter of its own, broadcast one after the
-other. The bound of what is broadcast thus never depends on the number of rows, nor does the rate
-of false positives.
+into slices that are stored in folders of their own, and each slice has a filter of its own. A
+slice is read twice, to fill its filter and to be tested; its filter is broadcast for the test and
+released after it, its bits are kept in the shared folder. So the work is in proportion to the
+rows whatever the number of slices, and the bound of what is broadcast never depends on the number
+of rows, nor does the rate of false positives. Documents to be filtered are cut in the same way.
 
 Defined cases: a null text is empty; texts are equal when they are identical after lower-casing
 A to Z; of rows with equal text the largest doc_id stays, null ids counting as smallest; of
@@ -18,15 +20,18 @@ repeated rows (same id, same text) exactly one stays; an empty table gives an em
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import ROW, documents, lower_ascii, prepare, text, whole_rows
+from obligo.llm.common import ROW, documents, given_back, lower_ascii, prepare, text, whole_rows
+from obligo.session import remove_folder, scratch_folder
 from obligo.sinks.tables import stored
 
 BITS_PER_ROW = 16
@@ -34,6 +39,8 @@ HASHES = 2
 BLOCK_SLOTS = 1 << 16
 # Most bytes one broadcast filter takes.
 FILTER_BYTES = 64 * 1024**2
+# Up to so many slices tasks write a file for each; beyond that the rows are shuffled by slice.
+SLICES_IN_PLACE = 16
 # Slots a task gathers before it hands them on.
 CHUNK_SLOTS = 1 << 21
 
@@ -99,7 +106,7 @@ def filter_of(narrow: DataFrame, slots: int) -> np.ndarray:
 
     blocks = (
         narrow.select("digest")
-        .mapInArrow(partial, "block long, once binary, again binary")
+        .mapInArrow(given_back(partial), "block long, once binary, again binary")
         .groupBy("block")
         .applyInPandas(merge, "block long, bits binary")
         .filter(F.col("bits") != F.lit(bytes(BLOCK_SLOTS // 8)))
@@ -112,42 +119,82 @@ def filter_of(narrow: DataFrame, slots: int) -> np.ndarray:
 
 
 class Filters:
-    """The filters of all slices of a stored table of digests."""
+    """The filters of all slices of the digests, and the rows tested by them."""
 
-    def __init__(self, spark: SparkSession, narrow: DataFrame, rows: int, filter_bytes: int):
+    def __init__(self, spark: SparkSession, rows: int, filter_bytes: int):
+        self.spark = spark
         bits = max(rows * BITS_PER_ROW, BLOCK_SLOTS)
         self.slices = -(-bits // (filter_bytes * 8))
         self.slots = -(-bits // (self.slices * BLOCK_SLOTS)) * BLOCK_SLOTS
-        self.packed = [
-            spark.sparkContext.broadcast(filter_of(self.part(narrow, i), self.slots))
-            for i in range(self.slices)
-        ]
-
-    def part(self, df: DataFrame, i: int) -> DataFrame:
+        self.whole: Broadcast | None = None  # the filter where there is one slice
+        self.kept = ""
+
+    def sliced(self, df: DataFrame, name: str) -> str:
+        """Stores rows with a digest, one folder per slice, and returns where."""
+        path = f"{scratch_folder(self.spark)}/{name}-{uuid4().hex}"
+        cut = df.withColumn("slice", F.pmod(F.xxhash64("digest"), F.lit(self.slices)).cast("int"))
+        if self.slices > SLICES_IN_PLACE:
+            cut = cut.hint("rebalance", "slice")  # or every task would write a file per slice
+        cut.write.partitionBy("slice").parquet(path)
+        return path
+
+    def part(self, path: str, i: int, columns: list[str]) -> DataFrame | None:
+        """The rows of a slice, from its own folder."""
+        folder = f"{path}/slice={i}"
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        files = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return self.spark.read.parquet(folder).select(columns) if files.exists(where) else None
+
+    def fill(self, narrow: DataFrame) -> DataFrame:
+        """Fills the filters from rows with a digest; the same rows with ``maybe``."""
         if self.slices == 1:
-            return df
-        return df.filter(F.pmod(F.xxhash64("digest"), F.lit(self.slices)) == i)
+            table = stored(self.spark, narrow, "digests")
+            self.whole = self.spark.sparkContext.broadcast(filter_of(table, self.slots))
+            return self._tested(table, self.whole)
+        path = self.sliced(narrow, "digests")
+        self.kept = f"{scratch_folder(self.spark)}/filters-{uuid4().hex}"
 
-    def flagged(self, df: DataFrame) -> DataFrame:
-        """The rows with a column ``maybe``: whether the digest may occur more than once."""
-        slots = self.slots
+        def fill(part: DataFrame, i: int) -> np.ndarray:
+            packed = filter_of(part, self.slots)
+            self.spark.createDataFrame([(packed.tobytes(),)], "bits binary").coalesce(1).write \
+                .parquet(f"{self.kept}/slice={i}")
+            return packed
 
-        def tested(i: int) -> DataFrame:
-            packed = self.packed[i]
+        return self._each(path, narrow, fill)
 
-            @F.pandas_udf("boolean")
-            def maybe(digests: pd.Series) -> pd.Series:
-                numbers = slots_of(list(digests), slots).astype(np.int64)
-                return pd.Series(
-                    ((packed.value[numbers >> 3] >> (7 - (numbers & 7))) & 1).all(axis=1)
-                )
+    def flagged(self, df: DataFrame) -> DataFrame:
+        """Other rows with a digest and a column ``maybe``: whether it may occur more than once."""
+        if self.slices == 1:
+            return self._tested(df, self.whole)
+
+        def read(part: DataFrame, i: int) -> np.ndarray:
+            kept = self.spark.read.parquet(f"{self.kept}/slice={i}").first()
+            return np.frombuffer(kept["bits"], np.uint8)
+
+        return self._each(self.sliced(df, "sliced"), df, read)
+
+    def _each(self, path: str, df: DataFrame, filter_for: Callable) -> DataFrame:
+        """Tests slice after slice, with one filter broadcast at a time."""
+        out = f"{path}-flagged"
+        for i in range(self.slices):
+            part = self.part(path, i, df.columns)
+            if part is not None:
+                packed = self.spark.sparkContext.broadcast(filter_for(part, i))
+                self._tested(part, packed).write.mode("append").parquet(out)
+                packed.destroy()
+        remove_folder(self.spark, path)
+        schema = df.withColumn("maybe", F.lit(True)).schema
+        return self.spark.read.schema(schema).parquet(out)
+
+    def _tested(self, df: DataFrame, packed: Broadcast) -> DataFrame:
+        slots = self.slots
 
-            return self.part(df, i).withColumn("maybe", maybe("digest"))
+        @F.pandas_udf("boolean")
+        def maybe(digests: pd.Series) -> pd.Series:
+            numbers = slots_of(list(digests), slots).astype(np.int64)
+            return pd.Series(((packed.value[numbers >> 3] >> (7 - (numbers & 7))) & 1).all(axis=1))
 
-        out = tested(0)
-        for i in range(1, self.slices):
-            out = out.unionByName(tested(i))
-        return out
+        return df.withColumn("maybe", maybe("digest"))
 
 
 class ExactDedup:
@@ -155,9 +202,8 @@ class ExactDedup:
 
     def __init__(self, spark: SparkSession, docs: DataFrame, filter_bytes: int = FILTER_BYTES):
         prepare(spark)
-        narrow = stored(spark, docs.select("doc_id", digest().alias("digest")), "digests")
-        self.filters = Filters(spark, narrow, narrow.count(), filter_bytes)
-        flagged = self.filters.flagged(narrow)
+        self.filters = Filters(spark, docs.count(), filter_bytes)
+        flagged = self.filters.fill(docs.select("doc_id", digest().alias("digest")))
         self.singles = flagged.filter(~F.col("maybe")).select("doc_id", "digest")
         pairs = stored(
             spark,

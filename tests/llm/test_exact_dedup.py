@@ -57,6 +57,26 @@ def test_slices_give_the_same(spark):
     assert sorted(r.doc_id for r in sliced.kept_rows(docs).collect()) == list(range(2000, 9000))
 
 
+def test_every_slice_reads_its_own_folder_once_per_pass(spark, monkeypatch):
+    docs = cases.documents(spark, [f"Text {i % 9000}" for i in range(12_000)])
+    read, made = [], exact_dedup.Filters.part
+
+    def part(self, path, i, columns):
+        found = made(self, path, i, columns)
+        files = found.inputFiles() if found is not None else []
+        assert all(f"slice={i}/" in f for f in files)
+        read.append((path, i))
+        return found
+
+    monkeypatch.setattr(exact_dedup.Filters, "part", part)
+    dedup = ExactDedup(spark, docs, filter_bytes=1 << 11)
+    assert dedup.filters.slices > 9
+    assert len(read) == len(set(read)) == dedup.filters.slices
+    kept = dedup.kept_rows(docs)
+    assert len(read) == len(set(read)) == 2 * dedup.filters.slices
+    assert kept.count() == 9000 and len(read) == 2 * dedup.filters.slices
+
+
 def test_single_texts_pass_the_filter_unshuffled(spark):
     docs = cases.documents(spark, [f"Text {i}" for i in range(5000)] + ["copy"] * 3000)
     dedup = ExactDedup(spark, docs)
