@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from obligo.llm.common import documents, text
+from obligo.llm.common import documents, id_or_zero, text
 from obligo.sinks.tables import stored
 
 KMER = 3
@@ -142,7 +142,7 @@ KEY = ["id", "no_id", "text_hash"]
 def keyed(docs: DataFrame) -> DataFrame:
     """Key and text, and nothing else, so that both uses of the rows share one exchange."""
     return docs.select(
-        F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"),
+        id_or_zero(docs).alias("id"), F.col("doc_id").isNull().alias("no_id"),
         F.xxhash64(text()).alias("text_hash"), text().alias("text"))
 
 
@@ -161,17 +161,14 @@ def successors(spark: SparkSession, keys: DataFrame, rows: int) -> DataFrame:
     )
     within = Window.partitionBy("part").orderBy(*order)
     inner = ranged.withColumn("next", F.lead(F.struct(*KEY)).over(within))
-    # The smallest of what turns a descending order round is the first of that order.
-    heads = ranged.groupBy("part").agg(F.min(F.struct(
-        "no_id", F.bitwise_not("id").alias("id"), F.bitwise_not("text_hash").alias("text_hash"))
-    ).alias("h"))
+    heads = ranged.groupBy("part").agg(F.max(F.struct(
+        (~F.col("no_id")).alias("has_id"), "id", "text_hash")).alias("h"))
     # One row per partition of the order.
     ends = Window.orderBy("part")
     whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding,
                                                Window.unboundedFollowing)
     heads = heads.select("part", F.struct(
-        F.bitwise_not("h.id").alias("id"), F.col("h.no_id").alias("no_id"),
-        F.bitwise_not("h.text_hash").alias("text_hash")).alias("head"))
+        "h.id", (~F.col("h.has_id")).alias("no_id"), "h.text_hash").alias("head"))
     linked = heads.select("part", F.coalesce(
         F.lead("head").over(ends), F.first("head").over(whole)).alias("head"))
     return inner.join(linked, "part").select(

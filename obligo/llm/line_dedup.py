@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import documents, lower_ascii, text
+from obligo.llm.common import documents, id_or_zero, lower_ascii, text
 from obligo.sinks.tables import stored
 
 LEAST_LENGTH = 20
@@ -60,16 +60,16 @@ def line_dedup(spark: SparkSession, docs: DataFrame, least_length: int = LEAST_L
         spark,
         lines.join(shared, ["h1", "h2"])
         .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-        .groupBy(F.coalesce("doc_id", F.lit(0)).alias("id"),
+        .groupBy(id_or_zero(docs).alias("id"),
                  F.col("doc_id").isNull().alias("no_id"), "text_hash")
         .agg(F.collect_set("position").alias("lost")),
         "lost-lines",
     )
     whole = docs.select("doc_id", text().alias("text")).withColumns({
-        "id": F.coalesce("doc_id", F.lit(0)), "no_id": F.col("doc_id").isNull(),
+        "id": id_or_zero(docs), "no_id": F.col("doc_id").isNull(),
         "text_hash": F.xxhash64("text"),
     })
-    joined = whole.join(lost.hint("shuffle_hash"), ["id", "no_id", "text_hash"], "left")
+    joined = whole.join(lost, ["id", "no_id", "text_hash"], "left")
     parts = joined.select("doc_id", "lost", F.split("text", "\n", -1).alias("lines"))
     left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "lost")
     kept = F.when(F.col("lost").isNull(), F.array_join("lines", "\n")).otherwise(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pathlib import Path
 
+from pyspark.sql import functions as F
+
 SMALL, MIDDLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 HAVE_TABLES = Path(SMALL).exists()
 LINE = "this is a shared line of text"
@@ -35,6 +37,12 @@ def awkward(spark):
     return spark.createDataFrame([r + EXTRA for r in ROWS], SCHEMA)
 
 
+def named(spark):
+    """The awkward rows with texts as ids; their order is that of the texts."""
+    rows = awkward(spark)
+    return rows.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string")))
+
+
 def documents(spark, texts):
     """doc_id, text and source of a list of texts, or of pairs of id and text."""
     rows = [x if isinstance(x, tuple) else (i, x) for i, x in enumerate(texts)]

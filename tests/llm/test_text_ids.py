@@ -1,0 +1,52 @@
+"""Every operator and stage takes ids that are texts."""
+
+import cases
+import pytest
+
+import corpus_pipeline
+from obligo.llm import (
+    exact_dedup,
+    fingerprints,
+    line_dedup,
+    lm_score,
+    mixing,
+    packing,
+    pii,
+    quality,
+    registry,
+    runs,
+    secret_scan,
+    simhash,
+    toxicity,
+)
+
+IDS = sorted("d" + str(r[0]) if r[0] is not None else "None" for r in cases.ROWS)
+
+
+@pytest.mark.parametrize("operator", [
+    secret_scan.secrets, simhash.near_dedup, line_dedup.line_dedup, fingerprints.fingerprinted,
+    lm_score.scored, exact_dedup.exact_dedup, quality.quality, packing.packed, pii.personal_data,
+    runs.periodic_runs,
+], ids=lambda f: f.__name__)
+def test_operators(spark, operator):
+    found = operator(spark, cases.named(spark)).select("doc_id").collect()
+    if operator is packing.packed:  # long texts have several pieces
+        assert {str(r.doc_id) for r in found} == set(IDS)
+    else:
+        assert sorted(str(r.doc_id) for r in found) == IDS
+
+
+def test_stages_that_keep_rows(spark):
+    docs = cases.named(spark)
+    marks = cases.labels(spark).selectExpr("'d' || doc_id AS doc_id", "quality", "toxic")
+    for kept in (simhash.kept_rows(spark, docs), mixing.mixed_rows(spark, docs),
+                 exact_dedup.ExactDedup(spark, docs).kept_rows(docs)):
+        assert kept.columns == docs.columns and kept.count() > 0
+    # The few labels here say nothing of what is toxic.
+    assert toxicity.clean_rows(spark, docs, marks).count() <= len(cases.ROWS)
+
+
+def test_every_query_is_covered():
+    """The Merkle tree has a test of its own for text ids."""
+    numbers = {n.split("_")[0] for n in registry.QUERIES if n != "pipeline"}
+    assert numbers == {f"op{i}" for i in range(1, 14)} and len(corpus_pipeline.STAGES) == 5
