@@ -9,8 +9,8 @@ number of the sibling): of a node in slot s the siblings are in slots s + 1, s +
 arity of the same run, so every node finds its siblings in arity - 1 joins, and the row in slot
 zero, which then holds the whole run, emits the parent. A key of these joins is one node, so a
 source of any size is spread over all tasks. Then paths go down again: a node's path is its own
-siblings and its parent's path, joined on the parent's number, from the top in one job, as no level
-is used twice. Levels are written to the shared folder; there are as many as the logarithm of the
+siblings and its parent's path, joined on the parent's number, a few levels per job. Levels are
+written to the shared folder; there are as many as the logarithm of the
 largest source. Nothing but that size and the root reaches the driver.
 
 Defined cases: a null column is hashed as a mark of its own; rows without an id come first in
@@ -30,6 +30,7 @@ from obligo.operators.numbering import dense_numbers
 from obligo.sinks.tables import stored
 
 ARITY = 3
+TOGETHER = 4  # levels whose paths are joined in one job
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 GROUP, NUMBER, NODES = "_group", "_number", "_nodes"
 
@@ -104,7 +105,7 @@ def tops(levels: list[DataFrame]) -> DataFrame:
     return out
 
 
-def with_paths(levels: list[DataFrame], top: DataFrame) -> DataFrame:
+def with_paths(spark: SparkSession, levels: list[DataFrame], top: DataFrame) -> DataFrame:
     """The lowest level with the columns of its group's ``top`` and the path to it.
 
     ``top`` has one row per group: the group, ``path`` from its last node on, and what else the
@@ -125,7 +126,8 @@ def with_paths(levels: list[DataFrame], top: DataFrame) -> DataFrame:
                 .join(upper, (F.col(GROUP) == F.col("_g"))
                       & (F.floor(F.col(NUMBER) / ARITY) == F.col("_n")))
                 .select(*own, *carried, F.concat(step, "path").alias("path")))
-        above = rows
+        # A job of some levels: with all of them its plan would grow with the tree.
+        above = stored(spark, rows, f"paths-{depth}") if depth % TOGETHER == 2 else rows
     return above
 
 
@@ -162,11 +164,11 @@ def manifest(spark: SparkSession, leaves: DataFrame) -> DataFrame:
         spark, stored(spark, subroots.withColumn(GROUP, F.lit("")), "subroots"))
     root = tops(upper).first()["digest"]
     empty = F.array().cast("array<struct<before:string,after:string>>")
-    top = spark.range(1).select(F.lit("").alias(GROUP), empty.alias("path"))
-    sources = stored(spark, with_paths(upper, top).select(
+    top = tops(upper).select(GROUP, empty.alias("path"))
+    sources = stored(spark, with_paths(spark, upper, top).select(
         F.col("_source").alias(GROUP), F.col("digest").alias("subroot"), "path"), "sources")
     kept = [c for c in leaves.columns if c != "leaf"]
-    return with_paths(levels, sources).select(
+    return with_paths(spark, levels, sources).select(
         *kept, F.col("digest").alias("leaf"), F.col(NUMBER).alias("number"), "subroot",
         F.lit(root).alias("root"), "path")
 
