@@ -5,9 +5,11 @@ Low quality comes in kinds, one per labeller, of which others may or may not tak
 Expectation-maximisation estimates from the counts of vote patterns over all documents how often
 each labeller votes low on documents of high quality and of each kind of low quality, where it
 votes, and how many there are of each; this gives a posterior per pattern.
-The posteriors are the soft labels of a linear scorer over hashed words, word shapes and rates,
-trained in rounds of distributed gradient steps, each over another share of the documents, all
-rounds together every one once, and averaged per feature. No given label is read.
+The posteriors are the soft labels of a linear scorer over hashed words, word shapes and rates.
+Its features are read once and stored. In each round tasks add up the gradient of all documents at
+common weights, and the driver makes one accelerated step, per feature as long as the curvature
+allows. Sums do not depend on how the documents are split, so neither do the scores. No given
+label is read.
 
 There are 3 ** labellers patterns, so the counts that reach the driver are bounded.
 
@@ -32,11 +34,13 @@ from obligo.llm.common import (
     array_blocks,
     byte_texts,
     documents,
+    given_back,
     joined_blocks,
     prepare,
     summed_blocks,
     text,
 )
+from obligo.sinks.tables import stored
 
 LOW, HIGH, NONE = 0, 1, 2
 # Labellers: a rate, the bound from which it votes low, the one up to which it votes high.
@@ -51,7 +55,9 @@ LABELLERS = {
     "long_words": (0.50, 0.30),
 }
 PATTERNS = 3 ** len(LABELLERS)
-LEAST_WORDS = 10  # for rates of words
+LEAST_WORDS = 10  # for the rates that compare words
+OF_MANY_WORDS = ("repeats", "sameness", "no_short_words", "long_words")
+LONGEST = 30  # bytes per word that no prose has
 STRETCH = 200  # words among which repeats make a text monotonous
 # Where expectation-maximisation starts: share of each kind of low quality; how often a labeller
 # votes low on documents of high quality, of the kind it looks for, and of other kinds.
@@ -63,11 +69,15 @@ PSEUDO_DOCUMENTS, PSEUDO_VOTES = 100.0, 5.0
 STEPS = 500
 
 FEATURE_BITS = 16
-ROUNDS = 3  # one pass over the documents
-RATES = (1.0, 0.5, 0.25)
+FEATURES = 1 << FEATURE_BITS
+ROUNDS = 16
+# Curvature that a weight starts with, which holds back features met seldom.
+RIDGE = 0.5
+# Values of features lie in (0, 1] and are stored in so many steps.
+STEPS_OF_VALUES = 65_535
 THRESHOLD = 0.5
 BLOCK_ROWS = 4096
-ONE = crc32(b"one") & ((1 << FEATURE_BITS) - 1)  # the feature that every document has
+ONE = crc32(b"one") & (FEATURES - 1)  # the feature that every document has
 
 SHAPE = bytes.maketrans(
     bytes(range(256)),
@@ -78,9 +88,13 @@ SIGNS = [i for i in range(33, 127) if not chr(i).isalnum() and chr(i) not in ".,
 
 
 def rates_of(data: bytes, words: list[bytes], shapes: Counter) -> list[float]:
-    """The rates of the labellers, in their order; -1 where a text is too short for one."""
+    """The rates of the labellers, in their order; -1 where a text is too short for one.
+
+    Signs, capitals and exclamation marks say something of a single word. A text without blanks
+    is one long word, whatever its number of words.
+    """
     n = len(words)
-    if n < LEAST_WORDS:
+    if not n:
         return [-1.0] * len(LABELLERS)
     bytes_of = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     lone = capitals = exclaims = short = long = 0
@@ -97,7 +111,7 @@ def rates_of(data: bytes, words: list[bytes], shapes: Counter) -> list[float]:
             exclaims += k
     lettered = max(n - lone, 1)
     stretches = [words[i:i + STRETCH] for i in range(0, n, STRETCH)]
-    return [
+    rates = [
         float(bytes_of[SIGNS].sum()) / len(data),
         lone / n,
         sum(a == b for a, b in zip(words, words[1:])) / n,
@@ -107,6 +121,13 @@ def rates_of(data: bytes, words: list[bytes], shapes: Counter) -> list[float]:
         1 - short / lettered,
         long / lettered,
     ]
+    if n < LEAST_WORDS:
+        for i, labeller in enumerate(LABELLERS):
+            if labeller in OF_MANY_WORDS:
+                rates[i] = -1.0
+        if len(data) > LONGEST * n:
+            rates[-1] = long / lettered
+    return rates
 
 
 class Read:
@@ -125,12 +146,12 @@ class Read:
         for shape, k in shapes.items():
             own = crc32(b"shape " + shape[:1] + shape[-3:])
             counts[own] = counts.get(own, 0) + k
-        ids = np.fromiter(counts, np.int64, len(counts)) & ((1 << FEATURE_BITS) - 1)
+        ids = np.fromiter(counts, np.int64, len(counts)) & (FEATURES - 1)
         values = np.sqrt(np.fromiter(counts.values(), np.float64, len(counts)) / n)
         # Every rate falls into one of nine steps, each a feature of its own.
         steps = [crc32(b"rate %d %d" % (i, int(np.ceil(min(max(r, -0.125), 1.0) * 8))))
                  for i, r in enumerate(rates)]
-        self.ids = np.r_[ids, np.array(steps) & ((1 << FEATURE_BITS) - 1), ONE]
+        self.ids = np.r_[ids, np.array(steps) & (FEATURES - 1), ONE]
         self.values = np.r_[values, np.ones(len(steps) + 1)]
 
 
@@ -175,90 +196,130 @@ def posterior_of(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return posterior[:, 0], rates, shares
 
 
-def pattern_counts(docs: DataFrame) -> np.ndarray:
-    """Documents per vote pattern, over all documents."""
+def features(docs: DataFrame) -> DataFrame:
+    """doc_id, vote pattern, and the features and values of every document as 16-bit numbers."""
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
         for batch in batches:
-            counts.update(Read(x).pattern for x in byte_texts(batch.column(0)))
-        yield pa.RecordBatch.from_pydict({
-            "pattern": pa.array(list(counts), pa.int32()),
-            "n": pa.array(list(counts.values()), pa.int64())})
+            patterns, ids, values = [], [], []
+            for data in byte_texts(batch.column(1)):
+                x = Read(data)
+                patterns.append(x.pattern)
+                ids.append(x.ids.astype("<u2").tobytes())
+                steps = np.maximum(np.rint(x.values * STEPS_OF_VALUES), 1)
+                values.append(np.minimum(steps, STEPS_OF_VALUES).astype("<u2").tobytes())
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0), "pattern": pa.array(patterns, pa.int32()),
+                "ids": pa.array(ids, pa.binary()), "features": pa.array(values, pa.binary())})
+
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", text().alias("text")).mapInArrow(
+        given_back(over), f"doc_id {id_type}, pattern int, ids binary, features binary")
+
+
+class Rows:
+    """Some documents as one sparse matrix: features, values, and where documents begin."""
+
+    def __init__(self, ids: pa.Array, values: pa.Array):
+        ids, values = ids.to_pylist(), values.to_pylist()
+        self.sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.ids = np.frombuffer(b"".join(ids), "<u2").astype(np.int64)
+        self.values = np.frombuffer(b"".join(values), "<u2") / STEPS_OF_VALUES
 
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        """One number per document; every document has a feature."""
+        return np.add.reduceat(weights[self.ids] * self.values, self.begins)
+
+    def back(self, numbers: np.ndarray) -> np.ndarray:
+        """One number per feature."""
+        return np.bincount(self.ids, self.values * np.repeat(numbers, self.sizes),
+                           minlength=FEATURES)
+
+
+def probability(margins: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(margins, -30, 30)))
+
+
+def pattern_counts(read: DataFrame) -> np.ndarray:
+    """Documents per vote pattern, over all documents."""
     out = np.zeros(PATTERNS)
-    for r in (docs.select(text().alias("text")).mapInArrow(over, "pattern int, n long")
-              .groupBy("pattern").agg(F.sum("n").alias("n")).collect()):
-        out[r["pattern"]] = r["n"]
+    for r in read.groupBy("pattern").count().collect():
+        out[r["pattern"]] = r["count"]
     return out
 
 
-def share_of(docs: DataFrame, turn: int) -> DataFrame:
-    """The documents of a round; every document is in one of the ROUNDS shares."""
-    return docs.select("doc_id", text().alias("text")).filter(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == turn)
+def corpus_sums(spark: SparkSession, read: DataFrame, weights: np.ndarray,
+                posterior: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient of all documents at these weights, and a bound of the curvature, per feature.
 
+    The bound is a quarter of the sum of a feature's values times the sum of all values beside it:
+    steps of the inverse of it never overshoot, however features go together. Tasks read several
+    partitions, so that not every small one hands in sums of its own.
+    """
+    shared = spark.sparkContext.broadcast((weights, posterior))
 
-def trained_weights(spark: SparkSession, docs: DataFrame, posterior: np.ndarray,
+    def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, target = shared.value
+        sums = np.zeros((FEATURES, 2))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = Rows(batch.column(1), batch.column(2))
+            wanted = target[batch.column(0).to_numpy()]
+            sums[:, 0] += rows.back(wanted - probability(rows.times(common)))
+            sums[:, 1] += rows.back(np.add.reduceat(rows.values, rows.begins) / 4)
+        if sums.any():
+            yield pa.RecordBatch.from_pandas(
+                array_blocks(sums, BLOCK_ROWS).astype({"block": "int32"}), preserve_index=False)
+
+    tasks = max(spark.sparkContext.defaultParallelism, read.rdd.getNumPartitions() // 16)
+    blocks = read.select("pattern", "ids", "features").coalesce(tasks).mapInArrow(
+        over, "block int, value binary")
+    total = joined_blocks(summed_blocks(blocks).collect(), 2 * FEATURES).reshape(-1, 2)
+    shared.destroy()
+    return total[:, 0].astype(np.float64), total[:, 1].astype(np.float64)
+
+
+def trained_weights(spark: SparkSession, read: DataFrame, posterior: np.ndarray,
                     share_high: float) -> np.ndarray:
-    """Weights of the linear scorer after all rounds; it starts from the share of high quality."""
-    weights = np.zeros(1 << FEATURE_BITS, np.float32)
-    weights[ONE] = np.log(share_high / (1 - share_high))
-    tasks = max(2, 2 * spark.sparkContext.defaultParallelism)
+    """Weights of the linear scorer after all rounds; it starts from the share of high quality.
+
+    Each step starts from where the last two point to, by which the error falls with the square
+    of the rounds.
+    """
+    start = np.zeros(FEATURES)
+    start[ONE] = np.log(share_high / (1 - share_high))
+    weights = ahead = start
     for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast((weights, posterior))
-        rate = RATES[turn]
-
-        def steps(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            common, target = shared.value
-            own, met = common.astype(np.float64), np.zeros(len(common), np.float32)
-            for batch in batches:
-                for data in byte_texts(batch.column(0)):
-                    x = Read(data)
-                    margin = float(own[x.ids] @ x.values)
-                    error = target[x.pattern] - 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
-                    np.add.at(own, x.ids, rate * error * x.values / (1 + x.values @ x.values))
-                    met[x.ids] += 1
-            if met.any():
-                change = np.c_[(own - common) * met, met]
-                yield pa.RecordBatch.from_pandas(
-                    array_blocks(change, BLOCK_ROWS).astype({"block": "int32"}),
-                    preserve_index=False)
-
-        blocks = share_of(docs, turn).select("text").coalesce(tasks).mapInArrow(
-            steps, "block int, value binary")
-        total = joined_blocks(summed_blocks(blocks).collect(),
-                              2 * len(weights)).reshape(-1, 2)
-        weights = weights + total[:, 0] / np.maximum(total[:, 1], 1)
+        gradient, curvature = corpus_sums(spark, read, ahead, posterior)
+        new = ahead + (gradient - RIDGE * (ahead - start)) / (curvature + RIDGE)
+        weights, ahead = new, new + turn / (turn + 3) * (new - weights)
     return weights
 
 
 def quality(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """doc_id, score, whether the document is kept, and the posterior of its votes."""
     prepare(spark)
-    posterior, _, shares = posterior_of(pattern_counts(docs))
-    weights = trained_weights(spark, docs, posterior, float(np.clip(shares[0], 0.01, 0.99)))
-    shared = spark.sparkContext.broadcast((weights.astype(np.float64), posterior))
+    read = stored(spark, features(docs), "quality-features")
+    posterior, _, shares = posterior_of(pattern_counts(read))
+    weights = trained_weights(spark, read, posterior, float(np.clip(shares[0], 0.01, 0.99)))
+    shared = spark.sparkContext.broadcast((weights, posterior))
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, posterior = shared.value
         for batch in batches:
-            margins, patterns = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
-            for i, data in enumerate(byte_texts(batch.column(1))):
-                x = Read(data)
-                margins[i], patterns[i] = weights[x.ids] @ x.values, x.pattern
+            if not batch.num_rows:
+                continue
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column(0),
-                "score": 1 / (1 + np.exp(-np.clip(margins, -30, 30))),
-                "posterior": posterior[patterns],
+                "score": probability(Rows(batch.column(2), batch.column(3)).times(weights)),
+                "posterior": posterior[batch.column(1).to_numpy()],
             })
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    return (
-        docs.select("doc_id", text().alias("text"))
-        .mapInArrow(over, f"doc_id {id_type}, score double, posterior double")
-        .withColumn("kept", F.col("score") >= THRESHOLD)
-    )
+    return read.mapInArrow(over, f"doc_id {id_type}, score double, posterior double").withColumn(
+        "kept", F.col("score") >= THRESHOLD)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
