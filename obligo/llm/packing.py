@@ -8,7 +8,8 @@ sequence is one of the choices.
 Pieces are dealt into groups of about GROUP_PIECES by a hash of their position, so a group is
 bounded whatever the table holds, and each group is packed on its own, longest pieces first. The
 sequences a group could not fill are packed once more as items of a smaller number of larger
-rounds, until one group holds all that is left; in the rounds a sequence counts as one item of its
+rounds, until one group holds all that is left or a round brings fewer than a tenth of them
+together, which leaves at most a few sequences a group unfilled; in the rounds a sequence counts as one item of its
 level, so its pieces only move by an offset. Only lengths and numbers of pieces are shuffled,
 never texts or ids.
 
@@ -32,7 +33,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obligo.llm.common import LOWER_BYTES, documents, prepare, stretches, text
+from obligo.llm.common import LOWER_BYTES, documents, given_back, prepare, stretches, text
 from obligo.sinks.tables import stored
 
 LENGTH = 4096
@@ -101,12 +102,14 @@ class Encoder:
         # Words met lately, and those met before them: the oldest are forgotten first.
         self.memory: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.remembered = REMEMBERED
 
     @classmethod
-    def of_worker(cls, path: str) -> Encoder:
+    def of_worker(cls, path: str, remembered: int = REMEMBERED) -> Encoder:
         """The encoder of this Python worker, which outlives its tasks."""
         if path not in _ENCODERS:
             _ENCODERS[path] = cls(path)
+        _ENCODERS[path].remembered = remembered
         return _ENCODERS[path]
 
     def _learn(self, words: list[str]) -> None:
@@ -138,7 +141,7 @@ class Encoder:
         missing = [i for i, x in enumerate(found) if x is None]
         if not missing:
             return found
-        if len(self.memory) > REMEMBERED:
+        if len(self.memory) > self.remembered:
             self.memory, self.older = {}, self.memory
         new = []
         for word in dict.fromkeys(words[i] for i in missing):
@@ -199,13 +202,14 @@ def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.concat_batches(held)
 
 
-def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None,
+           remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, piece, start, length and checksum of the ids of every piece."""
     path = path or tokenizer_path()
     end = np.array([END_ID], "<u4").tobytes()
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of_worker(path)
+        encoder = Encoder.of_worker(path, remembered)
         for batch in gathered(batches):
             at, number, start, size, checksum = [], [], [], [], []
             for row, ids in enumerate(encoder.encode_all(batch.column(1))):
@@ -227,7 +231,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, path: str | None = None) -> Da
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text().alias("text")).mapInArrow(
-        over, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
+        given_back(over), f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long")
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,11 +288,15 @@ def round_of(items: DataFrame, groups: int, capacity: int) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, length: int = LENGTH,
-           group_pieces: int = GROUP_PIECES, path: str | None = None) -> DataFrame:
-    """Every piece with the sequence it belongs to and its offset there."""
+           group_pieces: int = GROUP_PIECES, path: str | None = None,
+           remembered: int = REMEMBERED) -> DataFrame:
+    """Every piece with the sequence it belongs to and its offset there.
+
+    ``remembered`` bounds the words whose ids a worker keeps; the ids do not depend on it.
+    """
     prepare(spark)
     # Stored, so that the numbers of the pieces stay the same whatever is computed again.
-    table = stored(spark, pieces(docs, length, path).withColumn(
+    table = stored(spark, pieces(docs, length, path, remembered).withColumn(
         "item", F.monotonically_increasing_id()), "pieces")
     whole = table.filter(F.col("length") == length).withColumns(
         {"sequence_id": F.col("item"), "offset": F.lit(0).cast("long")})

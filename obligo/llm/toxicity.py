@@ -30,6 +30,7 @@ from obligo.llm.common import (
     byte_texts,
     checksum_mod,
     documents,
+    given_back,
     prepare,
     text,
     whole_rows,
@@ -286,7 +287,8 @@ def learned_words(train: DataFrame) -> dict[bytes, float]:
         (F.col("clean") + 0.5) / (F.lit(clean) - F.col("clean") + 0.5))
     error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     found = (
-        train.select("text", "y").mapInArrow(words, "word binary, clean long, toxic long")
+        train.select("text", "y")
+        .mapInArrow(given_back(words), "word binary, clean long, toxic long")
         .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .filter(F.col("clean") + F.col("toxic") >= LEAST_DOCUMENTS)
         .withColumns({"odds": odds, "z": odds / error})
@@ -326,7 +328,8 @@ def trained(spark: SparkSession, docs: DataFrame, labels: DataFrame,
 
     id_type = train.schema["doc_id"].dataType.simpleString()
     # At most ``rows`` rows of a fixed number of features.
-    got = train.mapInArrow(over, f"doc_id {id_type}, y int, x array<float>").withColumn(
+    read = train.mapInArrow(given_back(over), f"doc_id {id_type}, y int, x array<float>")
+    got = read.withColumn(
         "part", F.pmod(F.xxhash64("doc_id"), F.lit(3)).cast("int")).toPandas()
     got = got.sort_values(["doc_id", "y"], kind="stable")
     x = np.array(got["x"].tolist(), np.float64).reshape(-1, len(FEATURES))
@@ -361,7 +364,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> DataFra
     held_out = (checksum_mod(HELD_OUT_FOLDS) == 0).alias("held_out")
     return (
         docs.select("doc_id", text().alias("text"), held_out)
-        .mapInArrow(over, f"doc_id {id_type}, held_out boolean, score double")
+        .mapInArrow(given_back(over), f"doc_id {id_type}, held_out boolean, score double")
         .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
     )
 
