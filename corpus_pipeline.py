@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from obligo.llm import exact_dedup, mixing, packing, simhash, toxicity
 from obligo.llm.common import documents
-from obligo.session import scratch_folder
+from obligo.session import remove_folder, scratch_folder
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +37,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents with their sequence and offset."""
-    return packing.packed(spark, docs)
+    """The pieces of all documents with their sequence and offset.
 
+    Workers hold what earlier stages left them, so they remember fewer words than they might.
+    """
+    return packing.packed(spark, docs, remembered=REMEMBERED)
+
+
+REMEMBERED = 100_000
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", drop_toxic),
@@ -54,9 +59,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """The packed pieces of the documents. A stage's table goes when the next one is written."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES[:-1]:
         path = f"{scratch_folder(spark)}/{name}-{uuid4().hex}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
