@@ -5,10 +5,10 @@ import pytest
 from obligo.llm import registry, toxicity
 from obligo.llm.common import prepare
 
-NUMBERED = {f"op{n}_" for n in range(1, 11)}
+NUMBERED = {f"op{n}_" for n in range(1, 14)}
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_all_queries_and_the_pipeline_are_registered():
     import __spark_entry__ as entry_points
 
     assert {q[:q.index("_") + 1] for q in registry.QUERIES if q != "pipeline"} == NUMBERED
