@@ -13,9 +13,10 @@ weights, how often every feature was followed by every outcome and how often the
 The gradient is the difference of the two sums; the step takes the logarithm of their ratio, so
 that a sum of few observations and one of many move the weights alike. Sums do not depend on how
 the documents are split, so neither do the scores. At the start, with all weights zero, the
-expectation follows from the counts, so the first round needs no softmax; ``rates`` says how many
-rounds there are, by default this one. Texts are scored
-in sparse numpy batches, a feature row looked up for each token.
+expectation follows from the counts, so the first round needs no softmax; every later one expects
+by the weights so far. ``rates`` has a step for each round. The rounds read the tokens of the
+training documents as numbers, which are stored once. Texts are scored in sparse numpy batches, a
+feature row looked up for each token.
 
 The feature rows grow with the square root of the number of distinct tokens, up to a bound that
 keeps the broadcast of the weights at 300 MB. The KNOWN most frequent tokens are broadcast (a fixed
@@ -65,9 +66,9 @@ ENDING_BYTES, ENDINGS = 3, 4096
 FOLLOWED = 64  # hashed endings of the token before that describe an ending
 FEATURES = 4
 LEAST_BITS, MOST_BITS = 12, 20
-# Steps of the rounds, and how many observations the prior counts for at a feature. A round after
-# the first costs a pass over the softmax: it adds 0.01 to 0.02 to the gain per token.
-RATES = (0.5,)
+# Steps of the rounds, and how many observations the prior counts for at a feature. The features of
+# a token share its outcomes; only from the second round on does a step see what the others explain.
+RATES = (0.5, 0.3, 0.3, 0.3)
 PRIOR_WEIGHT = 5.0
 MOST_EXPONENT = 60.0  # far below what 32-bit floats hold
 BATCH_TOKENS = 65_536
@@ -349,35 +350,68 @@ def expected_at_start(seen: np.ndarray, prior: np.ndarray) -> np.ndarray:
                  met * prior[BRANCHES:]]
 
 
-def step(seen: np.ndarray, model_sums: np.ndarray, prior: np.ndarray, rate: float) -> np.ndarray:
+def step(seen: np.ndarray, model_sums: np.ndarray, prior: np.ndarray, rate: float,
+         weights: np.ndarray | float = 0.0) -> np.ndarray:
     """Change of the weights, in the direction of the gradient, seen less expected.
 
-    The prior counts as PRIOR_WEIGHT observations on either side, so rare features move little.
+    The prior counts as PRIOR_WEIGHT observations on either side, so rare features move little. Of
+    these the model expects as many as the weights so far say, so rounds do not add up to weights
+    that fit a rare feature's few observations alone.
     """
     start = PRIOR_WEIGHT * prior
-    return (rate * np.log((seen + start) / (model_sums + start))).astype(np.float32)
+    return (rate * np.log((seen + start) / (model_sums + start * np.exp(weights)))).astype(np.float32)
 
 
 class Flat:
     """The tokens of a batch of texts in one array."""
 
     def __init__(self, texts: list[bytes], numbers: Numbers, vocabulary: Vocabulary):
-        found = [tokens_of(x) for x in texts]
-        self.lengths = np.array([len(x) for x in found], np.int64)
-        self.begins = np.r_[0, np.cumsum(self.lengths)[:-1]].astype(np.int64)
-        self.numbers = np.fromiter(
-            (n for x in found for n in map(numbers.__getitem__, x)), np.int64,
-            int(self.lengths.sum()))
-        self.classes = vocabulary.class_of(self.numbers)
+        self.place(*numbers_of(texts, numbers), vocabulary)
+
+    @classmethod
+    def of_numbers(cls, lists: pa.ListArray, vocabulary: Vocabulary) -> Flat:
+        """The same from the numbers of every text."""
+        flat = cls.__new__(cls)
+        flat.place(np.diff(lists.offsets.to_numpy()).astype(np.int64),
+                   lists.flatten().to_numpy(zero_copy_only=False), vocabulary)
+        return flat
+
+    def place(self, lengths: np.ndarray, numbers: np.ndarray, vocabulary: Vocabulary) -> None:
+        self.lengths, self.numbers = lengths, numbers
+        self.begins = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
+        self.classes = vocabulary.class_of(numbers)
         self.rows = feature_rows(
-            vocabulary.key_of_number(self.numbers), self.begins, vocabulary.rows)
+            vocabulary.key_of_number(numbers), self.begins, vocabulary.rows)
+
+
+def numbers_of(texts: list[bytes], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens every text has, and the numbers of all of them."""
+    found = [tokens_of(x) for x in texts]
+    lengths = np.array([len(x) for x in found], np.int64)
+    return lengths, np.fromiter(
+        (n for x in found for n in map(numbers.__getitem__, x)), np.int64, int(lengths.sum()))
+
+
+def numbered(train: DataFrame, shared: Broadcast) -> DataFrame:
+    """The tokens of every training document as numbers, for all rounds."""
+
+    def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers(shared.value.ranks())
+        for batch in batches:
+            for texts in stretches(batch.column(0), FLAT_BYTES):
+                lengths, found = numbers_of(list(byte_texts(texts)), numbers)
+                yield pa.RecordBatch.from_pydict({"numbers": pa.ListArray.from_arrays(
+                    pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(found))})
+
+    return train.select("text").mapInArrow(over, "numbers array<bigint>")
 
 
 def corpus_sums(spark: SparkSession, train: DataFrame, shared: Broadcast,
                 weights: np.ndarray | None = None) -> np.ndarray:
     """Sums over all training documents: seen outcomes or, at given weights, expected ones.
 
-    Tasks read several partitions, so that not every small one hands in sums of its own.
+    ``train`` has their numbers. Tasks read several partitions, so that not every small one hands
+    in sums of its own.
     """
     vocabulary = shared.value
     current = None if weights is None else spark.sparkContext.broadcast(weights)
@@ -385,17 +419,15 @@ def corpus_sums(spark: SparkSession, train: DataFrame, shared: Broadcast,
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        numbers = Numbers(vocabulary.ranks())
         model = None if current is None else Model(vocabulary.prior, current.value)
         outer = np.zeros((vocabulary.rows, BRANCHES))
         inner = np.zeros((vocabulary.rows * BRANCHES, INNER))
         for batch in batches:
-            for texts in stretches(batch.column(0), FLAT_BYTES):
-                flat = Flat(list(byte_texts(texts)), numbers, vocabulary)
-                if model is None:
-                    observed(flat.rows, flat.classes, inner)
-                else:
-                    expected(model, flat.rows, flat.classes, outer, inner)
+            flat = Flat.of_numbers(batch.column(0), vocabulary)
+            if model is None:
+                observed(flat.rows, flat.classes, inner)
+            else:
+                expected(model, flat.rows, flat.classes, outer, inner)
         if inner.any():
             if model is None:
                 outer = inner.sum(1).reshape(outer.shape)
@@ -403,7 +435,7 @@ def corpus_sums(spark: SparkSession, train: DataFrame, shared: Broadcast,
             yield pa.RecordBatch.from_pandas(
                 array_blocks(total, BLOCK_ROWS).astype({"block": "int32"}), preserve_index=False)
 
-    blocks = train.select("text").coalesce(tasks).mapInArrow(over, "block int, value binary")
+    blocks = train.select("numbers").coalesce(tasks).mapInArrow(over, "block int, value binary")
     total = joined_blocks(summed_blocks(blocks).collect(), vocabulary.rows * OUTCOMES)
     if current is not None:
         current.destroy()
@@ -414,10 +446,12 @@ def trained_weights(spark: SparkSession, train: DataFrame, shared: Broadcast,
                     rates: tuple[float, ...] = RATES) -> np.ndarray:
     """The feature weights after all rounds, one per rate."""
     prior = shared.value.prior
-    seen = corpus_sums(spark, train, shared)
+    found = stored(spark, numbered(train, shared), "train-numbers")
+    seen = corpus_sums(spark, found, shared)
     weights = step(seen, expected_at_start(seen, prior), prior, rates[0])
     for rate in rates[1:]:
-        weights += step(seen, corpus_sums(spark, train, shared, weights), prior, rate)
+        sums = corpus_sums(spark, found, shared, weights)
+        weights += step(seen, sums, prior, rate, weights)
     return weights
 
 

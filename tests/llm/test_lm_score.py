@@ -203,3 +203,18 @@ def test_query_has_the_exact_base_and_beats_it_on_unseen_texts(spark):
     per_token = [sum(x) / sum(r.n_tokens for r in unseen) for x in (
         [r.base_score for r in unseen], [r.score for r in unseen])]
     assert per_token[1] > per_token[0] + 0.28
+
+
+def test_the_query_trains_beyond_the_step_from_zero_weights(spark):
+    texts = [f"the cat sat on the mat and the dog sat on the {x}" for x in ("log", "mat", "rug")] * 60
+    train = cases.documents(spark, texts)
+    counts = counts_of(train.select("doc_id", "text")).cache()
+    shared = spark.sparkContext.broadcast(Vocabulary(spark, counts))
+    vocabulary, means = shared.value, []
+    flat = lm_score.Flat([t.encode() for t in texts], Numbers(vocabulary.ranks()), vocabulary)
+    for rates in (lm_score.RATES[:1], lm_score.RATES):
+        weights = lm_score.trained_weights(spark, train, shared, rates)
+        means.append(Model(vocabulary.prior, weights).logs(flat.rows, flat.classes).mean())
+    default = lm_score.trained_weights(spark, train, shared)
+    assert default == pytest.approx(weights) and means[1] > means[0] + 0.02
+    counts.unpersist()
