@@ -16,6 +16,8 @@ ROWS_PER_INSERT = 1000
 # Chunk counts of the published writers (fixed values).
 MART_CHUNKS = 10
 DETAIL_CHUNKS = 100
+# A file is uneven with more than so many times the rows of a mean one.
+EVEN = 3
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +30,25 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_evenly(df: DataFrame, path: str) -> bool:
+    """Writes large rows as they come, without an exchange, and says whether the files are even.
+
+    A join may leave all rows of a hot key, or all copies of a row, in one file. Copies take next
+    to no bytes, so no reader would split that file again. The rows of every file are counted from
+    what was written; the caller deals them anew where one has far more than its share, or where
+    there are fewer files than cores.
+    """
+    spark = df.sparkSession
+    df.write.option("compression", "zstd").parquet(path)
+    files = spark.read.schema(df.schema).parquet(path).groupBy(
+        F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    found = files.agg(F.max("n").alias("most"), F.sum("n").alias("rows"),
+                      F.count(F.lit(1)).alias("files")).first()
+    return not found["files"] or (
+        found["files"] >= min(spark.sparkContext.defaultParallelism, found["rows"])
+        and found["most"] * found["files"] <= EVEN * found["rows"])
+
+
 def write_files(df: DataFrame, path: str, mode: str = "error", files: int | None = None) -> None:
     """Writes a table as it is; ``files`` rebalances it into about so many even files."""
     if files is not None:

@@ -7,6 +7,7 @@ then reads it as it would read a delivered table, with pruned columns and pushed
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from obligo.operators.joins import Sized, measure
 from obligo.operators.snapshots import snapshot_fingerprint
 from obligo.operators.terms import legislator_years
 from obligo.plans.marts import mart
-from obligo.sinks.tables import stored
+from obligo.session import remove_folder, scratch_folder
+from obligo.sinks.tables import stored, write_evenly
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
 from obligo.sources.transactions import (
     clean_contracts,
@@ -60,16 +62,23 @@ class Source:
         return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
     def stored_evenly(self, df: DataFrame, name: str) -> DataFrame:
-        """Stores a source table in files of equally many rows.
+        """Stores a source table in files of about equally many rows.
 
-        The joins that derive it may leave all rows of a hot key, or all copies of a row, in one
-        file. Copies take next to no bytes, so no reader would split that file again.
+        The joins that derive it leave even files unless a key is hot or a row has many copies;
+        only then are the rows dealt once more.
         """
+        path = f"{scratch_folder(self.spark)}/{name}-{uuid4().hex}"
+        even = write_evenly(df, path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        if even:
+            return kept
         files = max(
             self.spark.sparkContext.defaultParallelism,
             int(self.spark.conf.get("spark.sql.shuffle.partitions")),
         )
-        return stored(self.spark, df.repartition(files), name)
+        dealt = stored(self.spark, kept.repartition(files), name)
+        remove_folder(self.spark, path)
+        return dealt
 
     # -- transactions ---------------------------------------------------------------------
 
@@ -201,19 +210,26 @@ def derive_transactions(lineitem: DataFrame, orders: DataFrame, customer: DataFr
 
     Two date formats and missing dates, returns as negative amounts, districts with and without
     their state in front, unusable and missing districts, two spellings of the country.
+
+    Line items are shuffled twice, in numbers and not in the texts made of them, and never sorted:
+    orders and parts are what the joins hash.
     """
+    lines = lineitem.selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag = 'R' AS returned",
+        "CAST(l_extendedprice AS DECIMAL(18,2)) AS price", "CAST(l_shipdate AS DATE) AS shipped",
+    )
     buyers = orders.join(customer, F.expr("o_custkey = c_custkey"))
-    rows = lineitem.join(buyers, F.expr("l_orderkey = o_orderkey")).join(
-        part, F.expr("l_partkey = p_partkey")
+    rows = lines.join(buyers.hint("shuffle_hash"), F.expr("l_orderkey = o_orderkey")).join(
+        part.hint("shuffle_hash"), F.expr("l_partkey = p_partkey")
     )
     return rows.selectExpr(
         "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,"
-        " CAST(l_extendedprice AS DECIMAL(18,2))) AS txn_id",
+        " price) AS txn_id",
         "CASE WHEN l_linenumber = 7 THEN NULL"
-        " WHEN l_linenumber % 2 = 0 THEN date_format(CAST(l_shipdate AS DATE), 'MM/dd/yyyy')"
-        " ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS action_date",
-        "CAST(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
-        " AS DECIMAL(18,2)) AS federal_action_obligation",
+        " WHEN l_linenumber % 2 = 0 THEN date_format(shipped, 'MM/dd/yyyy')"
+        " ELSE CAST(shipped AS STRING) END AS action_date",
+        "CAST(CASE WHEN returned THEN -price ELSE price END AS DECIMAL(18,2))"
+        " AS federal_action_obligation",
         "lpad(CAST(c_nationkey AS STRING), 2, '0') AS legal_entity_state_code",
         "CASE WHEN c_custkey % 11 = 0 THEN 'ZZ' WHEN c_custkey % 13 = 0 THEN NULL"
         " WHEN c_custkey % 3 = 0 THEN lpad(CAST(c_nationkey AS STRING), 2, '0')"

@@ -1,0 +1,66 @@
+"""The derived transactions: few exchanges, even files."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from obligo.session import scratch_folder
+from obligo.sinks.tables import write_evenly
+from obligo.verification.fixtures import Source, derive_transactions
+
+from conftest import plan, rows
+
+
+def tables(spark, copies=1):
+    lines = spark.range(2000).select(
+        (F.col("id") % 400).alias("l_orderkey"), (F.col("id") % 50).alias("l_partkey"),
+        (F.col("id") % 9).alias("l_suppkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"),
+        (F.col("id") / 8).alias("l_extendedprice"),
+        F.when(F.col("id") % 3 == 0, "R").when(F.col("id") % 3 == 1, "N").alias("l_returnflag"),
+        F.expr("timestamp'2001-01-01 11:00:00' + make_interval(0, 0, 0, CAST(id % 900 AS INT))")
+        .alias("l_shipdate"))
+    lines = lines.unionByName(lines.limit(1).withColumn(
+        "n", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("n"))
+    orders = spark.range(400).select(F.col("id").alias("o_orderkey"), (F.col("id") % 30).alias("o_custkey"))
+    customer = spark.range(30).select(F.col("id").alias("c_custkey"), (F.col("id") % 25).cast("int").alias("c_nationkey"))
+    part = spark.range(50).selectExpr(
+        "id AS p_partkey", "'Brand#1' || id % 5 AS p_brand", "'TYPE ' || id % 4 AS p_type",
+        "CAST(id % 50 + 1 AS INT) AS p_size")
+    return lines, orders, customer, part
+
+
+def test_line_items_are_shuffled_twice_and_not_sorted(spark):
+    text = plan(derive_transactions(*[t.localCheckpoint() for t in tables(spark)]))
+    assert text.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in text
+    assert "RoundRobin" not in text
+
+
+def test_amounts_and_dates_are_those_of_the_line_items(spark):
+    lines, *others = tables(spark)
+    found = derive_transactions(lines, *others)
+    assert found.count() == lines.count()
+    expected = lines.selectExpr(
+        "CASE WHEN l_linenumber = 7 THEN NULL WHEN l_linenumber % 2 = 0 THEN"
+        " date_format(CAST(l_shipdate AS DATE), 'MM/dd/yyyy')"
+        " ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END AS action_date",
+        "CAST(CASE WHEN l_returnflag = 'R' THEN -l_extendedprice ELSE l_extendedprice END"
+        " AS DECIMAL(18,2)) AS amount")
+    assert rows(found.select("action_date", "federal_action_obligation")) == rows(expected)
+
+
+@pytest.mark.parametrize("copies", [1, 20_000])
+def test_copies_of_a_row_do_not_stay_in_one_file(spark, copies):
+    source = Source(spark, "unused")
+    df = derive_transactions(*tables(spark, copies))
+    kept = source.stored_evenly(df, "transactions")
+    sizes = [r["n"] for r in kept.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert sum(sizes) == 2000 + copies and len(sizes) >= 8
+    assert max(sizes) * len(sizes) <= 3 * sum(sizes)
+
+
+def test_uneven_files_are_found(spark):
+    root = scratch_folder(spark)
+    assert write_evenly(spark.range(0, 1000, 1, 10), f"{root}/even")
+    assert not write_evenly(
+        spark.range(0, 1000, 1, 10).filter("id < 5 OR id > 890"), f"{root}/uneven")
+    assert not write_evenly(spark.range(0, 1000, 1, 2), f"{root}/few")
+    assert write_evenly(spark.range(0), f"{root}/empty")
