@@ -15,6 +15,8 @@ SALTS = 64
 HOT_SHARE = 0.001
 # Keys the sketch tracks: its error is then well below the share.
 TRACKED = 16_384
+# Hash slots of the bitmaps that stand for a list of keys.
+SLOTS = 1 << 28
 
 
 @dataclass(frozen=True)
@@ -87,6 +89,39 @@ def heavy_keys(facts: DataFrame, on: list[str], share: float = HOT_SHARE) -> lis
     return [r["item"] for r in found["top"] or [] if r["count"] >= share * found["n"]]
 
 
+def bitmaps(slots: DataFrame, slot: str = "slot") -> DataFrame:
+    """A set of slot numbers as bitmaps of 4 KB: ``bitmap`` is its number, ``bits`` what is set.
+
+    The numbers are dealt by bitmap first, so that no task makes bitmaps that others make too.
+    """
+    return (
+        slots.select(F.bitmap_bucket_number(slot).alias("bitmap"),
+                     F.bitmap_bit_position(slot).alias("at"))
+        .repartition("bitmap").groupBy("bitmap").agg(F.bitmap_construct_agg("at").alias("bits")))
+
+
+def in_bitmaps(df: DataFrame, slot: Column, maps: DataFrame) -> DataFrame:
+    """Rows whose slot is set in the bitmaps, which are broadcast."""
+    placed = df.withColumn("_slot", slot)
+    at = F.bitmap_bit_position("_slot")
+    byte = F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    return placed.join(
+        F.broadcast(maps), F.bitmap_bucket_number("_slot") == F.col("bitmap")
+    ).filter(is_set).select(*df.columns)
+
+
+def maybe_listed(df: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:
+    """The rows whose key is listed, and a few others whose key shares a hash slot with those.
+
+    Before a join by a shuffle this leaves rows where they are that it would drop. What is
+    broadcast is bounded: a bit per slot, 32 MB if all are taken. A missing key matches a missing
+    one here, so it depends on the join whether it does in the end.
+    """
+    slot = F.pmod(_key_hash(on), F.lit(SLOTS))
+    return in_bitmaps(df, slot, bitmaps(listed.select(slot.alias("slot"))))
+
+
 def join_dimension(facts: DataFrame, dimension: Sized, on: list[str], how: str = "left",
                    limit: int | None = None, salts: int = SALTS,
                    hot: list[int] | None = None) -> DataFrame:

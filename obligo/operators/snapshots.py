@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obligo.functions.keys import fingerprint
-from obligo.operators.joins import BROADCAST_BYTES, Sized, measured_bytes
+from obligo.operators.joins import BROADCAST_BYTES, Sized, maybe_listed, measured_bytes
 from obligo.sinks.tables import stored
 
 KEY = "txn_id"
@@ -93,10 +93,12 @@ def rows_of_keys(df: DataFrame, keys: DataFrame, key: str = KEY,
     """Rows whose key is listed, by stored distinct keys.
 
     The list is measured. Up to ``limit`` bytes it is broadcast and no row is moved; beyond that
-    both sides are shuffled, and adaptive execution splits a key that is hot.
+    bitmaps of the keys' hashes are, and the rows they leave are shuffled with the keys. Adaptive
+    execution splits a key that is hot.
     """
-    fits = Sized(keys, measured_bytes(keys)).fits(limit)
-    return df.join(F.broadcast(keys) if fits else keys, key, "left_semi")
+    if Sized(keys, measured_bytes(keys)).fits(limit):
+        return df.join(F.broadcast(keys), key, "left_semi")
+    return maybe_listed(df, keys, [key]).join(keys, key, "left_semi")
 
 
 def carry_over(old: DataFrame | None, new: DataFrame, key: str = KEY,
@@ -188,7 +190,7 @@ def localized_diff(old: DataFrame, new: DataFrame, by: list[str], algo: str = "x
     for them. The keys found in groups that differ are then compared with all their rows, also
     those in other groups, so an id that spans groups is compared as a whole. The lists of groups
     and of keys are measured: up to ``limit`` bytes they are broadcast to filter the scans, beyond
-    that they are joined by a shuffle.
+    that bitmaps of their hashes are, and only the rows these leave are shuffled.
     """
     if old_prints is None:
         old_prints = snapshot_fingerprint(old, by, algo, key, amount)
@@ -212,6 +214,9 @@ def _listed(rows: DataFrame, name: str) -> Sized:
 
 def _matching(df: DataFrame, listed: Sized, by: list[str], limit: int) -> DataFrame:
     """Rows whose values are listed; a missing value matches a missing one."""
+    fits = listed.fits(limit)
+    if not fits:
+        df = maybe_listed(df, listed.df, by)
     renamed = listed.df.toDF(*[f"_listed_{c}" for c in by])
     matches = reduce(lambda a, b: a & b, [df[c].eqNullSafe(renamed[f"_listed_{c}"]) for c in by])
-    return df.join(F.broadcast(renamed) if listed.fits(limit) else renamed, matches, "left_semi")
+    return df.join(F.broadcast(renamed) if fits else renamed, matches, "left_semi")

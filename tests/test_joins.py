@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from obligo.operators import joins
 from obligo.operators.joins import Sized, heavy_keys, join_dimension, measure
 
 from conftest import plan, rows
@@ -109,3 +110,15 @@ def test_no_salt_where_no_key_is_hot(spark):
                       10**12)
     assert "_salt" not in plan(join_dimension(facts, dimension, ["k"]))
     assert "_salt" not in plan(join_dimension(facts, dimension, ["k"], salts=1))
+
+
+@pytest.mark.parametrize("slots", [1 << 28, 64])
+def test_bitmaps_keep_every_listed_key_and_drop_most_others(spark, monkeypatch, slots):
+    monkeypatch.setattr(joins, "SLOTS", slots)
+    df = spark.range(5000).select(F.when(F.col("id") > 0, F.concat(F.lit("t"), "id")).alias("k"))
+    listed = df.filter("k IS NULL OR k LIKE '%77'").distinct()
+    kept = joins.maybe_listed(df, listed, ["k"])
+    assert rows(kept.join(listed, df.k.eqNullSafe(listed.k), "left_semi")) == rows(listed)
+    assert kept.columns == ["k"] and (kept.count() == listed.count() or slots == 64)
+    assert joins.maybe_listed(df, listed.limit(0), ["k"]).isEmpty()
+    assert "Broadcast" in plan(kept) and "Python" not in plan(kept)

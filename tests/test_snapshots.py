@@ -188,3 +188,11 @@ def test_fingerprint_of_what_was_carried_over_needs_no_join(old, new, by):
 def test_semi_and_anti_joins_shuffle_each_side_once(old, new):
     text = plan(S.new_rows(old.repartition(2), new.repartition(2)).select("txn_id"))
     assert "Cartesian" not in text and "BroadcastNestedLoop" not in text
+
+
+def test_beyond_the_broadcast_only_rows_that_may_be_listed_are_shuffled(old, new):
+    keys = S.distinct_keys(new.filter("txn_id LIKE 't1%'"))
+    found = S.rows_of_keys(old, keys, limit=-1)
+    assert rows(found) == rows(old.join(keys, "txn_id", "left_semi")) != []
+    for df in (found, S.localized_diff(old, new, ["state"], limit=-1)):
+        assert "bitmap" in plan(df).lower()
