@@ -58,9 +58,14 @@ def refresh(spark: SparkSession, root: str, dump: DataFrame, snapshot_date: str,
     prints = f"fingerprints-{'-'.join(by or ['all'])}"
     with store.change(snapshot_date) as change:
         known = known_ids(change, earlier)
-        ids = stored(spark, unknown_keys(dump, known), "new-ids")
-        change.write(TRANSACTIONS, rows_of_keys(dump, ids) if earlier else dump)
-        change.write(IDS, ids, key=KEY, buckets=_buckets(change, earlier, ids))
+        ids = unknown_keys(dump, known)
+        if earlier:
+            ids = stored(spark, ids, "new-ids")
+            change.write(TRANSACTIONS, rows_of_keys(dump, ids))
+            change.write(IDS, ids, key=KEY, buckets=_buckets(change, earlier, ids))
+        else:
+            change.write(TRANSACTIONS, dump, as_dealt=True)
+            _write_first_ids(change, ids, change.rows(TRANSACTIONS, [snapshot_date]), snapshot_date)
         added = change.rows(TRANSACTIONS, [snapshot_date]).drop(DATE)
         change.write(prints, snapshot_fingerprint(added, by))
         own = change.rows(prints, [snapshot_date]).drop(DATE)
@@ -78,11 +83,16 @@ def _ids_of(change: Change, date: str) -> tuple[Part, str]:
     rows = change.rows(TRANSACTIONS, [date]).select(KEY)
     schema = f"{KEY} {rows.schema[KEY].dataType.simpleString()}"
     if part is None:
-        ids = stored(change.store.spark, rows.distinct(), "ids")
-        part = change.write(IDS, ids, date, key=KEY, buckets=_buckets(change, [], ids))
+        part = _write_first_ids(change, rows.distinct(), rows, date)
     return part, schema
 
 
+def _write_first_ids(change: Change, ids: DataFrame, rows: DataFrame, date: str) -> Part:
+    """Writes distinct ids as they leave the shuffle that made them distinct."""
+    return change.write(IDS, ids, date, key=KEY, buckets=_buckets(change, [], rows.select(KEY)),
+                        as_dealt=True)
+
+
 def known_ids(change: Change, dates: list[str]) -> list[DataFrame]:
     """The ids that earlier dates added, one bucketed table per date."""
     return [change.store.bucketed(*_ids_of(change, d), KEY) for d in dates]
@@ -91,14 +101,15 @@ def known_ids(change: Change, dates: list[str]) -> list[DataFrame]:
 def _buckets(change: Change, earlier: list[str], ids: DataFrame) -> int:
     """As many buckets as the store has; for its first ids as many as a task's bytes ask for.
 
-    At least as many as Spark shuffles to, so that distinct ids need no second exchange.
+    Then a multiple of the partitions Spark shuffles to, so that distinct ids, by whose hash both
+    are formed, need no second exchange: every bucket lies in one partition.
     """
     kept = change.state().tables.get(IDS, {})
     for date in earlier:
         if date in kept:
             return kept[date].buckets
     least = int(change.store.spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, -(-measured_bytes(ids) // SHUFFLE_TASK_BYTES))
+    return least * max(1, -(-measured_bytes(ids) // (SHUFFLE_TASK_BYTES * least)))
 
 
 def _held(change: Change, prints: str, dates: list[str], by: list[str] | None,

@@ -27,6 +27,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from obligo.sinks.tables import write_evenly
+
 COMMITS = "_commits"
 DATE = "snapshot_date"
 
@@ -224,11 +226,14 @@ class Change:
         self.parts: dict[tuple[str, str], Part] = {}
 
     def write(self, table: str, df: DataFrame, date: str | None = None, basis: str = "",
-              key: str | None = None, buckets: int = 0) -> Part:
+              key: str | None = None, buckets: int = 0, as_dealt: bool = False) -> Part:
         """Writes the rows of a table and date, by default the change's own, to a new folder.
 
         With ``buckets`` they are stored by the hash of ``key``, else rebalanced into files of
         even size: the job before may have left a hot key in one partition and little in others.
+        ``as_dealt`` is for large rows: those of buckets come from a shuffle by the key to a number
+        of partitions that divides ``buckets``, others are rebalanced only where their files came
+        out uneven, so neither is exchanged once more.
         """
         date, run = date or self.date, uuid4().hex
         folder = f"{table}/{DATE}={date}/run-{run}"
@@ -236,8 +241,12 @@ class Change:
         if buckets:
             name = f"obligo_{run}"
             self.store._named.add(name)
-            (df.repartition(buckets, key).write.option("path", path)
-             .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+            (df if as_dealt else df.repartition(buckets, key)).write.option("path", path).option(
+                "compression", "zstd").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+        elif as_dealt:
+            if not write_evenly(df, path):
+                kept = self.store.spark.read.schema(df.schema).parquet(path)
+                return self.write(table, kept, date, basis)
         else:
             df.hint("rebalance").write.parquet(path)
         part = Part(folder, *self.store._size(folder), basis, buckets)

@@ -106,3 +106,23 @@ def test_latest_opens_one_date(spark, tmp_path):
     assert rows(newest) == [(2, "2020-02")]
     assert all("2020-02" in f for f in newest.inputFiles())
     assert stores.COMMITS in {p.name for p in tmp_path.iterdir()}
+
+
+def test_large_rows_are_written_without_another_exchange(spark, tmp_path, monkeypatch):
+    store = Store(spark, str(tmp_path))
+    dealt = []
+    real = stores.DataFrame.repartition
+    monkeypatch.setattr(stores.DataFrame, "repartition",
+                        lambda self, *a: dealt.append(a) or real(self, *a))
+    ids = spark.range(4000).selectExpr("'t' || id % 1000 AS n").distinct()
+    with store.change("2020-01") as change:
+        part = change.write("ids", ids, key="n", buckets=16, as_dealt=True)
+        even = change.write("even", spark.range(0, 1000, 1, 8), as_dealt=True)
+        uneven = change.write("uneven", spark.range(0, 1000, 1, 8).filter("id < 9 OR id > 600"),
+                              as_dealt=True)
+        assert change.rows("ids").count() == 1000 and part.buckets == 16
+        assert len(list((tmp_path / part.folder).glob("*.parquet"))) <= 16
+        assert len(list((tmp_path / even.folder).glob("*.parquet"))) == 8
+        assert change.rows("uneven").count() == 408
+    assert not dealt and store.damaged() == []
+    assert len(list((tmp_path / uneven.folder).parent.iterdir())) == 1
