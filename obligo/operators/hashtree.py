@@ -3,9 +3,10 @@
 A snapshot is stored in buckets of its key's hash, one folder per bucket. Beside it lies a tree of
 digests: a leaf is the fingerprint of its bucket's rows, a node above the digest of its
 ``FAN_OUT`` children in order, up to one root. Two trees of the same shape are compared from the
-root down; below a node that is the same on both sides nothing is read. The rows of the buckets
-whose leaves differ are then compared as ``snapshot_diff`` does; all rows of a key lie in one
-bucket, so the result is that of the whole snapshots. What is read grows with the buckets that
+root down; below a node that is the same on both sides nothing is read. The buckets whose leaves
+differ are cut into cells by the same hash, and the cells compared by fingerprint where they lie;
+the rows of cells that differ are then compared as ``snapshot_diff`` does. All rows of a key lie in
+one bucket and cell, so the result is that of the whole snapshots. What is read grows with the buckets that
 hold changes, not with the snapshots.
 """
 
@@ -15,10 +16,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obligo.functions.keys import bucket, fingerprint
-from obligo.operators.snapshots import AMOUNT, KEY, snapshot_diff
+from obligo.operators.joins import bitmaps, in_bitmaps
+from obligo.operators.snapshots import (
+    AMOUNT,
+    KEY,
+    compare_fingerprints,
+    snapshot_diff,
+    snapshot_fingerprint,
+)
 
 BUCKETS, FAN_OUT = 4096, 16
 BUCKET = "key_bucket"
+# Rows of a cell and, over all buckets, cells at most.
+CELL_ROWS, MOST_CELLS = 64, 1 << 20
+CELL = "key_cell"
 
 
 def write_tree(df: DataFrame, path: str, key: str = KEY, amount: str = AMOUNT,
@@ -29,7 +40,8 @@ def write_tree(df: DataFrame, path: str, key: str = KEY, amount: str = AMOUNT,
     """
     spark, rows, nodes = df.sparkSession, f"{path}/rows", f"{path}/tree"
     placed = df.withColumn(BUCKET, bucket(F.col(key), buckets))
-    placed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(rows)
+    placed.hint("rebalance", BUCKET).write.option("compression", "zstd").partitionBy(
+        BUCKET).parquet(rows)
     # Taken of what was written, so that the tree is that of the rows whatever is computed again.
     kept = spark.read.schema(placed.schema).parquet(rows)
     level = kept.groupBy(F.col(BUCKET).alias("node")).agg(
@@ -99,5 +111,17 @@ def tree_diff(spark: SparkSession, old: str, new: str, key: str = KEY, amount: s
               buckets: int = BUCKETS) -> DataFrame:
     """The rows of ``snapshot_diff`` of two stored snapshots."""
     differing = differing_buckets(spark, old, new, buckets)
-    return snapshot_diff(_rows_of(spark, old, differing, key, amount),
-                         _rows_of(spark, new, differing, key, amount), key, amount)
+    sides = [_rows_of(spark, path, differing, key, amount) for path in (old, new)]
+    # The cells of a bucket divide it, so a task has those of the few buckets it reads.
+    per_bucket = max(side.count() for side in sides) // (
+        CELL_ROWS * max(len(differing), 1))
+    cells = buckets * min(max(per_bucket, 1), max(MOST_CELLS // buckets, 1))
+    cell = bucket(F.col(key), cells)
+    prints = [snapshot_fingerprint(side.withColumn(CELL, cell), [CELL], key=key, amount=amount)
+              for side in sides]
+    changed = compare_fingerprints(*prints, [CELL]).filter(F.col("status") == "changed")
+    # Of bounded size: a bit per cell.
+    found = bitmaps(changed.select(F.col(CELL).cast("long").alias("slot")))
+    maps = spark.createDataFrame(found.collect(), found.schema)
+    return snapshot_diff(
+        *[in_bitmaps(side, cell.cast("long"), maps) for side in sides], key, amount)

@@ -78,3 +78,20 @@ def test_one_bucket_and_an_empty_side(spark, tmp_path):
     write_tree(old.filter("txn_id = 't1'"), f"{tmp_path}/new", buckets=1)
     found = tree_diff(spark, f"{tmp_path}/old", f"{tmp_path}/new", buckets=1)
     assert rows(found) == rows(snapshot_diff(old, old.filter("txn_id = 't1'")))
+
+
+@pytest.mark.parametrize("rows_of_cell, most", [(1, 1 << 20), (1, 128), (64, 1 << 20)])
+def test_only_cells_that_differ_are_compared_row_by_row(spark, trees, monkeypatch, rows_of_cell, most):
+    monkeypatch.setattr(hashtree, "CELL_ROWS", rows_of_cell)
+    monkeypatch.setattr(hashtree, "MOST_CELLS", most)
+    compared = []
+    real = hashtree.snapshot_diff
+    monkeypatch.setattr(hashtree, "snapshot_diff",
+                        lambda old, new, *names: compared.append(old.count()) or real(old, new, *names))
+    old = snapshot(spark)
+    found = tree_diff(spark, f"{trees}/old", f"{trees}/new", buckets=BUCKETS)
+    assert rows(found) == rows(snapshot_diff(old, changed(old)))
+    in_buckets = hashtree._rows_of(
+        spark, f"{trees}/old",
+        differing_buckets(spark, f"{trees}/old", f"{trees}/new", BUCKETS), "txn_id", "amount")
+    assert len(compared) == 1 and compared[0] < in_buckets.count() or rows_of_cell == 64
