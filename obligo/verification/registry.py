@@ -27,6 +27,7 @@ from obligo.plans.refresh import TRANSACTIONS, refresh
 from obligo.session import scratch_folder
 from obligo.sinks import append, tables
 from obligo.sinks.store import Store
+from obligo.sinks.tables import stored
 from obligo.sources import catalogue
 from obligo.sources.dimensions import group_labels, industry_labels, state_demographics
 from obligo.sources.legislators import read_legislators
@@ -41,6 +42,7 @@ CHUNKS = 100
 ROWS_PER_CHUNK = 1000
 DOCUMENTS_PER_FILE = 5000
 COPY_PIECES = 8
+COPY_CELLS = 4096
 TREE_BUCKETS = 256
 TERM_YEARS = 4
 JANUARY, FEBRUARY = "2020-01-05", "2020-02-05"
@@ -179,7 +181,7 @@ def copy_of(s: Source, sources: dict[str, DataFrame]) -> str:
     plan = migration.migration_plan(**catalogue_of(s), rows_per_chunk=ROWS_PER_CHUNK)
 
     def read(name: str, key: list[str], pieces: int) -> DataFrame:
-        return sources[name].repartition(pieces, *key)
+        return sources[name].coalesce(pieces)
 
     def write(df: DataFrame, name: str, chunks: int, key: list[str]) -> None:
         tables.write_files(df, f"{root}/{name}", "overwrite")
@@ -197,6 +199,29 @@ def copied_table(s: Source) -> DataFrame:
     return copied.withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss"))
 
 
+def compared_copy(source: DataFrame, copied: DataFrame) -> DataFrame:
+    """Rows of a copy, and how many differ from the source or are there more or less often.
+
+    Rows fall into cells by a hash of all their values. A cell's count and hash sum are added up
+    where the rows are read; only rows of cells in which the two sides differ are compared one by
+    one.
+    """
+    both = source.withColumn("_side", F.lit(1)).unionByName(copied.withColumn("_side", F.lit(-1)))
+    # A null leaves the hash as it is, so it also says which values are missing.
+    row = F.xxhash64(*source.columns, *[F.col(c).isNull() for c in source.columns])
+    cell, h = F.pmod(row, F.lit(COPY_CELLS)), row.cast("decimal(20,0)")
+    cells = stored(source.sparkSession, both.groupBy(cell.alias("cell")).agg(
+        F.sum("_side").alias("d"), F.count(F.when(F.col("_side") < 0, 1)).alias("n"),
+        F.sum(F.when(F.col("_side") < 0, -h).otherwise(h)).alias("h")), "cells")
+    differing = [r["cell"] for r in cells.filter("d <> 0 OR h <> 0").select("cell").collect()]
+    rows = both.filter(cell.isin(differing)).groupBy(*source.columns).agg(
+        F.sum("_side").alias("d"))
+    none = F.lit(0).cast("long")
+    return cells.select("n", none.alias("differs")).unionByName(
+        rows.select(none.alias("n"), F.abs("d").alias("differs"))).agg(
+        F.sum("n").alias("n_rows"), F.sum("differs").alias("n_differing"))
+
+
 def copied_tables(s: Source) -> DataFrame:
     """Every table with a primary key, copied: rows, columns, and rows that differ from the source."""
     names = [t for t, (_, kind) in KEYS.items() if kind == "PRIMARY KEY"]
@@ -204,13 +229,9 @@ def copied_tables(s: Source) -> DataFrame:
     union = None
     for name in names:
         source, copied = s.table(name), s.spark.read.parquet(f"{root}/{name}")
-        both = source.withColumn("_side", F.lit(1)).unionByName(
-            copied.withColumn("_side", F.lit(-1)))
-        part = both.groupBy(*source.columns).agg(
-            F.sum("_side").alias("d"), F.count(F.when(F.col("_side") < 0, 1)).alias("n")).agg(
-            F.lit(name).alias("table_name"), F.sum("n").alias("n_rows"),
-            F.lit(len(copied.columns)).alias("n_columns"),
-            F.sum(F.abs("d")).alias("n_differing"))
+        part = compared_copy(source, copied).select(
+            F.lit(name).alias("table_name"), "n_rows",
+            F.lit(len(copied.columns)).alias("n_columns"), "n_differing")
         union = part if union is None else union.unionByName(part)
     return union
 
