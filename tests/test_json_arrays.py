@@ -4,7 +4,7 @@ import random
 import pytest
 from obligo.sources.json_arrays import json_documents, read_json_arrays
 
-from conftest import rows
+from conftest import plan, rows
 
 SCHEMA = "id long, name string, nested struct<a:string,list:array<struct<x:int,y:string>>>"
 TEXTS = ["plain", "}{", "a \"quoted\" {brace}", "\\", "\\\\\"}", "[{},{}]", "é} \n", "", None,
@@ -50,3 +50,9 @@ def test_several_files_lines_and_empty_arrays(spark, tmp_path, small_splits):
     found = json_documents(spark, str(tmp_path)).collect()
     got = sorted((json.loads(r.document) for r in found), key=str)
     assert got == sorted(made(1, 1) + made(150, 2) + lines, key=str)
+
+
+def test_texts_are_shuffled_twice_and_never_joined(spark, tmp_path):
+    (tmp_path / "array.json").write_text(json.dumps(made(20)))
+    text = plan(json_documents(spark, str(tmp_path)))
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
