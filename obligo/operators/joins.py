@@ -101,14 +101,17 @@ def bitmaps(slots: DataFrame, slot: str = "slot") -> DataFrame:
 
 
 def in_bitmaps(df: DataFrame, slot: Column, maps: DataFrame) -> DataFrame:
-    """Rows whose slot is set in the bitmaps, which are broadcast."""
+    """Rows whose slot is set in the bitmaps, which are broadcast.
+
+    A semi join: Spark would move a later one below an inner join, and its shuffle with it.
+    """
     placed = df.withColumn("_slot", slot)
     at = F.bitmap_bit_position("_slot")
     byte = F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))
     is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
     return placed.join(
-        F.broadcast(maps), F.bitmap_bucket_number("_slot") == F.col("bitmap")
-    ).filter(is_set).select(*df.columns)
+        F.broadcast(maps), (F.bitmap_bucket_number("_slot") == F.col("bitmap")) & is_set, "left_semi"
+    ).select(*df.columns)
 
 
 def maybe_listed(df: DataFrame, listed: DataFrame, on: list[str]) -> DataFrame:

@@ -196,3 +196,5 @@ def test_beyond_the_broadcast_only_rows_that_may_be_listed_are_shuffled(old, new
     assert rows(found) == rows(old.join(keys, "txn_id", "left_semi")) != []
     for df in (found, S.localized_diff(old, new, ["state"], limit=-1)):
         assert "bitmap" in plan(df).lower()
+    joins = [line.lower() for line in plan(found).splitlines() if "LeftSemi" in line]
+    assert ["bitmap" in line for line in joins][:2] == [False, True]  # the upper join comes first
