@@ -14,9 +14,9 @@ The gradient is the difference of the two sums; the step takes the logarithm of
 that a sum of few observations and one of many move the weights alike. Sums do not depend on how
 the documents are split, so neither do the scores. At the start, with all weights zero, the
 expectation follows from the counts, so the first round needs no softmax; every later one expects
-by the weights so far. ``rates`` has a step for each round. The rounds read the tokens of the
-training documents as numbers, which are stored once. Texts are scored in sparse numpy batches, a
-feature row looked up for each token.
+by the weights so far. ``rates`` has a step for each round. The rounds and the scoring read the
+tokens of the documents as numbers, which are stored once. Texts are scored in sparse numpy batches,
+a feature row looked up for each token.
 
 The feature rows grow with the square root of the number of distinct tokens, up to a bound that
 keeps the broadcast of the weights at 300 MB. The KNOWN most frequent tokens are broadcast (a fixed
@@ -30,10 +30,11 @@ result.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +46,6 @@ from obligo.llm.common import (
     byte_texts,
     checksum_mod,
     documents,
-    joined_blocks,
     prepare,
     stretches,
     summed_blocks,
@@ -74,11 +74,14 @@ MOST_EXPONENT = 60.0  # far below what 32-bit floats hold
 BATCH_TOKENS = 65_536
 # Tokens whose sums one task adds up at most.
 TASK_TOKENS = 100_000_000
-# Tokens a worker remembers.
+# Long tokens a worker remembers; of shorter ones many are hashed at once.
 REMEMBERED = 300_000
+LONG_BYTES = 32
 # Bytes of the texts whose tokens are in one array.
 FLAT_BYTES = 2_000_000
+RANK_BYTES = 4
 BLOCK_ROWS = 256
+STEP_ROWS = 4096
 
 
 # -- tokens -------------------------------------------------------------------------------
@@ -90,16 +93,93 @@ def key_of(token: bytes) -> int:
     return -((xxh64_intdigest(token) >> 13 << 12 | ending) + 1)
 
 
+# Of XXH64.
+PRIMES = [np.uint64(x) for x in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63,
+    0x27D4EB2F165667C5)]
+WITHIN_WORDS = np.ones(256, bool)
+WITHIN_WORDS[np.frombuffer(b" \t\n\v\f\r", np.uint8)] = False
+
+
 def ending_of(keys: np.ndarray) -> np.ndarray:
     return (-keys - 1) & (ENDINGS - 1)
 
 
+def hashes_of(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """XXH64 of byte strings in ``data`` that are shorter than LONG_BYTES, all at once.
+
+    The hash takes eight bytes at a time, then four, then single ones. ``data`` goes on for eight
+    bytes or more after the last string.
+    """
+    eights = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    fours = np.ndarray(len(data) - 3, "<u4", data, strides=(1,))
+
+    def turned(x: np.ndarray, bits: int) -> np.ndarray:
+        return x << np.uint64(bits) | x >> np.uint64(64 - bits)
+
+    h = lengths.astype(np.uint64) + PRIMES[4]
+    for size, read in ((8, eights), (4, fours), (1, data)):
+        for k in range(LONG_BYTES // 8 - 1 if size == 8 else 4 // size):
+            # How far into the string the reads of this size begin.
+            done = k * size + (0 if size == 8 else lengths & -8 if size == 4 else lengths & -4)
+            some = np.flatnonzero(lengths >= done + size)
+            if not len(some):
+                break
+            part = read[(starts + done)[some]].astype(np.uint64)
+            if size == 8:
+                part = turned(part * PRIMES[1], 31) * PRIMES[0]
+                h[some] = turned(h[some] ^ part, 27) * PRIMES[0] + PRIMES[3]
+            elif size == 4:
+                h[some] = turned(h[some] ^ part * PRIMES[0], 23) * PRIMES[1] + PRIMES[2]
+            else:
+                h[some] = turned(h[some] ^ part * PRIMES[4], 11) * PRIMES[0]
+    h = (h ^ h >> np.uint64(33)) * PRIMES[1]
+    h = (h ^ h >> np.uint64(29)) * PRIMES[2]
+    return h ^ h >> np.uint64(32)
+
+
 class Numbers(dict):
     """Number of a token: its rank if it is known, else its key."""
 
     def __init__(self, ranks: dict[int, int] | None = None):
         super().__init__()
         self.ranks = ranks or {}
+        known = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(known)
+        self.sorted = known[order]
+        self.rank = np.fromiter(self.ranks.values(), np.int64, len(known))[order]
+
+    def of(self, texts: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """How many tokens every text has, and the numbers of all of them."""
+        # The end token is the one line feed that counts; spaces keep it apart from the words.
+        joined = b"".join([y for x in texts for y in (x, b" \n ")]).translate(LOWER_BYTES)
+        data = np.frombuffer(joined + bytes(8), np.uint8)
+        sizes = np.fromiter((len(x) + 3 for x in texts), np.int64)
+        ends = np.cumsum(sizes) - 2
+        inside = WITHIN_WORDS[data]
+        inside[ends] = True
+        inside[len(joined):] = False
+        edges = np.flatnonzero(np.diff(inside, prepend=False))
+        starts, stops = edges[::2], edges[1::2]
+        lengths = stops - starts
+        keys = self.keys(data, starts, lengths)
+        if len(self.sorted):
+            at = np.minimum(np.searchsorted(self.sorted, keys), len(self.sorted) - 1)
+            keys = np.where(self.sorted[at] == keys, self.rank[at], keys)
+        for i in np.flatnonzero(lengths >= LONG_BYTES):
+            keys[i] = self[joined[starts[i]:stops[i]]]
+        return np.diff(np.searchsorted(starts, ends), prepend=-1), keys
+
+    @staticmethod
+    def keys(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The same as ``key_of`` for every token shorter than LONG_BYTES."""
+        hashed = hashes_of(data, starts, np.minimum(lengths, LONG_BYTES - 1))
+        ending = hashed % np.uint64(ENDINGS)
+        some = np.flatnonzero(lengths > ENDING_BYTES)
+        ending[some] = hashes_of(data, (starts + lengths - ENDING_BYTES)[some],
+                                 np.full(len(some), ENDING_BYTES)) % np.uint64(ENDINGS)
+        hashed = hashed >> np.uint64(13) << np.uint64(12)
+        return -((hashed | ending).astype(np.int64) + 1)
 
     def __missing__(self, token: bytes) -> int:
         key = key_of(token)
@@ -110,12 +190,6 @@ class Numbers(dict):
         return number
 
 
-def tokens_of(data: bytes) -> list[bytes]:
-    words = data.translate(LOWER_BYTES).split()
-    words.append(END)
-    return words
-
-
 # -- counts -------------------------------------------------------------------------------
 
 
@@ -134,15 +208,14 @@ def counts_of(train: DataFrame) -> DataFrame:
                 "pair": np.zeros(len(keys), bool), "key": keys, "n": n.astype(np.int64)})
 
         for batch in batches:
-            follow = [np.zeros(0, np.int64)]
-            for data in byte_texts(batch.column(0)):
-                words = tokens_of(data)
-                keys = np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))
+            for texts in stretches(batch.column(0), FLAT_BYTES):
+                lengths, keys = numbers.of(list(byte_texts(texts)))
                 ends = ending_of(keys)
-                follow.append(ends[1:] * FOLLOWED + ends[:-1] % FOLLOWED)
+                follow = ends[1:] * FOLLOWED + ends[:-1] % FOLLOWED
+                within = np.delete(follow, np.cumsum(lengths)[:-1] - 1)  # none across two texts
+                pairs += np.bincount(within, minlength=len(pairs))
                 parts.append(keys)
                 held += len(keys)
-            pairs += np.bincount(np.concatenate(follow), minlength=len(pairs))
             if held > 4_000_000:
                 yield emit()
                 parts, held = [], 0
@@ -235,15 +308,20 @@ class Vocabulary:
 
     def key_of_number(self, numbers: np.ndarray) -> np.ndarray:
         """The key of every token, from its rank or its key."""
-        if not len(self.keys):
-            return numbers
-        return np.where(numbers >= 0, self.keys[np.maximum(numbers, 0)], numbers)
+        return self.looked_up(self.keys, numbers, lambda rare: rare)
 
     def class_of(self, numbers: np.ndarray) -> np.ndarray:
-        rare = HEADS + self.cluster[ending_of(np.minimum(numbers, -1))]
-        if not len(self.classes):
-            return rare
-        return np.where(numbers >= 0, self.classes[np.maximum(numbers, 0)], rare)
+        return self.looked_up(
+            self.classes, numbers, lambda rare: HEADS + self.cluster[ending_of(rare)])
+
+    @staticmethod
+    def looked_up(of_ranks: np.ndarray, numbers: np.ndarray, of_keys: Callable) -> np.ndarray:
+        if not len(of_ranks):
+            return of_keys(numbers)
+        found = np.take(of_ranks, numbers, mode="clip")
+        rare = np.flatnonzero(numbers < 0)
+        found[rare] = of_keys(numbers[rare])
+        return found
 
 
 # -- the model ----------------------------------------------------------------------------
@@ -255,23 +333,26 @@ def feature_rows(keys: np.ndarray, begins: np.ndarray, n_rows: int) -> np.ndarra
     Before a text begins there is a symbol of its own.
     """
     symbols = keys.astype(np.uint64)
-    place = np.arange(len(keys)) - np.repeat(begins, np.diff(np.r_[begins, len(keys)]))
     before = []
     for k in (1, 2, 3):
         shifted = np.zeros_like(symbols)
         shifted[k:] = symbols[:-k] if k < len(symbols) + 1 else 0
-        shifted[place < k] = 0
+        for first in range(k):  # of the next text where one is short, which has none before either
+            shifted[begins[begins + first < len(keys)] + first] = 0
         before.append(shifted)
     one, two, three = before
     mix, other = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
     shift = np.uint64(64 - (n_rows.bit_length() - 1))
 
-    def row(value: np.ndarray) -> np.ndarray:
-        value = value * mix
-        return ((value ^ value >> np.uint64(32)) * other >> shift).astype(np.int32)
-
-    return np.stack([row(one + np.uint64(1)), row(one * mix ^ two * other + np.uint64(7)),
-                     row(two + np.uint64(1 << 40)), row(three + np.uint64(1 << 41))], 1)
+    rows = np.empty((len(keys), FEATURES), np.int32)
+    for j, value in enumerate((one + np.uint64(1), one * mix ^ two * other + np.uint64(7),
+                               two + np.uint64(1 << 40), three + np.uint64(1 << 41))):
+        value *= mix
+        value ^= value >> np.uint64(32)
+        value *= other
+        value >>= shift
+        rows[:, j] = value
+    return rows
 
 
 class Model:
@@ -282,17 +363,18 @@ class Model:
         self.prior = logs[:BRANCHES], logs[BRANCHES:].reshape(BRANCHES, INNER)
         self.weights = (np.ascontiguousarray(weights[:, :BRANCHES]),
                         np.ascontiguousarray(weights[:, BRANCHES:]).reshape(-1, INNER))
-        self.small = np.abs(weights).max(initial=0) * FEATURES < MOST_EXPONENT
+        self.small = max(weights.max(initial=0), -weights.min(initial=0)) * FEATURES < MOST_EXPONENT
 
     def logits(self, rows: np.ndarray, branch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of all branches, and of the classes within the given branch, one row per token."""
-        outer = np.repeat(self.prior[0][None], len(rows), 0)
-        inner = np.take(self.prior[1], branch, 0)
+        outer = np.empty((len(rows), BRANCHES), np.float32)
+        outer[:] = self.prior[0]
+        inner = np.take(self.prior[1], branch, 0, mode="clip")
         found = np.empty_like(outer)
         for j in range(FEATURES):
-            outer += np.take(self.weights[0], rows[:, j], 0, found, "clip")
-            inner += np.take(
-                self.weights[1], rows[:, j] * np.int32(BRANCHES) + branch, 0, found, "clip")
+            row = rows[:, j].astype(np.int64)
+            outer += np.take(self.weights[0], row, 0, found, "clip")
+            inner += np.take(self.weights[1], row * BRANCHES + branch, 0, found, "clip")
         if not self.small:  # exponents would overflow
             outer -= outer.max(1, keepdims=True)
             inner -= inner.max(1, keepdims=True)
@@ -302,8 +384,10 @@ class Model:
         """The same as probabilities."""
         parts = self.logits(rows, branch)
         for part in parts:
-            np.exp(part, out=part)
-            part /= part.sum(1, keepdims=True)
+            total = np.exp(part, out=part).reshape(-1)
+            while len(total) > len(rows):  # neighbours, faster than a sum over short rows
+                total = total[::2] + total[1::2]
+            part /= total[:, None]
         return parts
 
     def logs(self, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -319,35 +403,44 @@ class Model:
 
 def observed(rows: np.ndarray, classes: np.ndarray, inner: np.ndarray) -> None:
     """Adds how often each feature row was followed by each class; one row per row and branch."""
+    ones = np.ones(len(rows))
     for j in range(FEATURES):
-        pairs, n = np.unique(rows[:, j].astype(np.int64) * CLASSES + classes, return_counts=True)
-        inner.reshape(-1)[pairs] += n
+        np.add.at(inner.reshape(-1), rows[:, j].astype(np.int64) * CLASSES + classes, ones)
 
 
 def expected(model: Model, rows: np.ndarray, classes: np.ndarray, outer: np.ndarray,
              inner: np.ndarray) -> None:
     """Adds how often the model expects each branch, and each class of a branch that came.
 
-    ``outer`` has a row per feature row, ``inner`` one per feature row and branch. What a batch
-    has of a row is added up before it is put in its place, which touches only rows that were met.
+    ``outer`` has a row per feature row, ``inner`` one per feature row and branch. Both are added to
+    in place, two outcomes at a time as the parts of a complex number: numpy adds at given places
+    several times faster in one dimension than by rows, and without the sort that distinct rows take.
     """
+    pairs = INNER // 2  # as many as BRANCHES // 2
+    sums = [x.reshape(-1).view(np.complex128) for x in (outer, inner)]
+    places = np.empty((BATCH_TOKENS, pairs), np.int64)
     for s in range(0, len(rows), BATCH_TOKENS):
         part, branch = rows[s:s + BATCH_TOKENS], classes[s:s + BATCH_TOKENS] // INNER
-        of_branch, of_class = (x.T.astype(np.float64) for x in model.probabilities(part, branch))
+        found = [x.astype(np.float64).reshape(-1).view(np.complex128)
+                 for x in model.probabilities(part, branch)]
+        places = places[:len(part)]
         for j in range(FEATURES):
-            met, at = np.unique(
-                part[:, j] * np.int32(BRANCHES) + branch.astype(np.int32), return_inverse=True)
-            inner[met] += np.stack([np.bincount(at, x, len(met)) for x in of_class], 1)
-            first = np.flatnonzero(np.diff(met // BRANCHES, prepend=-1))
-            sums = np.stack([np.bincount(at, x, len(met)) for x in of_branch], 1)
-            outer[met[first] // BRANCHES] += np.add.reduceat(sums, first, axis=0)
+            row = part[:, j].astype(np.int64)
+            for total, at, values in zip(sums, (row, row * BRANCHES + branch), found):
+                at = at * pairs
+                for k in range(pairs):
+                    np.add(at, k, out=places[:, k])
+                np.add.at(total, places.reshape(-1), values)
 
 
 def expected_at_start(seen: np.ndarray, prior: np.ndarray) -> np.ndarray:
     """What a model without weights expects: the prior, as often as a feature was met."""
-    met = np.repeat(seen[:, :BRANCHES], INNER, axis=1)
-    return np.c_[seen[:, :BRANCHES].sum(1, keepdims=True) * prior[:BRANCHES],
-                 met * prior[BRANCHES:]]
+    sums = np.empty(seen.shape, np.float32)
+    for s in range(0, len(seen), STEP_ROWS):
+        of_branch = seen[s:s + STEP_ROWS, :BRANCHES]
+        sums[s:s + STEP_ROWS, :BRANCHES] = of_branch.sum(1, keepdims=True) * prior[:BRANCHES]
+        sums[s:s + STEP_ROWS, BRANCHES:] = np.repeat(of_branch, INNER, axis=1) * prior[BRANCHES:]
+    return sums
 
 
 def step(seen: np.ndarray, model_sums: np.ndarray, prior: np.ndarray, rate: float,
@@ -359,51 +452,69 @@ def step(seen: np.ndarray, model_sums: np.ndarray, prior: np.ndarray, rate: floa
     that fit a rare feature's few observations alone.
     """
     start = PRIOR_WEIGHT * prior
-    return (rate * np.log((seen + start) / (model_sums + start * np.exp(weights)))).astype(np.float32)
+    change = np.empty(seen.shape, np.float32)
+    for s in range(0, len(seen), STEP_ROWS):  # what is made of a matrix of doubles stays small
+        part = slice(s, s + STEP_ROWS)
+        so_far = np.exp(weights[part] if isinstance(weights, np.ndarray) else weights)
+        change[part] = rate * np.log((seen[part] + start) / (model_sums[part] + start * so_far))
+    return change
 
 
 class Flat:
     """The tokens of a batch of texts in one array."""
 
     def __init__(self, texts: list[bytes], numbers: Numbers, vocabulary: Vocabulary):
-        self.place(*numbers_of(texts, numbers), vocabulary)
+        self.place(*numbers.of(texts), vocabulary)
 
     @classmethod
-    def of_numbers(cls, lists: pa.ListArray, vocabulary: Vocabulary) -> Flat:
-        """The same from the numbers of every text."""
+    def of_numbers(cls, known: pa.Array, rare: pa.Array, vocabulary: Vocabulary) -> Flat:
+        """The same from the numbers of every text, as ``numbered`` has them."""
         flat = cls.__new__(cls)
-        flat.place(np.diff(lists.offsets.to_numpy()).astype(np.int64),
-                   lists.flatten().to_numpy(zero_copy_only=False), vocabulary)
+        numbers = np.frombuffer(b"".join(known.to_pylist()), np.int32).astype(np.int64)
+        numbers[numbers < 0] = np.frombuffer(b"".join(rare.to_pylist()), np.int64)
+        lengths = pc.binary_length(known).to_numpy().astype(np.int64) // RANK_BYTES
+        flat.place(lengths, numbers, vocabulary)
         return flat
 
     def place(self, lengths: np.ndarray, numbers: np.ndarray, vocabulary: Vocabulary) -> None:
         self.lengths, self.numbers = lengths, numbers
-        self.begins = np.r_[0, np.cumsum(lengths)[:-1]].astype(np.int64)
+        self.begins = np.cumsum(lengths) - lengths
         self.classes = vocabulary.class_of(numbers)
         self.rows = feature_rows(
             vocabulary.key_of_number(numbers), self.begins, vocabulary.rows)
 
 
-def numbers_of(texts: list[bytes], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
-    """How many tokens every text has, and the numbers of all of them."""
-    found = [tokens_of(x) for x in texts]
-    lengths = np.array([len(x) for x in found], np.int64)
-    return lengths, np.fromiter(
-        (n for x in found for n in map(numbers.__getitem__, x)), np.int64, int(lengths.sum()))
+def byte_lists(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Stretches of an array between edges, as bytes."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [
+        None, pa.py_buffer((edges * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
 
 
-def numbered(train: DataFrame, shared: Broadcast) -> DataFrame:
-    """The tokens of every training document as numbers, for all rounds."""
+def numbered(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """The documents with the tokens of their texts as numbers, in place of the texts.
+
+    ``known`` has a 32-bit rank per token, -1 if it is not among the known; ``rare`` has the 64-bit
+    keys of these. Bytes pass the JVM as they are, arrays number by number.
+    """
+    kept = [c for c in docs.columns if c != "text"]
+    schema = docs.select(*kept).withColumn("known", F.lit(b"")).withColumn("rare", F.lit(b"")).schema
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = Numbers(shared.value.ranks())
         for batch in batches:
+            at_row = 0
             for texts in stretches(batch.column(0), FLAT_BYTES):
-                lengths, found = numbers_of(list(byte_texts(texts)), numbers)
-                yield pa.RecordBatch.from_pydict({"numbers": pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(found))})
+                lengths, found = numbers.of(list(byte_texts(texts)))
+                edges = np.r_[0, np.cumsum(lengths)]
+                at_rare = np.flatnonzero(found < 0)
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(at_row, len(texts)) for c in batch.columns[1:]),
+                     byte_lists(np.maximum(found, -1).astype(np.int32), edges),
+                     byte_lists(found[at_rare], np.searchsorted(at_rare, edges))],
+                    [*kept, "known", "rare"])
+                at_row += len(texts)
 
-    return train.select("text").mapInArrow(over, "numbers array<bigint>")
+    return docs.select("text", *kept).mapInArrow(over, schema)
 
 
 def corpus_sums(spark: SparkSession, train: DataFrame, shared: Broadcast,
@@ -423,7 +534,7 @@ def corpus_sums(spark: SparkSession, train: DataFrame, shared: Broadcast,
         outer = np.zeros((vocabulary.rows, BRANCHES))
         inner = np.zeros((vocabulary.rows * BRANCHES, INNER))
         for batch in batches:
-            flat = Flat.of_numbers(batch.column(0), vocabulary)
+            flat = Flat.of_numbers(batch.column(0), batch.column(1), vocabulary)
             if model is None:
                 observed(flat.rows, flat.classes, inner)
             else:
@@ -435,18 +546,25 @@ def corpus_sums(spark: SparkSession, train: DataFrame, shared: Broadcast,
             yield pa.RecordBatch.from_pandas(
                 array_blocks(total, BLOCK_ROWS).astype({"block": "int32"}), preserve_index=False)
 
-    blocks = train.select("numbers").coalesce(tasks).mapInArrow(over, "block int, value binary")
-    total = joined_blocks(summed_blocks(blocks).collect(), vocabulary.rows * OUTCOMES)
+    blocks = train.select("known", "rare").coalesce(tasks).mapInArrow(over, "block int, value binary")
+    total = np.zeros((vocabulary.rows, OUTCOMES), np.float32)
+    for r in summed_blocks(blocks).toLocalIterator():  # the driver has one partition beside the sums
+        first = r["block"] * BLOCK_ROWS
+        total[first:first + BLOCK_ROWS] = np.frombuffer(r["value"], np.float32).reshape(-1, OUTCOMES)
     if current is not None:
         current.destroy()
-    return total.reshape(vocabulary.rows, OUTCOMES)
+    return total
 
 
 def trained_weights(spark: SparkSession, train: DataFrame, shared: Broadcast,
                     rates: tuple[float, ...] = RATES) -> np.ndarray:
-    """The feature weights after all rounds, one per rate."""
+    """The feature weights after all rounds, one per rate.
+
+    ``train`` has texts or, where these are stored already, their numbers.
+    """
     prior = shared.value.prior
-    found = stored(spark, numbered(train, shared), "train-numbers")
+    found = train if "known" in train.columns else stored(
+        spark, numbered(train.select("text"), shared), "numbers")
     seen = corpus_sums(spark, found, shared)
     weights = step(seen, expected_at_start(seen, prior), prior, rates[0])
     for rate in rates[1:]:
@@ -465,43 +583,40 @@ def scored(spark: SparkSession, docs: DataFrame,
     counts = stored(spark, counts_of(train), "token-counts")
     vocabulary = Vocabulary(spark, counts)
     shared = spark.sparkContext.broadcast(vocabulary)
-    weights = spark.sparkContext.broadcast(trained_weights(spark, train, shared, rates))
+    found = stored(spark, numbered(rows, shared), "numbers")
+    weights = spark.sparkContext.broadcast(
+        trained_weights(spark, found.filter("NOT held_out"), shared, rates))
 
     def over(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
         learned = Model(vocabulary.prior, weights.value)
-        numbers = Numbers(vocabulary.ranks())
         base = np.r_[vocabulary.base, 0.0]
         inside = np.r_[vocabulary.inside, 0.0]
         for batch in batches:
-            at_row = 0
-            for texts in stretches(batch.column(1), FLAT_BYTES):
-                flat = Flat(list(byte_texts(texts)), numbers, vocabulary)
-                s, e = at_row, at_row + len(texts)
-                at_row = e
-                n, rare = flat.numbers, flat.numbers < 0
-                at = np.where(rare, len(base) - 1, n)  # the added last place counts nothing
-                model = inside[at] - np.where(rare, vocabulary.outside[flat.classes], 0.0)
-                for i in range(0, len(n), BATCH_TOKENS):
-                    logs = learned.logs(flat.rows[i:i + BATCH_TOKENS],
-                                        flat.classes[i:i + BATCH_TOKENS])
-                    model[i:i + BATCH_TOKENS] += logs / np.log(10)
-                at_rare = np.flatnonzero(rare)
-                edges = np.searchsorted(at_rare, np.r_[flat.begins, len(n)])
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column(0)[s:e], "held_out": batch.column(2)[s:e],
-                    "n_tokens": flat.lengths,
-                    "n_found": flat.lengths - np.diff(edges),
-                    "base_part": np.add.reduceat(base[at], flat.begins),
-                    "model_part": np.add.reduceat(model, flat.begins),
-                    "rare": pa.ListArray.from_arrays(
-                        pa.array(edges, pa.int32()), pa.array(n[at_rare])),
-                })
+            flat = Flat.of_numbers(batch.column(2), batch.column(3), vocabulary)
+            n, rare = flat.numbers, flat.numbers < 0
+            at = np.where(rare, len(base) - 1, n)  # the added last place counts nothing
+            model = inside[at] - np.where(rare, vocabulary.outside[flat.classes], 0.0)
+            for i in range(0, len(n), BATCH_TOKENS):
+                logs = learned.logs(flat.rows[i:i + BATCH_TOKENS],
+                                    flat.classes[i:i + BATCH_TOKENS])
+                model[i:i + BATCH_TOKENS] += logs / np.log(10)
+            at_rare = np.flatnonzero(rare)
+            edges = np.searchsorted(at_rare, np.r_[flat.begins, len(n)])
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column(0), "held_out": batch.column(1),
+                "n_tokens": flat.lengths,
+                "n_found": flat.lengths - np.diff(edges),
+                "base_part": np.add.reduceat(base[at], flat.begins),
+                "model_part": np.add.reduceat(model, flat.begins),
+                "rare": pa.ListArray.from_arrays(
+                    pa.array(edges, pa.int32()), pa.array(n[at_rare])),
+            })
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     parts = stored(
         spark,
-        rows.select("doc_id", "text", "held_out").mapInArrow(
+        found.select("doc_id", "held_out", "known", "rare").mapInArrow(
             over, f"doc_id {id_type}, held_out boolean, n_tokens long, n_found long, "
             "base_part double, model_part double, rare array<bigint>")
         .withColumn("row", F.monotonically_increasing_id()),

@@ -1,6 +1,7 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 
 import cases
@@ -218,3 +219,46 @@ def test_the_query_trains_beyond_the_step_from_zero_weights(spark):
     default = lm_score.trained_weights(spark, train, shared)
     assert default == pytest.approx(weights) and means[1] > means[0] + 0.02
     counts.unpersist()
+
+
+def test_many_tokens_get_the_keys_of_single_ones():
+    words = [bytes(97 + (i * k) % 26 for i in range(n)) for n in range(1, 70) for k in (1, 3)]
+    texts = [b"", b" ", b"\n", b"A b\x0b\x0cc\r\nd", b"\x00 x\x00", "É\x1c \x85z\xa0".encode(),
+             b"  ".join(words), b"x"]
+    split = [re.findall(rb"[^\x20\x09-\x0D]+", cases.lower(t.decode()).encode()) + [END]
+             for t in texts]
+    keys = [key_of(w) for x in split for w in x]
+    lengths, numbers = Numbers().of(texts)
+    assert lengths.tolist() == [len(x) for x in split] and numbers.tolist() == keys
+    ranks = {k: i for i, k in enumerate(sorted(set(keys), key=str)[::2])}
+    assert Numbers(ranks).of(texts)[1].tolist() == [ranks.get(k, k) for k in keys]
+    assert [len(x) for x in Numbers().of([])] == [0, 0]
+
+
+def test_numbers_are_stored_as_bytes_and_read_back(spark):
+    texts = ["the cat sat", "", "a dog sat on the cat", "the the"] * 20
+    docs = cases.documents(spark, texts)
+    counts = counts_of(docs.select("doc_id", "text")).cache()
+    vocabulary = Vocabulary(spark, counts)
+    vocabulary.keys, vocabulary.classes = vocabulary.keys[:3], vocabulary.classes[:3]
+    shared = spark.sparkContext.broadcast(vocabulary)
+    rows = lm_score.numbered(docs, shared).toArrow().combine_chunks()
+    assert rows.column_names == ["doc_id", "source", "known", "rare"]
+    got = lm_score.Flat.of_numbers(*(rows[c].combine_chunks() for c in ("known", "rare")), vocabulary)
+    ids = rows["doc_id"].to_pylist()
+    want = lm_score.Flat([texts[i].encode() for i in ids], Numbers(vocabulary.ranks()), vocabulary)
+    for name in ("numbers", "lengths", "begins", "classes", "rows"):
+        assert (getattr(got, name) == getattr(want, name)).all()
+    assert (got.numbers < 0).any() and (got.numbers >= 0).any()
+    counts.unpersist()
+
+
+def test_a_step_needs_little_beside_its_matrices():
+    rng = np.random.default_rng(3)
+    prior = np.r_[np.full(8, 1 / 8), np.full(64, 1 / 8)]
+    seen = rng.random((1 << 16, lm_score.OUTCOMES), np.float32)
+    tracemalloc.start()
+    change = step(seen, expected_at_start(seen, prior), prior, 0.3, seen)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert change.shape == seen.shape and most < 3 * seen.nbytes
